@@ -64,6 +64,12 @@ def _fill(text: str, **extra: str) -> str:
     return text.format(**{**_PLAIN, **extra})
 
 
+# Money is exact in the checks: decimals instead of doubles.
+_MONEY = """
+        SELECT * REPLACE (CAST(price AS DECIMAL(18,2)) AS price, CAST(freight_value AS DECIMAL(18,2)) AS freight_value),
+               CAST(price AS DECIMAL(18,2)) + CAST(freight_value AS DECIMAL(18,2)) AS total_item_value
+        FROM {source}"""
+
 CTES: dict[str, str] = {f"raw_{name}": _fill(text) for name, text in RAW_TABLES.items()}
 CTES["raw_orders_text"] = _fill(ORDERS_AS_TEXT, orders="raw_orders")
 CTES["raw_hourly_orders"] = _fill(HOURLY_ORDERS)
@@ -75,11 +81,12 @@ CTES |= {
     "dim_orders": _orders("raw_orders"),
     "dim_orders_text": _orders("raw_orders_text"),
     "dim_hourly_orders": _orders("raw_hourly_orders"),
-    "fact_order_items": "SELECT *, price + freight_value AS total_item_value FROM raw_order_items",
-    "fact_hourly_items": "SELECT *, price + freight_value AS total_item_value FROM raw_hourly_items",
+    "fact_order_items": _MONEY.format(source="raw_order_items"),
+    "fact_hourly_items": _MONEY.format(source="raw_hourly_items"),
     "fact_payments": f"""
         SELECT * REPLACE (CASE lower({_strip('payment_type')}) WHEN 'not_defined' THEN 'other'
-                          ELSE lower({_strip('payment_type')}) END AS payment_type) FROM raw_payments""",
+                          ELSE lower({_strip('payment_type')}) END AS payment_type,
+                          CAST(payment_value AS DECIMAL(18,2)) AS payment_value) FROM raw_payments""",
     "dim_products": """
         SELECT product_id, COALESCE(p.product_category_name, 'unknown') AS product_category_name,
                COALESCE(product_category_name_english, p.product_category_name, 'unknown')

@@ -14,7 +14,6 @@ WHITESPACE = (
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 MICROS_PER_DAY = 86_400_000_000.0
-MONEY = "decimal(18,2)"
 
 
 def stripped(col: Column) -> Column:
@@ -37,8 +36,18 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double"))
 
 
-def money(col: Column) -> Column:
-    return col.cast(MONEY)
+def cents(amount: Column) -> Column:
+    """An amount of money as whole cents: sums of it are exact whatever the order, and cheap."""
+    return F.floor(amount * F.lit(100.0) + F.lit(0.5))
+
+
+def wide(whole: Column) -> Column:
+    """A whole number with room for sums over any number of rows."""
+    return whole.cast("decimal(22,0)")
+
+
+def money(total_cents: Column) -> Column:
+    return total_cents.cast("double") / F.lit(100.0)
 
 
 def days_between(start: Column, end: Column) -> Column:
@@ -81,7 +90,7 @@ def weekday_number(day: Column) -> Column:
 
 
 def decimals_as_doubles(df: DataFrame) -> DataFrame:
-    """Money is summed as decimals inside the plans and handed out as doubles."""
+    """Exact sums inside the plans are decimals; results hand out doubles."""
     decimals = {f.name for f in df.schema.fields if f.dataType.typeName() == "decimal"}
     if not decimals:
         return df

@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallymart.functions.exprs import (
-    decimals_as_doubles, exact_micros, fixed_point, from_fixed_point, mean_days, percent, ratio, rounded,
-    weekday_number,
+    cents, exact_micros, fixed_point, from_fixed_point, mean_days, money, percent, ratio, rounded, weekday_number, wide,
 )
+from tallymart.operators.joins import lookup_join
 from tallymart.operators.selection import top_k
 from tallymart.plans.sales import (
-    DELIVERED, delivered_orders, distinct_products_and_sellers, items_per_order, order_categories, order_sales,
-    per_customer, repeated, scores_per_order, with_review_copies,
+    delivered_orders, distinct_products_and_sellers, order_categories, order_sales, per_customer, repeated,
+    with_review_copies,
 )
-from tallymart.operators.joins import lookup_join
 
 
-def as_money(col, name: str):
-    return col.cast("double").alias(name)
+def total(name: str):
+    """Sum of a column of whole cents."""
+    return F.sum(wide(F.col(name)))
+
+
+def all_items_revenue(star):
+    """Revenue in cents of all items, delivered or not, as a scalar subquery."""
+    return star.order_items.agg(F.sum(wide(cents(F.col("price"))))).scalar()
 
 
 def overview(star) -> DataFrame:
@@ -25,10 +30,10 @@ def overview(star) -> DataFrame:
     totals = order_sales(star).agg(
         F.count("*").alias("total_orders"),
         F.count_distinct("customer_id").alias("total_customers"),
-        as_money(F.sum("revenue"), "total_revenue"),
-        as_money(F.sum("freight"), "total_freight"),
-        as_money(F.sum("gmv"), "total_gmv"),
-        rounded(ratio(F.sum("revenue"), F.sum("n_items")), 2).alias("avg_item_price"),
+        money(total("revenue")).alias("total_revenue"),
+        money(total("freight")).alias("total_freight"),
+        money(total("gmv")).alias("total_gmv"),
+        rounded(ratio(money(total("revenue")), F.sum("n_items")), 2).alias("avg_item_price"),
     )
     named = distinct_products_and_sellers(star).select(F.struct("unique_products", "active_sellers")).scalar()
     return totals.select(
@@ -42,10 +47,10 @@ def monthly_trends(star) -> DataFrame:
         .groupBy("order_year_month")
         .agg(
             F.count("*").alias("order_count"),
-            as_money(F.sum("revenue"), "revenue"),
-            as_money(F.sum("freight"), "freight_revenue"),
+            money(total("revenue")).alias("revenue"),
+            money(total("freight")).alias("freight_revenue"),
             F.count_distinct("customer_id").alias("unique_customers"),
-            rounded(ratio(F.sum("revenue"), F.sum("n_items")), 2).alias("avg_order_value"),
+            rounded(ratio(money(total("revenue")), F.sum("n_items")), 2).alias("avg_order_value"),
         )
         .orderBy("order_year_month")
     )
@@ -57,9 +62,9 @@ def yearly_summary(star) -> DataFrame:
         .groupBy("order_year")
         .agg(
             F.count("*").alias("order_count"),
-            as_money(F.sum("revenue"), "revenue"),
+            money(total("revenue")).alias("revenue"),
             F.count_distinct("customer_id").alias("unique_customers"),
-            rounded(ratio(F.sum("revenue"), F.count("*")), 2).alias("avg_order_value"),
+            rounded(ratio(money(total("revenue")), F.count("*")), 2).alias("avg_order_value"),
         )
         .orderBy("order_year")
     )
@@ -81,8 +86,8 @@ def top_customers(star, k: int = 10, reviews: str = "fan_out") -> DataFrame:
         F.min_by("customer_city", "customer_id").alias("customer_city"),
         F.min_by("customer_state", "customer_id").alias("customer_state"),
         F.sum("orders").alias("total_orders"),
-        as_money(F.sum("spent"), "total_spent"),
-        rounded(ratio(F.sum("spent"), F.sum("items")), 2).alias("avg_item_value"),
+        money(F.sum("spent")).alias("total_spent"),
+        rounded(ratio(money(F.sum("spent")), F.sum("items")), 2).alias("avg_item_value"),
         rounded(ratio(F.sum("scores"), F.sum("scored")), 1).alias("avg_review_score"),
     )
     return top_k(people, k, F.desc("total_spent"), F.asc("customer_unique_id"))
@@ -90,7 +95,7 @@ def top_customers(star, k: int = 10, reviews: str = "fan_out") -> DataFrame:
 
 def category_performance(star, k: int = 20) -> DataFrame:
     """Categories by delivered revenue; the share is of the revenue of all items, delivered or not."""
-    all_revenue = star.order_items.agg(F.sum("price")).scalar()
+    all_revenue = all_items_revenue(star)
     return top_k(
         order_categories(star)
         .join(delivered_orders(star), "order_id")
@@ -98,12 +103,12 @@ def category_performance(star, k: int = 20) -> DataFrame:
         .agg(
             F.count("*").alias("order_count"),
             F.sum("item_numbers").alias("items_sold"),
-            F.sum("revenue").alias("revenue"),
-            rounded(ratio(F.sum("revenue"), F.sum("n_items")), 2).alias("avg_price"),
+            total("revenue").alias("revenue"),
+            rounded(ratio(money(total("revenue")), F.sum("n_items")), 2).alias("avg_price"),
         )
         .select(
-            "category", "order_count", "items_sold", as_money(F.col("revenue"), "total_revenue"), "avg_price",
-            rounded(percent(F.col("revenue"), all_revenue), 2).alias("revenue_share_pct"),
+            "category", "order_count", "items_sold", money(F.col("revenue")).alias("total_revenue"), "avg_price",
+            rounded(percent(money(F.col("revenue")), money(all_revenue)), 2).alias("revenue_share_pct"),
         ),
         k, F.desc("total_revenue"), F.asc("category"),
     )
@@ -111,13 +116,14 @@ def category_performance(star, k: int = 20) -> DataFrame:
 
 def payment_distribution(star) -> DataFrame:
     """All payments by type."""
+    paid = wide(cents(F.col("payment_value")))
     n_payments = star.payments.agg(F.count("*")).scalar()
     return (
         star.payments.groupBy("payment_type")
         .agg(
             F.count("*").alias("transaction_count"),
-            as_money(F.sum("payment_value"), "total_value"),
-            rounded(ratio(F.sum("payment_value"), F.count("payment_value")), 2).alias("avg_value"),
+            money(F.sum(paid)).alias("total_value"),
+            rounded(ratio(money(F.sum(paid)), F.count("payment_value")), 2).alias("avg_value"),
             rounded(ratio(F.sum("payment_installments"), F.count("payment_installments")), 1).alias("avg_installments"),
         )
         .withColumn("pct_of_transactions", rounded(percent(F.col("transaction_count"), n_payments), 2))
@@ -153,7 +159,7 @@ def delivery_by_state(star) -> DataFrame:
 def seller_performance(star, k: int = 15, reviews: str = "fan_out") -> DataFrame:
     """Sellers by delivered revenue."""
     sold = star.order_items.groupBy("order_id", "seller_id", "product_id").agg(
-        F.count("*").alias("n_items"), F.sum("price").alias("revenue")
+        F.count("*").alias("n_items"), F.sum(cents(F.col("price"))).alias("revenue")
     )
     orders = with_review_copies(delivered_orders(star).select("order_id"), star, reviews)
     sellers = (
@@ -170,8 +176,8 @@ def seller_performance(star, k: int = 15, reviews: str = "fan_out") -> DataFrame
         .join(star.sellers.select("seller_id", "seller_city", "seller_state"), "seller_id")
         .select(
             "seller_id", "seller_city", "seller_state", "orders_fulfilled",
-            as_money(F.col("revenue"), "total_revenue"),
-            rounded(ratio(F.col("revenue"), F.col("items")), 2).alias("avg_item_price"),
+            money(F.col("revenue")).alias("total_revenue"),
+            rounded(ratio(money(F.col("revenue")), F.col("items")), 2).alias("avg_item_price"),
             "unique_products",
             rounded(ratio(F.col("scores"), F.col("scored")), 2).alias("avg_review_score"),
         )
@@ -204,19 +210,19 @@ def review_analysis(star) -> DataFrame:
 
 def regional_performance(star) -> DataFrame:
     """States by delivered revenue; the share is of the revenue of all items."""
-    all_revenue = star.order_items.agg(F.sum("price")).scalar()
+    all_revenue = all_items_revenue(star)
     return (
         customer_totals(star)
         .groupBy("customer_state")
         .agg(
             F.sum("orders").alias("order_count"),
             F.count_distinct("customer_unique_id").alias("unique_customers"),
-            F.sum("revenue").alias("revenue"),
-            rounded(ratio(F.sum("revenue"), F.sum("items")), 2).alias("avg_order_value"),
+            total("revenue").alias("revenue"),
+            rounded(ratio(money(total("revenue")), F.sum("items")), 2).alias("avg_order_value"),
         )
         .select(
-            "customer_state", "order_count", "unique_customers", as_money(F.col("revenue"), "total_revenue"),
-            "avg_order_value", rounded(percent(F.col("revenue"), all_revenue), 2).alias("revenue_share_pct"),
+            "customer_state", "order_count", "unique_customers", money(F.col("revenue")).alias("total_revenue"),
+            "avg_order_value", rounded(percent(money(F.col("revenue")), money(all_revenue)), 2).alias("revenue_share_pct"),
         )
         .orderBy(F.desc("total_revenue"), "customer_state")
     )
@@ -228,7 +234,7 @@ def customer_totals(star) -> DataFrame:
         order_sales(star), star,
         F.count("*").alias("orders"),
         F.sum("n_items").alias("items"),
-        F.sum("revenue").alias("revenue"),
+        total("revenue").alias("revenue"),
         columns=("customer_unique_id", "customer_state"),
     )
 
@@ -239,8 +245,8 @@ def weekday_patterns(star) -> DataFrame:
         .groupBy("order_day_of_week")
         .agg(
             F.count("*").alias("order_count"),
-            as_money(F.sum("revenue"), "revenue"),
-            rounded(ratio(F.sum("revenue"), F.sum("n_items")), 2).alias("avg_item_price"),
+            money(total("revenue")).alias("revenue"),
+            rounded(ratio(money(total("revenue")), F.sum("n_items")), 2).alias("avg_item_price"),
         )
         .orderBy(weekday_number(F.col("order_day_of_week")))
     )
@@ -250,7 +256,7 @@ def hourly_patterns(star) -> DataFrame:
     return (
         order_sales(star, "order_hour")
         .groupBy("order_hour")
-        .agg(F.count("*").alias("order_count"), as_money(F.sum("revenue"), "revenue"))
+        .agg(F.count("*").alias("order_count"), money(total("revenue")).alias("revenue"))
         .orderBy("order_hour")
     )
 
@@ -268,16 +274,16 @@ def status_breakdown(star) -> DataFrame:
 
 def freight_per_customer(star) -> DataFrame:
     """Delivered freight per customer id; the freight share of an item without a price is left out."""
-    share = F.try_divide(F.col("freight_value").cast("double"), F.col("price").cast("double"))
+    share = F.try_divide("freight_value", "price")
     freight = star.order_items.groupBy("order_id").agg(
         F.count("*").alias("n_items"),
-        F.sum("freight_value").alias("freight"),
+        F.sum(cents(F.col("freight_value"))).alias("freight"),
         F.sum(fixed_point(share)).alias("shares"),
         F.count(share).alias("n_shares"),
     )
     return per_customer(
         delivered_orders(star).join(freight, "order_id"), star,
-        *[F.sum(c).alias(c) for c in ("n_items", "freight", "shares", "n_shares")],
+        *[F.sum(wide(F.col(c))).alias(c) for c in ("n_items", "freight", "shares", "n_shares")],
         columns=("customer_state",),
     )
 
@@ -287,10 +293,10 @@ def freight_analysis(star) -> DataFrame:
         freight_per_customer(star)
         .groupBy("customer_state")
         .agg(
-            rounded(ratio(F.sum("freight"), F.sum("n_items")), 2).alias("avg_freight"),
-            as_money(F.sum("freight"), "total_freight"),
+            rounded(ratio(money(total("freight")), F.sum("n_items")), 2).alias("avg_freight"),
+            money(total("freight")).alias("total_freight"),
             rounded(ratio(from_fixed_point(F.sum("shares")), F.sum("n_shares")) * 100.0, 1).alias("freight_pct_of_price"),
-            F.sum("n_items").alias("item_count"),
+            F.sum("n_items").cast("bigint").alias("item_count"),
         )
         .orderBy(F.desc("avg_freight"), "customer_state")
     )
@@ -299,7 +305,7 @@ def freight_analysis(star) -> DataFrame:
 def yoy_growth(star) -> DataFrame:
     """Each year against the calendar year before; NULL when that year has no sales."""
     yearly = order_sales(star, "order_year").groupBy("order_year").agg(
-        as_money(F.sum("revenue"), "revenue"), F.count("*").alias("orders")
+        money(total("revenue")).alias("revenue"), F.count("*").alias("orders")
     )
     before = yearly.select(
         (F.col("order_year") + 1).alias("order_year"), F.col("revenue").alias("revenue_before"),

@@ -4,12 +4,15 @@ Items, payments and reviews all hang off an order. A join of two of them repeats
 every row of the other. The reports keep that arithmetic, but the repeated rows are never made:
 each side is first reduced per order, and a sum over the repeated rows is the product of the two
 sides' per-order sums. An order with any number of items and reviews stays a handful of rows.
+
+``revenue``, ``freight`` and ``gmv`` columns at these grains are whole cents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallymart.functions.exprs import cents, wide
 from tallymart.operators.joins import lookup_join
 
 DELIVERED = "delivered"
@@ -22,9 +25,9 @@ def delivered_orders(star, *columns: str) -> DataFrame:
 def items_per_order(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id").agg(
         F.count("*").alias("n_items"),
-        F.sum("price").alias("revenue"),
-        F.sum("freight_value").alias("freight"),
-        F.sum("total_item_value").alias("gmv"),
+        F.sum(cents(F.col("price"))).alias("revenue"),
+        F.sum(cents(F.col("freight_value"))).alias("freight"),
+        F.sum(cents(F.col("total_item_value"))).alias("gmv"),
     )
 
 
@@ -37,7 +40,7 @@ def scores_per_order(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("order_id").agg(
         F.count("*").alias("n_reviews"),
         F.count("review_score").alias("n_scores"),
-        F.sum("review_score").cast("decimal(20,0)").alias("score_sum"),
+        F.sum("review_score").alias("score_sum"),
     )
 
 
@@ -49,12 +52,12 @@ def with_review_copies(orders: DataFrame, star, reviews: str = "fan_out") -> Dat
     """
     joined = orders.join(scores_per_order(star.reviews), "order_id", "left")
     n_scores = F.coalesce("n_scores", F.lit(0))
-    score_sum = F.coalesce("score_sum", F.lit(0).cast("decimal(20,0)"))
+    score_sum = F.coalesce("score_sum", F.lit(0))
     if reviews == "fan_out":
         copies = F.greatest(F.coalesce("n_reviews", F.lit(0)), F.lit(1))
     elif reviews == "per_order":
         copies = F.lit(1).cast("bigint")
-        score_sum = F.when(n_scores > 0, score_sum / n_scores).otherwise(F.lit(0)).cast("decimal(20,6)")
+        score_sum = F.when(n_scores > 0, score_sum / n_scores).otherwise(F.lit(0.0))
         n_scores = F.least(n_scores, F.lit(1))
     else:
         raise ValueError(f"reviews must be 'fan_out' or 'per_order', not {reviews!r}")
@@ -62,10 +65,10 @@ def with_review_copies(orders: DataFrame, star, reviews: str = "fan_out") -> Dat
 
 
 def repeated(total, *times):
-    """A money total counted ``times`` over."""
-    value = total.cast("decimal(24,2)")
+    """A whole total counted ``times`` over."""
+    value = wide(total)
     for n in times:
-        value = (value * n.cast("decimal(10,0)")).cast("decimal(30,2)")
+        value = (value * n.cast("decimal(12,0)")).cast("decimal(32,0)")
     return value
 
 
@@ -88,7 +91,7 @@ def order_products(star) -> DataFrame:
     """Items reduced to one row per (order, product)."""
     return star.order_items.groupBy("order_id", "product_id").agg(
         F.count("*").alias("n_items"),
-        F.sum("price").alias("revenue"),
+        F.sum(cents(F.col("price"))).alias("revenue"),
         F.sum("order_item_id").alias("item_numbers"),
     )
 

@@ -6,7 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymart.functions.exprs import days_between, first_match, fixed_point, from_fixed_point, ratio, rounded
+from tallymart.functions.exprs import (
+    cents, days_between, first_match, fixed_point, from_fixed_point, money, ratio, rounded, wide,
+)
 from tallymart.plans.sales import order_sales, per_customer
 
 # Segment rules in order, as inclusive ranges of the scores for recency, frequency and spend.
@@ -40,14 +42,14 @@ def customer_rfm(star, config: RfmConfig) -> DataFrame:
         order_sales(star, "order_purchase_timestamp"), star,
         F.max("order_purchase_timestamp").alias("last_order"),
         F.count("*").alias("orders"),
-        F.sum("revenue").alias("revenue"),
+        F.sum(wide(F.col("revenue"))).alias("revenue"),
         columns=("customer_unique_id",),
     )
     until = F.lit(config.reference_date).cast("timestamp_ntz")
     return last.groupBy("customer_unique_id").agg(
         days_between(F.max("last_order"), until).alias("recency_days"),
         F.sum("orders").alias("frequency"),
-        F.sum("revenue").cast("decimal(28,2)").alias("monetary"),
+        money(F.sum("revenue")).alias("monetary"),
     )
 
 
@@ -71,7 +73,7 @@ def segment_of(r: Column, f: Column, m: Column) -> Column:
 
 
 def customer_segmentation(star, config: RfmConfig = RfmConfig()) -> DataFrame:
-    n = F.count("*")
+    n, spent = F.count("*"), F.sum(wide(cents(F.col("monetary"))))
     return (
         rfm_scores(star, config)
         .withColumn("segment", segment_of(F.col("r_score"), F.col("f_score"), F.col("m_score")))
@@ -80,8 +82,8 @@ def customer_segmentation(star, config: RfmConfig = RfmConfig()) -> DataFrame:
             n.alias("customer_count"),
             rounded(ratio(from_fixed_point(F.sum(fixed_point(F.col("recency_days")))), n), 0).alias("avg_recency"),
             rounded(ratio(F.sum("frequency"), n), 1).alias("avg_frequency"),
-            rounded(ratio(F.sum("monetary"), n), 2).alias("avg_monetary"),
-            F.sum("monetary").cast("double").alias("total_revenue"),
+            rounded(ratio(money(spent), n), 2).alias("avg_monetary"),
+            money(spent).alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "segment")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -15,7 +16,7 @@ from tallymart.schemas import STAR_TABLES
 class Star:
     """Cleaned tables over ``raw`` ones. Everything stays lazy; unused columns and joins are pruned."""
 
-    raw: dict[str, DataFrame]
+    raw: Mapping[str, DataFrame]
     _rows: dict[str, int] = field(default_factory=dict)
 
     @cached_property

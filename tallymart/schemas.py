@@ -102,7 +102,7 @@ STAR_TABLES = {
 
 def _struct(**columns: str) -> T.StructType:
     kinds = {
-        "s": T.StringType(), "l": T.LongType(), "d": T.DoubleType(), "m": T.DecimalType(18, 2),
+        "s": T.StringType(), "l": T.LongType(), "d": T.DoubleType(),
     }
     return T.StructType([T.StructField(name, kinds[kind]) for name, kind in columns.items()])
 
@@ -114,11 +114,11 @@ RAW_SCHEMAS = {
     ),
     "orders": _struct(order_id="s", customer_id="s", order_status="s", **{c: "s" for c in ORDER_TIMESTAMPS}),
     "order_items": _struct(
-        order_id="s", order_item_id="l", product_id="s", seller_id="s", shipping_limit_date="s", price="m",
-        freight_value="m",
+        order_id="s", order_item_id="l", product_id="s", seller_id="s", shipping_limit_date="s", price="d",
+        freight_value="d",
     ),
     "payments": _struct(
-        order_id="s", payment_sequential="l", payment_type="s", payment_installments="l", payment_value="m"
+        order_id="s", payment_sequential="l", payment_type="s", payment_installments="l", payment_value="d"
     ),
     "products": _struct(product_id="s", product_category_name="s", **{c: "d" for c in PRODUCT_MEASURES}),
     "sellers": _struct(seller_id="s", seller_zip_code_prefix="l", seller_city="s", seller_state="s"),

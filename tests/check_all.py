@@ -11,7 +11,7 @@ import __spark_entry__ as spark_entry
 
 def main(sf_dir: str, names: list[str]) -> None:
     spark = build_session(master="local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, sql = duck(sf_dir), spark_entry.queries(), spark_entry.oracle_sql()
     failed = 0

@@ -107,19 +107,14 @@ def order_categories(star, how: str = "inner") -> DataFrame:
     )
 
 
-def delivered_order_keys(star, key: str) -> DataFrame:
-    """Distinct (order, ``key``) pairs of the items of delivered orders; ``key`` is a product or seller id."""
-    pairs = star.order_items.select("order_id", key).distinct()
-    return lookup_join(pairs, delivered_orders(star).select("order_id"), "order_id", "inner", [key], star.rows("orders"))
-
-
-def distinct_products_and_sellers(star, orders: DataFrame | None = None) -> DataFrame:
+def distinct_products_and_sellers(star, items: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
     """One row: how many products and sellers the items of delivered orders name.
 
-    Items are reduced to distinct (order, product, seller) first. ``orders`` restricts the orders.
+    Items are reduced to distinct (order, product, seller) first. ``items`` and ``orders`` narrow the choice.
     """
-    kept = delivered_orders(star).select("order_id") if orders is None else orders.select("order_id")
-    triples = star.order_items.select("order_id", "product_id", "seller_id").distinct()
+    items = star.order_items if items is None else items
+    kept = (delivered_orders(star) if orders is None else orders).select("order_id")
+    triples = items.select("order_id", "product_id", "seller_id").distinct()
     sold = lookup_join(triples, kept, "order_id", "inner", ["product_id", "seller_id"], star.rows("orders"))
     return sold.agg(
         F.count_distinct("product_id").alias("unique_products"),

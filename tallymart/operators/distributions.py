@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallymart.operators.quantiles import exact_quantiles
+from tallymart.operators.selection import with_row_of
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 FENCE = 1.5
@@ -20,20 +21,21 @@ def histogram(df: DataFrame, value: str, bins: int = 50, weight: str | None = No
         F.col(value).cast("double").alias("v"), (F.col(weight) if weight else F.lit(1).cast("bigint")).alias("w"))
     low, high = F.min("v"), F.max("v")
     pad = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
-    edges = values.agg(F.struct((low - pad).alias("low"), (high + pad).alias("high"))).scalar()
+    edges = values.agg(F.struct((low - pad).alias("low"), (high + pad).alias("high")))
 
-    place = F.floor((F.col("v") - edges["low"]) / (edges["high"] - edges["low"]) * F.lit(float(bins)))
-    counts = values.groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(F.sum("w").alias("count"))
-    width = (edges["high"] - edges["low"]) / F.lit(float(bins))
-    return (
-        df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-        .join(counts, "bin", "left")
-        .select(
-            "bin",
-            (edges["low"] + F.col("bin") * width).alias("bin_start"),
-            (edges["low"] + (F.col("bin") + 1) * width).alias("bin_end"),
-            F.coalesce("count", F.lit(0)).alias("count"),
-        )
+    low, high = F.col("_edges.low"), F.col("_edges.high")
+    place = F.floor((F.col("v") - low) / (high - low) * F.lit(float(bins)))
+    counts = (
+        with_row_of(values, edges, "_edges")
+        .groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(F.sum("w").alias("count"))
+    )
+    width = (high - low) / F.lit(float(bins))
+    numbered = df.sparkSession.range(bins).withColumnRenamed("id", "bin").join(counts, "bin", "left")
+    return with_row_of(numbered, edges, "_edges").select(
+        "bin",
+        (low + F.col("bin") * width).alias("bin_start"),
+        (low + (F.col("bin") + 1) * width).alias("bin_end"),
+        F.coalesce("count", F.lit(0)).alias("count"),
     )
 
 

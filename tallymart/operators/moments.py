@@ -1,32 +1,25 @@
-"""Pearson correlation from exact sums."""
+"""Pearson correlation from sums."""
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
 from pyspark.sql import DataFrame, functions as F
 
 from tallymart.functions.exprs import rounded
 
-DIGITS = 6
-
 
-def correlation_matrix(sums: DataFrame, columns: list[str], digits: int = DIGITS) -> DataFrame:
-    """Long form (x, y, correlation) from one row of sums.
+def correlation_matrix(sums: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
+    """Long form (x, y, correlation) from one row of sums, to ``digits`` digits.
 
     ``sums`` has ``n``, ``s_<x>`` for each column and ``s_<x>_<y>`` for each pair with x not after y.
     """
-    def mean(name):
-        return F.col(name).cast("double") / F.col("n").cast("double")
-
-    def covariance(x, y):
-        return mean(f"s_{x}_{y}") - mean(f"s_{x}") * mean(f"s_{y}")
-
-    pairs = []
-    for x, y in combinations_with_replacement(columns, 2):
-        r = rounded(F.try_divide(covariance(x, y), F.sqrt(covariance(x, x) * covariance(y, y))), digits)
-        pairs.append((x, y, r))
-        if x != y:
-            pairs.append((y, x, r))
-    rows = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("correlation")) for x, y, r in pairs])
-    return sums.select(F.explode(rows).alias("r")).select("r.*")
+    pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
+    means = sums.selectExpr(
+        *[f"s_{x} / n AS {x}" for x in columns], *[f"s_{x}_{y} / n AS {x}_{y}" for x, y in pairs])
+    spread = means.selectExpr(
+        *[f"{x}_{y} - {x} * {y} AS {x}_{y}" for x, y in pairs])
+    rows = [
+        f"struct('{a}' AS x, '{b}' AS y, try_divide({x}_{y}, sqrt({x}_{x} * {y}_{y})) AS r)"
+        for x, y in pairs for a, b in {(x, y), (y, x)}
+    ]
+    return spread.selectExpr(f"inline(array({', '.join(rows)}))").select(
+        "x", "y", rounded(F.col("r"), digits).alias("correlation"))

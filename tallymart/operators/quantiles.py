@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallymart.session import checkpointed
+
 BINS = 4096
 
 
@@ -18,9 +20,10 @@ def exact_quantiles(
     """Quantiles with linear interpolation, one row per group: the keys, one column per prob, and ``n``.
 
     ``keys`` must have few distinct values (a score, a column name). ``weight`` says how many times
-    a row counts. Steps: count each distinct value; cut each group's range into equal bins and find
-    the bins that hold the wanted ranks from at most ``bins`` counts; rank only the distinct values
-    of those bins. No task ever holds a group: what it holds is one bin's distinct values.
+    a row counts. Steps: count each distinct value, once, into checkpointed rows; cut each group's
+    range into equal bins and find the bins that hold the wanted ranks from at most ``bins`` counts;
+    rank only the distinct values of those bins. No task ever holds a group: what it holds is one
+    bin's distinct values.
     """
     keys = list(keys or [])
     named = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"), (
@@ -28,7 +31,7 @@ def exact_quantiles(
     if not keys:
         named = named.withColumn("_all", F.lit(0))
     group = keys or ["_all"]
-    counts = named.groupBy(*group, "_v").agg(F.sum("_w").alias("_w"))
+    counts = checkpointed(named.groupBy(*group, "_v").agg(F.sum("_w").alias("_w")))
     ranges = counts.groupBy(*group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_w").alias("_n"))
 
     place = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * F.lit(float(bins))

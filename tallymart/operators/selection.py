@@ -10,11 +10,17 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def with_row_of(df: DataFrame, one: DataFrame, name: str) -> DataFrame:
+    """``df`` with the single value of ``one`` as column ``name``: one scalar subquery, run once."""
+    return df.withColumn(name, one.scalar())
+
+
 def trim_edges(df: DataFrame, key: str, only_if_more_than: int = 0) -> DataFrame:
     """Drop the rows of the smallest and largest ``key`` (the first and last month of a series).
 
     With ``only_if_more_than`` a series of that many rows or fewer is kept as it is.
     """
-    edges = df.agg(F.struct(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("n"))).scalar()
-    inner = (F.col(key) > edges["first"]) & (F.col(key) < edges["last"])
-    return df.where(inner | (edges["n"] <= only_if_more_than))
+    edges = df.agg(F.struct(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("n")))
+    inner = (F.col(key) > F.col("_edges.first")) & (F.col(key) < F.col("_edges.last"))
+    rows = with_row_of(df, edges, "_edges")
+    return rows.where(inner | (F.col("_edges.n") <= only_if_more_than)).drop("_edges")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallymart.functions.exprs import days_between, fixed_point, from_fixed_point, ratio, stripped
 from tallymart.operators.quantiles import exact_quantiles
+from tallymart.operators.selection import with_row_of
 from tallymart.schemas import ORDER_TIMESTAMPS, PRODUCT_MEASURES
 
 # Fixed values of the cleaning rules.
@@ -85,8 +86,8 @@ def impute_medians(df: DataFrame, columns: list[str]) -> DataFrame:
         .groupBy()
         .agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in columns])
     )
-    filled = medians.select(F.struct(*columns)).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), filled[c]) for c in columns})
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_medians.{c}")) for c in columns}
+    return with_row_of(df, medians.select(F.struct(*columns)), "_medians").withColumns(filled).drop("_medians")
 
 
 def translate_categories(df: DataFrame, translation: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from tallymart.functions.exprs import (
     cents, exact_micros, mean_days, money, percent, ratio, rounded, weekday_number, wide,
 )
 from tallymart.operators.joins import lookup_join
-from tallymart.operators.selection import top_k, trim_edges
+from tallymart.operators.selection import top_k, trim_edges, with_row_of
 from tallymart.plans.reports import customer_totals, total
 from tallymart.plans.sales import (
     delivered_orders, distinct_products_and_sellers, items_per_order, order_categories, order_sales, order_states,
@@ -48,9 +48,8 @@ def kpis(star, year: int | None = None, state: str | None = None, category: str
         customers = customers.where(F.col("customer_state") == state)
         orders = order_states(star, orders).where(F.col("customer_state") == state)
     revenue, n_orders = money(F.sum("revenue")), F.sum("orders")
-    named = distinct_products_and_sellers(star, items, orders).select(
-        F.struct("unique_products", "active_sellers")).scalar()
-    return customers.agg(
+    named = distinct_products_and_sellers(star, items, orders).select(F.struct("unique_products", "active_sellers"))
+    totals = customers.agg(
         revenue.alias("total_revenue"),
         F.coalesce(n_orders, F.lit(0)).alias("total_orders"),
         F.count_distinct("customer_unique_id").alias("unique_customers"),
@@ -58,7 +57,8 @@ def kpis(star, year: int | None = None, state: str | None = None, category: str
         rounded(ratio(F.sum("scores"), F.sum("scored")), 2).alias("avg_review_score"),
         money(F.sum("freight")).alias("total_freight"),
         rounded(mean_days(F.sum("days"), F.sum("timed")), 1).alias("avg_delivery_days"),
-    ).select("*", named["unique_products"].alias("unique_products"), named["active_sellers"].alias("active_sellers"))
+    )
+    return with_row_of(totals, named, "_named").select(*totals.columns, "_named.*")
 
 
 def month_totals(star) -> DataFrame:
@@ -158,14 +158,14 @@ def yearly_summary(star) -> DataFrame:
 
 def kpi_cards(star) -> DataFrame:
     """The numbers on the six cards."""
-    delivery = delivery_metrics(star).select(F.struct("on_time_rate", "on_time", "late")).scalar()
+    delivery = delivery_metrics(star).select(F.struct("on_time_rate", "on_time", "late"))
     n_reviews = star.reviews.agg(F.count("*")).scalar()
     gmv = money(cents(F.col("total_revenue")) + cents(F.col("total_freight")))
-    return kpis(star).select(
+    return with_row_of(kpis(star), delivery, "_delivery").select(
         "total_revenue", gmv.alias("total_gmv"), "total_orders", "unique_products", "active_sellers",
         "unique_customers", "avg_order_value", "avg_delivery_days", "avg_review_score",
         n_reviews.alias("total_reviews"),
-        *[delivery[c].alias(c) for c in ("on_time_rate", "on_time", "late")],
+        "_delivery.*",
     )
 
 

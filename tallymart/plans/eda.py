@@ -74,54 +74,40 @@ def region_top15(star, k: int = 15) -> DataFrame:
     return top_k(states, k, F.desc("revenue"), F.asc("customer_state")).orderBy("revenue", F.desc("customer_state"))
 
 
-CORRELATED = ["price", "freight_value", "delivery_days", "delivery_delay_days", "review_score"]
+# The correlated columns, each with the side of the join it comes from.
+CORRELATED = {
+    "price": "item", "freight_value": "item", "delivery_days": "order", "delivery_delay_days": "order",
+    "review_score": "review",
+}
 
 
 def correlation(star) -> DataFrame:
     """Correlations over items joined with their orders' reviews, complete rows only, to six digits.
 
     The joined rows are not made. Per order, sums and sums of products of the items meet those of the
-    reviews: a sum over all item-review pairs is the product of the two. All sums are whole numbers
-    (cents, seconds, scores), hence exact.
+    reviews: a sum over all item-review pairs is the product of the two.
     """
-    p, f, s = cents(F.col("price")), cents(F.col("freight_value")), F.col("review_score")
-
-    def summed(col):
-        return F.sum(col.cast("decimal(20,0)")).cast("decimal(30,0)")
-
     items = star.order_items.dropna(subset=["price", "freight_value"]).groupBy("order_id").agg(
-        F.count("*").cast("decimal(12,0)").alias("i"), summed(p).alias("i_price"), summed(f).alias("i_freight_value"),
-        summed(p * p).alias("i_price_price"), summed(p * f).alias("i_price_freight_value"),
-        summed(f * f).alias("i_freight_value_freight_value"))
+        F.expr("double(count(*)) AS item_"),
+        *[F.expr(f"sum({' * '.join(c)}) AS item_{'_'.join(c)}") for c in (
+            ["price"], ["freight_value"], ["price", "price"], ["price", "freight_value"],
+            ["freight_value", "freight_value"])])
     reviews = star.reviews.dropna(subset=["review_score"]).groupBy("order_id").agg(
-        F.count("*").cast("decimal(12,0)").alias("r"), F.sum(s).cast("decimal(12,0)").alias("r_score"),
-        F.sum(s * s).cast("decimal(12,0)").alias("r_score_score"))
-    orders = delivered_orders(star, "delivery_days", "delivery_delay_days").dropna().select("order_id", *[
-        F.round(F.col(c) * 86400.0).cast("decimal(12,0)").alias(c) for c in ("delivery_days", "delivery_delay_days")])
+        F.expr("double(count(*)) AS review_"),
+        F.expr("double(sum(review_score)) AS review_review_score"),
+        F.expr("double(sum(review_score * review_score)) AS review_review_score_review_score"))
+    orders = delivered_orders(star, "delivery_days", "delivery_delay_days").dropna()
     joined = orders.join(items, "order_id").join(reviews, "order_id")
 
-    # Per column: its sum over one order's pairs; columns of the order itself repeat for every pair.
-    kind = {"price": "item", "freight_value": "item", "review_score": "review"}
-
-    def product(*factors):
-        value = factors[0]
-        for factor in factors[1:]:
-            value = (value * factor).cast("decimal(38,0)")
-        return value
-
-    def pair_sum(*names):
-        item = [n for n in names if kind.get(n) == "item"]
-        review = [n for n in names if kind.get(n) == "review"]
-        order = [F.col(n) for n in names if n not in kind]
-        return product(F.col("_".join(["i", *item])), F.col("_".join(["r", *["score"] * len(review)])), *order)
+    def pair_sum(*names: str) -> str:
+        """SQL for the sum, over all item-review pairs, of the product of the named columns."""
+        of = {side: [n for n in names if CORRELATED[n] == side] for side in ("item", "review", "order")}
+        factors = [f"item_{'_'.join(of['item'])}", f"review_{'_'.join(of['review'])}", *of["order"]]
+        return f"sum({' * '.join(factors)}) AS {'_'.join(['s', *names]) if names else 'n'}"
 
-    columns = {"n": pair_sum()}
-    for a, x in enumerate(CORRELATED):
-        columns[f"s_{x}"] = pair_sum(x)
-        for y in CORRELATED[a:]:
-            columns[f"s_{x}_{y}"] = pair_sum(x, y)
-    sums = joined.agg(*[F.sum(c).alias(name) for name, c in columns.items()])
-    return correlation_matrix(sums, CORRELATED)
+    columns = list(CORRELATED)
+    wanted = [(), *[(x,) for x in columns], *[(x, y) for i, x in enumerate(columns) for y in columns[i:]]]
+    return correlation_matrix(joined.agg(*[F.expr(pair_sum(*names)) for names in wanted]), columns)
 
 
 def person_totals(star) -> DataFrame:
@@ -146,7 +132,8 @@ def weekday_revenue(star) -> DataFrame:
         order_sales(star, "order_day_of_week").groupBy("order_day_of_week")
         .agg(money(total("revenue")).alias("revenue"))
     )
-    week = star.orders.sparkSession.createDataFrame([(d,) for d in WEEKDAYS], "order_day_of_week string")
+    days = F.explode(F.array(*[F.lit(d) for d in WEEKDAYS])).alias("order_day_of_week")
+    week = star.orders.sparkSession.range(1).select(days)
     return week.join(sold, "order_day_of_week", "left").orderBy(weekday_number(F.col("order_day_of_week")))
 
 

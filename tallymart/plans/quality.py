@@ -11,7 +11,11 @@ from tallymart.functions.exprs import percent, rounded
 from tallymart.schemas import EXPECTED, FOREIGN_KEYS, PRIMARY_KEYS
 
 # Fixed value: a whole number in text form.
-WHOLE_NUMBER = r"^[+-]?[0-9]+$"
+WHOLE_NUMBER = "^[+-]?[0-9]+$"
+
+# The type a column of text is read as: a gap turns whole numbers into floating point.
+READS_AS = """CASE WHEN filled = 0 THEN 'float64' WHEN whole = filled AND filled = n THEN 'int64'
+                   WHEN numeric = filled THEN 'float64' ELSE 'object' END"""
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -23,7 +27,9 @@ def report_row(table: str, check: str, status: Column, detail: Column) -> list[C
 
 
 def fixed_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, "table string, check string, status string, detail string")
+    """Rows known from the table declarations alone."""
+    made = [F.struct(*[F.lit(v).alias(c) for c, v in zip(("table", "check", "status", "detail"), r)]) for r in rows]
+    return spark.range(1).select(F.explode(F.array(*made)).alias("r")).select("r.*")
 
 
 def with_commas(n: Column) -> Column:
@@ -34,60 +40,62 @@ def names(columns) -> str:
     return "{" + ", ".join(repr(c) for c in sorted(columns)) + "}"
 
 
-def text_type(n: Column, filled: Column, whole: Column, numeric: Column) -> Column:
-    """The type a column of text would be read as: a gap turns whole numbers into floating point."""
-    return (
-        F.when(filled == 0, "float64").when((whole == filled) & (filled == n), "int64")
-        .when(numeric == filled, "float64").otherwise("object")
-    )
-
-
-def profile_checks(table: str, df: DataFrame, expected: dict[str, str] | None, nulls: bool) -> DataFrame:
-    """Column, type and missing-value checks of one table from a single pass over it."""
-    columns = set(df.columns)
-    typed = [c for c in expected or {} if c in columns]
-    counted = df.columns if nulls else typed
-    text = {c: F.trim(F.col(c).cast("string")) for c in typed}
-    profile = df.agg(
-        F.count("*").alias("n"),
-        *[F.count(c).alias(f"filled_{c}") for c in counted],
-        *[F.count_if(text[c].rlike(WHOLE_NUMBER)).alias(f"whole_{c}") for c in typed],
-        *[F.count_if(text[c].try_cast("double").isNotNull()).alias(f"numeric_{c}") for c in typed],
-    )
-
-    def row(check: str, status: str, detail, holds=None):
-        made = F.struct(F.lit(check).alias("check"), F.lit(status).alias("status"),
-                        (F.lit(detail) if isinstance(detail, str) else detail).alias("detail"))
-        return made if holds is None else F.when(holds, made)
-
-    rows = []
-    if expected is not None:
-        missing, extra = set(expected) - columns, columns - set(expected)
-        rows.append(row("MISSING_COLS", "FAIL", names(missing)) if missing
-                    else row("COLUMNS", "PASS", f"{len(columns)} columns found"))
-        if extra:
-            rows.append(row("EXTRA_COLS", "INFO", names(extra)))
-        for c in typed:
-            found = text_type(*[F.col(x) for x in ("n", f"filled_{c}", f"whole_{c}", f"numeric_{c}")])
-            rows.append(row(f"DTYPE_{c}", "WARN", F.concat(F.lit(f"Expected {expected[c]}, got "), found),
-                            found != expected[c]))
-    if nulls:
-        for c in df.columns:
-            gaps = F.col("n") - F.col(f"filled_{c}")
-            share = F.format_string("%.1f", rounded(percent(gaps, F.col("n")), 1))
-            rows.append(row(f"NULLS_{c}", "INFO", F.concat(with_commas(gaps), F.lit(" nulls ("), share, F.lit("%)")),
-                            gaps > 0))
-    found = profile.select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r"))
-    return found.select(F.lit(table).alias("table"), "r.check", "r.status", "r.detail")
+def profile_expressions(df: DataFrame, column: str, expected: str | None) -> list[str]:
+    """SQL for (filled rows, rows that read as a whole number, rows that read as a number).
+
+    Only text needs looking at; a typed column reads as what it is.
+    """
+    filled, kind = f"count(`{column}`)", dict(df.dtypes)[column]
+    if expected is None:
+        return [filled, "0L", "0L"]
+    if kind == "string":
+        text = f"trim(`{column}`)"
+        return [filled, f"count_if({text} RLIKE '{WHOLE_NUMBER}')", f"count_if(try_cast({text} AS double) IS NOT NULL)"]
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
+    number = whole or kind in ("float", "double") or kind.startswith("decimal")
+    return [filled, filled if whole else "0L", filled if number else "0L"]
+
+
+def column_profile(table: str, df: DataFrame, expected: dict[str, str], columns: list[str]) -> DataFrame:
+    """One row per column from a single pass: its rows, filled rows, whole numbers and numbers."""
+    parts = []
+    for c in columns:
+        filled, whole, numeric = profile_expressions(df, c, expected.get(c))
+        declared = f"'{expected[c]}'" if c in expected else "CAST(NULL AS string)"
+        parts.append(f"struct('{c}' AS column, {declared} AS expected, count(*) AS n, {filled} AS filled, "
+                     f"{whole} AS whole, {numeric} AS numeric)")
+    rows = df.agg(F.expr(f"array({', '.join(parts)})").alias("rows"))
+    return rows.selectExpr(f"'{table}' AS table", "inline(rows)")
+
+
+def column_rows(table: str, df: DataFrame, expected: dict[str, str]) -> list[tuple]:
+    missing, extra = set(expected) - set(df.columns), set(df.columns) - set(expected)
+    rows = [(table, "MISSING_COLS", "FAIL", names(missing)) if missing
+            else (table, "COLUMNS", "PASS", f"{len(df.columns)} columns found")]
+    return rows + ([(table, "EXTRA_COLS", "INFO", names(extra))] if extra else [])
 
 
 def check_profiles(tables: Mapping[str, DataFrame], expected=EXPECTED, schema=True, nulls=True) -> DataFrame:
-    parts = [profile_checks(t, df, expected.get(t) if schema else None, nulls) for t, df in tables.items()]
-    absent = [t for t in expected if t not in tables] if schema else []
-    if absent:
-        spark = next(iter(tables.values())).sparkSession
-        parts.append(fixed_rows(spark, [(t, "SCHEMA", "FAIL", "File not loaded") for t in absent]))
-    return union(parts)
+    """Column, type and missing-value checks, from one pass per table."""
+    expected = expected if schema else {}
+    profiles, known = [], [(t, "SCHEMA", "FAIL", "File not loaded") for t in expected if t not in tables]
+    for table, df in tables.items():
+        declared = expected.get(table, {})
+        if declared:
+            known += column_rows(table, df, declared)
+        columns = df.columns if nulls else [c for c in df.columns if c in declared]
+        if columns:
+            profiles.append(column_profile(table, df, declared, columns))
+    checks = f"""inline(array_compact(array(
+        CASE WHEN {READS_AS} <> expected THEN named_struct(
+            'check', 'DTYPE_' || column, 'status', 'WARN', 'detail', 'Expected ' || expected || ', got ' || {READS_AS}) END,
+        CASE WHEN n > filled AND {nulls} THEN named_struct(
+            'check', 'NULLS_' || column, 'status', 'INFO',
+            'detail', format_number(n - filled, 0) || ' nulls (' || format_string('%.1f', share) || '%)') END)))"""
+    share = rounded(percent(F.col("n") - F.col("filled"), F.col("n")), 1)
+    rows = union(profiles).withColumn("share", share).selectExpr("table", checks)
+    spark = next(iter(tables.values())).sparkSession
+    return rows.unionByName(fixed_rows(spark, known)) if known else rows
 
 
 def check_schemas(tables: Mapping[str, DataFrame], expected=EXPECTED) -> DataFrame:

@@ -8,7 +8,7 @@ from tallymart.functions.exprs import (
     cents, exact_micros, fixed_point, from_fixed_point, mean_days, money, percent, ratio, rounded, weekday_number, wide,
 )
 from tallymart.operators.joins import lookup_join
-from tallymart.operators.selection import top_k
+from tallymart.operators.selection import top_k, with_row_of
 from tallymart.plans.sales import (
     delivered_orders, distinct_products_and_sellers, order_categories, order_sales, per_customer, repeated,
     with_review_copies,
@@ -35,10 +35,8 @@ def overview(star) -> DataFrame:
         money(total("gmv")).alias("total_gmv"),
         rounded(ratio(money(total("revenue")), F.sum("n_items")), 2).alias("avg_item_price"),
     )
-    named = distinct_products_and_sellers(star).select(F.struct("unique_products", "active_sellers")).scalar()
-    return totals.select(
-        "*", named["unique_products"].alias("unique_products"), named["active_sellers"].alias("active_sellers")
-    )
+    named = distinct_products_and_sellers(star).select(F.struct("unique_products", "active_sellers"))
+    return with_row_of(totals, named, "_named").select(*totals.columns, "_named.*")
 
 
 def monthly_trends(star) -> DataFrame:
@@ -158,9 +156,7 @@ def delivery_by_state(star) -> DataFrame:
 
 def seller_performance(star, k: int = 15, reviews: str = "fan_out") -> DataFrame:
     """Sellers by delivered revenue."""
-    sold = star.order_items.groupBy("order_id", "seller_id", "product_id").agg(
-        F.count("*").alias("n_items"), F.sum(cents(F.col("price"))).alias("revenue")
-    )
+    sold = star.order_items.select("order_id", "seller_id", "product_id", cents(F.col("price")).alias("revenue"))
     orders = with_review_copies(delivered_orders(star).select("order_id"), star, reviews)
     sellers = (
         lookup_join(sold, orders, "order_id", "inner", ["seller_id", "product_id"], star.rows("orders"))
@@ -168,10 +164,10 @@ def seller_performance(star, k: int = 15, reviews: str = "fan_out") -> DataFrame
         .agg(
             F.count_distinct("order_id").alias("orders_fulfilled"),
             F.sum(repeated(F.col("revenue"), F.col("copies"))).alias("revenue"),
-            F.sum(F.col("n_items") * F.col("copies")).alias("items"),
+            F.sum("copies").alias("items"),
             F.count_distinct("product_id").alias("unique_products"),
-            F.sum(F.col("score_sum") * F.col("n_items")).alias("scores"),
-            F.sum(F.col("n_scores") * F.col("n_items")).alias("scored"),
+            F.sum("score_sum").alias("scores"),
+            F.sum("n_scores").alias("scored"),
         )
         .join(star.sellers.select("seller_id", "seller_city", "seller_state"), "seller_id")
         .select(
@@ -327,8 +323,8 @@ def yoy_growth(star) -> DataFrame:
 def category_reviews(star, k: int = 20, min_reviews: int = 50) -> DataFrame:
     """Categories by mean score; a review counts once per item of its order, but once as a review."""
     sold = order_categories(star).join(delivered_orders(star), "order_id").select("order_id", "category", "n_items")
-    reviews = star.reviews.groupBy("order_id", "review_id", "review_score").agg(F.count("*").alias("n"))
-    score, weight = F.col("review_score"), F.col("n_items") * F.col("n")
+    reviews = star.reviews.select("order_id", "review_id", "review_score")
+    score, weight = F.col("review_score"), F.col("n_items")
     by_category = (
         lookup_join(reviews, sold, "order_id", "inner", ["review_id"], star.rows("order_items"))
         .groupBy("category")

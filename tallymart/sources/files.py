@@ -22,7 +22,8 @@ FREE_TEXT_TABLES = {"reviews"}
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """A CSV file or folder with header; values that do not fit their type and missing texts are NULL."""
-    df = spark.read.csv(path, schema=schema, header=True, multiLine=multi_line, escape='"', enforceSchema=True)
+    reader = spark.read.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+    df = reader.csv(path, schema=schema, header=True, multiLine=multi_line, escape='"')
     texts = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
     return df.select(*[
         F.when(~F.col(c).isin(MISSING_TEXTS), F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns
@@ -31,7 +32,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
 
 def write_csv(df: DataFrame, path: str) -> None:
     """One folder of CSV parts with header; quotes are doubled, so any text survives."""
-    df.write.mode("overwrite").csv(path, header=True, escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
+    writer = df.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    writer.csv(path, header=True, escape='"')
 
 
 def load_tables(spark: SparkSession, folder: str, schemas: dict[str, T.StructType] = RAW_SCHEMAS) -> dict[str, DataFrame]:

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from oracles import reports
+from oracles import jobs, reports, views
 
-SQL: dict[str, str] = {**reports.SQL}
+SQL: dict[str, str] = {**reports.SQL, **jobs.SQL, **views.SQL}

@@ -56,6 +56,7 @@ def lookup_join(
     how: str = "inner",
     spread_by: list[str] | None = None,
     right_rows: int | None = None,
+    keys_from: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     max_keys: int = HOT_KEYS,
 ) -> DataFrame:
@@ -64,12 +65,13 @@ def lookup_join(
     A counted-small ``right`` is broadcast. Otherwise both sides are shuffled, and keys that are hot
     on the left are split over slices by ``spread_by`` (default: the other columns of ``left``).
     ``right_rows`` is an upper bound for the rows of ``right`` where the caller already knows one.
+    ``keys_from`` has the key column of ``left`` from before other joins, to look for hot keys in.
     """
     if right_rows is None:
         right_rows = right.select(key).count()
     if right_rows <= broadcast_rows:
         return left.join(F.broadcast(right), key, how)
-    hot = hot_keys(left, key, max_keys)
+    hot = hot_keys(left if keys_from is None else keys_from, key, max_keys)
     if not hot:
         return left.join(right, key, how)
     return sliced_join(left, right, key, how, spread_by or [c for c in left.columns if c != key], hot)

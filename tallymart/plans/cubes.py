@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallymart.functions.exprs import money, ratio, rounded
 from tallymart.plans.reports import total
-from tallymart.plans.sales import delivered_orders, order_categories, order_states, repeated, scores_per_order
+from tallymart.plans.sales import category_sales, delivered_orders, order_states, repeated, scores_per_order
 
 # Output widths and placeholders of the exports.
 SHORT_CATEGORY, LONG_CATEGORY = 15, 20
@@ -16,7 +16,7 @@ OTHER, UNKNOWN = "Other", "Unknown"
 def _cells(star, *order_columns: str) -> DataFrame:
     """Delivered items at (order, category) grain with order columns and state; unknown products stay."""
     orders = order_states(star, delivered_orders(star, *order_columns))
-    return orders.join(order_categories(star, "left"), "order_id")
+    return category_sales(star, orders, "left")
 
 
 def state_category_cube(star) -> DataFrame:

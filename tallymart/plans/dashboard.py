@@ -11,7 +11,7 @@ from tallymart.operators.joins import lookup_join
 from tallymart.operators.selection import top_k, trim_edges, with_row_of
 from tallymart.plans.reports import customer_totals, total
 from tallymart.plans.sales import (
-    delivered_orders, distinct_products_and_sellers, items_per_order, order_categories, order_sales, order_states,
+    category_sales, delivered_orders, distinct_products_and_sellers, items_per_order, order_sales, order_states,
     per_customer, repeated, with_review_copies,
 )
 from tallymart.plans.segments import RfmConfig, short_segments
@@ -80,7 +80,7 @@ def monthly_trends_for_year(star, year: str) -> DataFrame:
 
 def category_performance(star, k: int = 15) -> DataFrame:
     by_category = (
-        order_categories(star).join(delivered_orders(star), "order_id").groupBy("category")
+        category_sales(star, delivered_orders(star).select("order_id")).groupBy("category")
         .agg(money(total("revenue")).alias("revenue"), F.count("*").alias("orders"))
     )
     return top_k(by_category, k, F.desc("revenue"), F.asc("category"))

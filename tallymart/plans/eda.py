@@ -16,7 +16,7 @@ from tallymart.operators.quantiles import exact_quantiles
 from tallymart.operators.running import running_total
 from tallymart.operators.selection import top_k, trim_edges
 from tallymart.plans.reports import customer_totals, freight_per_customer, total
-from tallymart.plans.sales import delivered_orders, order_categories, order_sales, per_customer, scores_per_order
+from tallymart.plans.sales import category_sales, delivered_orders, order_sales, per_customer, scores_per_order
 
 
 def monthly(star) -> DataFrame:
@@ -220,7 +220,7 @@ def seller_pareto(star) -> DataFrame:
     return ranked.select(
         "seller_id", money(F.col("revenue")).alias("revenue"), "position",
         percent(F.col("position"), F.col("rows")).alias("seller_pct"),
-        percent(F.col("running"), F.col("total")).alias("cumulative_pct"),
+        percent(money(F.col("running")), money(F.col("total"))).alias("cumulative_pct"),
     )
 
 
@@ -256,7 +256,7 @@ def installments(star, most: int = 12) -> DataFrame:
 
 def category_scores(star, k: int = 15, min_count: int = 100) -> DataFrame:
     """Best-scored categories, smallest mean first, with the mean of the means shown."""
-    sold = order_categories(star).where("category IS NOT NULL").join(delivered_orders(star), "order_id")
+    sold = category_sales(star, delivered_orders(star).select("order_id")).where("category IS NOT NULL")
     scored = sold.join(scores_per_order(star.reviews), "order_id")
     means = (
         scored.groupBy("category")

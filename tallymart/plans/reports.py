@@ -10,7 +10,7 @@ from tallymart.functions.exprs import (
 from tallymart.operators.joins import lookup_join
 from tallymart.operators.selection import top_k, with_row_of
 from tallymart.plans.sales import (
-    delivered_orders, distinct_products_and_sellers, order_categories, order_sales, per_customer, repeated,
+    category_sales, delivered_orders, distinct_products_and_sellers, order_sales, per_customer, repeated,
     with_review_copies,
 )
 
@@ -95,8 +95,7 @@ def category_performance(star, k: int = 20) -> DataFrame:
     """Categories by delivered revenue; the share is of the revenue of all items, delivered or not."""
     all_revenue = all_items_revenue(star)
     return top_k(
-        order_categories(star)
-        .join(delivered_orders(star), "order_id")
+        category_sales(star, delivered_orders(star).select("order_id"))
         .groupBy("category")
         .agg(
             F.count("*").alias("order_count"),
@@ -322,7 +321,7 @@ def yoy_growth(star) -> DataFrame:
 
 def category_reviews(star, k: int = 20, min_reviews: int = 50) -> DataFrame:
     """Categories by mean score; a review counts once per item of its order, but once as a review."""
-    sold = order_categories(star).join(delivered_orders(star), "order_id").select("order_id", "category", "n_items")
+    sold = category_sales(star, delivered_orders(star).select("order_id")).select("order_id", "category", "n_items")
     reviews = star.reviews.select("order_id", "review_id", "review_score")
     score, weight = F.col("review_score"), F.col("n_items")
     by_category = (

@@ -87,12 +87,17 @@ def order_states(star, orders: DataFrame) -> DataFrame:
     return lookup_join(orders, states, "customer_id", "inner", ["order_id"], star.rows("customers"))
 
 
-def order_categories(star, how: str = "inner") -> DataFrame:
-    """Items reduced to one row per (order, category); ``how="left"`` keeps items of unknown products."""
-    names = star.products.select("product_id", F.col("product_category_name_english").alias("category"))
+def category_sales(star, orders: DataFrame, how: str = "inner") -> DataFrame:
+    """Items of the given orders at (order, category) grain, with the order columns.
+
+    ``how="left"`` keeps items of unknown products. The join leaves rows partitioned by order, so the
+    aggregation needs no shuffle of its own; an order with very many items is spread over tasks.
+    """
     items = star.order_items.select("order_id", "order_item_id", "product_id", "price")
-    return lookup_join(items, names, "product_id", how, ["order_id"], star.rows("products")).groupBy(
-        "order_id", "category").agg(
+    names = star.products.select("product_id", F.col("product_category_name_english").alias("category"))
+    named = lookup_join(items, names, "product_id", how, ["order_id", "order_item_id"], star.rows("products"))
+    sold = lookup_join(named, orders, "order_id", "inner", ["product_id", "order_item_id"], star.rows("orders"), items)
+    return sold.groupBy("category", *orders.columns).agg(
         F.count("*").alias("n_items"),
         F.sum(cents(F.col("price"))).alias("revenue"),
         F.sum("order_item_id").alias("item_numbers"),

@@ -262,7 +262,7 @@ SQL = {
     "price_freight_sample": statement(f"""
         SELECT order_id, order_item_id, {dbl('price')} AS price, {dbl('freight_value')} AS freight_value
         FROM fact_order_items
-        ORDER BY ((order_id * 8 + order_item_id) * 2654435761) % 4294967296, order_id, order_item_id, price, freight_value
+        ORDER BY (order_id * 8 + order_item_id) % 2147483648 * 2654435761 % 4294967296, order_id, order_item_id, price, freight_value
         LIMIT 5000"""),
     "seller_stats": statement(f"SELECT seller_id, {dbl('revenue')} AS revenue, orders, items FROM sellers", sellers=SELLERS),
     "seller_pareto": statement(PARETO, sellers=SELLERS),

@@ -183,7 +183,8 @@ def price_histogram(star) -> DataFrame:
     return histogram(star.order_items.select("price").where(F.col("price") <= limit), "price")
 
 
-SAMPLE_FACTOR, SAMPLE_RANGE = 2654435761, 4294967296
+# A multiplicative hash: ids are reduced first so that the product fits a bigint.
+ID_RANGE, SAMPLE_FACTOR, SAMPLE_RANGE = 2147483648, 2654435761, 4294967296
 
 
 def price_freight_sample(star, n: int = 5000) -> DataFrame:
@@ -194,7 +195,7 @@ def price_freight_sample(star, n: int = 5000) -> DataFrame:
     order_id = F.col("order_id")
     if dict(star.order_items.dtypes)["order_id"] == "string":
         order_id = F.crc32(order_id)
-    place = ((order_id * 8 + F.col("order_item_id")) * F.lit(SAMPLE_FACTOR)) % F.lit(SAMPLE_RANGE)
+    place = (order_id * 8 + F.col("order_item_id")) % ID_RANGE * F.lit(SAMPLE_FACTOR) % F.lit(SAMPLE_RANGE)
     columns = ["order_id", "order_item_id", "price", "freight_value"]
     return top_k(star.order_items.select(*columns, place.alias("_place")), n, F.asc("_place"), *columns).drop("_place")
 

@@ -18,10 +18,19 @@ READS_AS = """CASE WHEN filled = 0 THEN 'float64' WHEN whole = filled AND filled
                    WHEN numeric = filled THEN 'float64' ELSE 'object' END"""
 
 
+REPORT_SCHEMA = "table string, check string, status string, detail string"
+
+
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def report_of(tables: Mapping[str, DataFrame], parts: list[DataFrame]) -> DataFrame:
+    """The rows of all checks; none of them may apply to the given tables."""
+    spark = next(iter(tables.values())).sparkSession
+    return union(parts) if parts else spark.createDataFrame([], REPORT_SCHEMA)
+
+
 def report_row(table: str, check: str, status: Column, detail: Column) -> list[Column]:
     return [F.lit(table).alias("table"), F.lit(check).alias("check"), status.alias("status"), detail.alias("detail")]
 
@@ -93,9 +102,10 @@ def check_profiles(tables: Mapping[str, DataFrame], expected=EXPECTED, schema=Tr
             'check', 'NULLS_' || column, 'status', 'INFO',
             'detail', format_number(n - filled, 0) || ' nulls (' || format_string('%.1f', share) || '%)') END)))"""
     share = rounded(percent(F.col("n") - F.col("filled"), F.col("n")), 1)
-    rows = union(profiles).withColumn("share", share).selectExpr("table", checks)
-    spark = next(iter(tables.values())).sparkSession
-    return rows.unionByName(fixed_rows(spark, known)) if known else rows
+    parts = [union(profiles).withColumn("share", share).selectExpr("table", checks)] if profiles else []
+    if known:
+        parts.append(fixed_rows(next(iter(tables.values())).sparkSession, known))
+    return report_of(tables, parts)
 
 
 def check_schemas(tables: Mapping[str, DataFrame], expected=EXPECTED) -> DataFrame:
@@ -118,7 +128,7 @@ def check_primary_keys(tables: Mapping[str, DataFrame], keys: dict[str, list[str
             parts.append(shared.select(*report_row(
                 table, "PRIMARY_KEY", F.when(F.col("n") == 0, "PASS").otherwise("FAIL"),
                 F.concat(F.lit(f"PK={columns}, duplicates="), F.col("n").cast("string")))))
-    return union(parts)
+    return report_of(tables, parts)
 
 
 def check_foreign_keys(tables: Mapping[str, DataFrame], keys: dict[str, list[tuple]] = FOREIGN_KEYS) -> DataFrame:
@@ -141,7 +151,7 @@ def check_foreign_keys(tables: Mapping[str, DataFrame], keys: dict[str, list[tup
                 F.when(F.col("orphans") == 0, "PASS").otherwise("WARN"),
                 F.concat(F.col("orphans").cast("string"), F.lit(" orphan values out of "),
                          F.col("n").cast("string"), F.lit(" unique")))))
-    return union(parts)
+    return report_of(tables, parts)
 
 
 def check_duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -154,7 +164,7 @@ def check_duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
         parts.append(counts.select(*report_row(
             table, "DUPLICATES", F.when(repeats == 0, "PASS").otherwise("WARN"),
             F.concat(repeats.cast("string"), F.lit(" duplicate rows out of "), with_commas(F.col("n"))))))
-    return union(parts)
+    return report_of(tables, parts)
 
 
 def quality_report(tables: Mapping[str, DataFrame], expected=EXPECTED, primary_keys=PRIMARY_KEYS,

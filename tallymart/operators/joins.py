@@ -13,12 +13,13 @@ HOT_KEYS = 1_000
 SLICES = 4_000
 
 
-def hot_keys(df: DataFrame, key: str, max_keys: int = HOT_KEYS, slices: int = SLICES) -> list[tuple]:
+def hot_keys(df: DataFrame, key: str, max_keys: int | None = None, slices: int | None = None) -> list[tuple]:
     """``[(key value, number of slices)]`` for the keys that hold at least 1/max_keys of the rows.
 
     One pass over the key column with a mergeable heavy-hitter sketch; the driver gets at most
     ``max_keys`` values. The counts are estimates: they steer how rows spread, never the result.
     """
+    max_keys, slices = max_keys or HOT_KEYS, slices or SLICES
     found = df.agg(
         F.expr(f"approx_top_k(`{key}`, {max_keys}, {max_keys * 10})").alias("top"),
         F.count("*").alias("n"),
@@ -57,8 +58,8 @@ def lookup_join(
     spread_by: list[str] | None = None,
     right_rows: int | None = None,
     keys_from: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
-    max_keys: int = HOT_KEYS,
+    broadcast_rows: int | None = None,
+    max_keys: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` on ``key`` (``how`` inner or left).
 
@@ -69,7 +70,7 @@ def lookup_join(
     """
     if right_rows is None:
         right_rows = right.select(key).count()
-    if right_rows <= broadcast_rows:
+    if right_rows <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
         return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left if keys_from is None else keys_from, key, max_keys)
     if not hot:

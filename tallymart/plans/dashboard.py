@@ -12,7 +12,7 @@ from tallymart.operators.selection import top_k, trim_edges, with_row_of
 from tallymart.plans.reports import customer_totals, total
 from tallymart.plans.sales import (
     category_sales, delivered_orders, distinct_products_and_sellers, items_per_order, order_sales, order_states,
-    per_customer, repeated, with_review_copies,
+    per_customer, repeated, store_order_sales, with_review_copies,
 )
 from tallymart.plans.segments import RfmConfig, short_segments
 
@@ -31,7 +31,11 @@ def kpis(star, year: int | None = None, state: str | None = None, category: str
     if year is not None:
         orders = orders.where(F.col("order_year") == year)
 
-    sold = with_review_copies(orders.join(items_per_order(items), "order_id"), star, reviews)
+    if year is None and category is None:
+        totals = order_sales(star, "delivery_days")
+    else:
+        totals = orders.join(items_per_order(items), "order_id")
+    sold = with_review_copies(totals, star, reviews)
     days, n_rows = F.col("delivery_days"), F.col("n_items") * F.col("copies")
     customers = per_customer(
         sold, star,
@@ -175,6 +179,7 @@ def dashboard_document(star, rfm: RfmConfig = RfmConfig()) -> DataFrame:
     Every section is a report with a bounded number of rows (months, states, scores), which makes
     gathering its rows into one object safe. Amounts are written with two decimals.
     """
+    star = store_order_sales(star)
     parts = [
         _section("kpis", kpis(star), None),
         _section("monthly_trends", monthly_trends(star), [F.col("month")]),

@@ -8,6 +8,7 @@ from tallymart.functions.exprs import cents, money, percent, rounded, wide
 from tallymart.operators.selection import top_k
 from tallymart.plans import reports
 from tallymart.plans.dashboard import category_performance, regional_data
+from tallymart.plans.sales import store_order_sales
 from tallymart.plans.segments import RfmConfig, customer_segmentation
 
 
@@ -48,6 +49,7 @@ def positive_review_rate(star) -> DataFrame:
 
 def findings_digest(star, rfm: RfmConfig = RfmConfig()) -> DataFrame:
     """Key findings as rows (section, rank, label, metric, value)."""
+    star = store_order_sales(star)
     one = F.lit("all").alias("label")
     parts = [
         _findings("overview", reports.overview(star).withColumn("label", one), "label", [F.asc("label")], [

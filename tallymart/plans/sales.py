@@ -10,10 +10,13 @@ sides' per-order sums. An order with any number of items and reviews stays a han
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
 from tallymart.functions.exprs import cents, wide
 from tallymart.operators.joins import lookup_join
+from tallymart.session import new_shared_path
 
 DELIVERED = "delivered"
 
@@ -31,8 +34,26 @@ def items_per_order(items: DataFrame) -> DataFrame:
     )
 
 
+ORDER_SALES_COLUMNS = [
+    "order_purchase_timestamp", "order_year", "order_year_month", "order_day_of_week", "order_hour", "delivery_days",
+    "delivery_delay_days",
+]
+
+
+def store_order_sales(star):
+    """The same star with its order totals written to the shared folder, so that the reports which
+    start from them scan and shuffle the items once between them.
+    """
+    totals = order_sales(star, *ORDER_SALES_COLUMNS)
+    path = new_shared_path(totals.sparkSession, "order-sales")
+    totals.write.parquet(path)
+    return replace(star, order_sales=totals.sparkSession.read.schema(totals.schema).parquet(path))
+
+
 def order_sales(star, *columns: str) -> DataFrame:
     """One row per delivered order that has items: its item totals and the given order columns."""
+    if star.order_sales is not None:
+        return star.order_sales.select("order_id", "customer_id", *columns, "n_items", "revenue", "freight", "gmv")
     return delivered_orders(star, *columns).join(items_per_order(star.order_items), "order_id")
 
 

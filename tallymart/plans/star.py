@@ -17,6 +17,8 @@ class Star:
     """Cleaned tables over ``raw`` ones. Everything stays lazy; unused columns and joins are pruned."""
 
     raw: Mapping[str, DataFrame]
+    # Delivered order totals written once for several reports, see sales.store_order_sales.
+    order_sales: DataFrame | None = None
     _rows: dict[str, int] = field(default_factory=dict)
 
     @cached_property
@@ -72,6 +74,7 @@ class StoredStar:
 
     spark: SparkSession
     folder: str
+    order_sales: DataFrame | None = None
 
     def __getattr__(self, name: str) -> DataFrame:
         for table, (source, _) in STAR_TABLES.items():
@@ -95,10 +98,12 @@ def star_table(star: Star, table: str) -> DataFrame:
     return df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if c in texts else F.col(c) for c in common])
 
 
-def write_star(star: Star, folder: str, tables: list[str] | None = None) -> StoredStar:
-    """Replace the star tables in ``folder``."""
+def write_star(star: Star, folder: str, tables: list[str] | None = None,
+               partition_by: Mapping[str, list[str]] | None = None) -> StoredStar:
+    """Replace the star tables in ``folder``; ``partition_by`` names folder columns per table, e.g. the year."""
     for table in tables or STAR_TABLES:
-        star_table(star, table).write.mode("overwrite").parquet(f"{folder}/{table}")
+        writer = star_table(star, table).write.mode("overwrite")
+        writer.parquet(f"{folder}/{table}", partitionBy=list((partition_by or {}).get(table, [])) or None)
     return StoredStar(star.raw["orders"].sparkSession, folder)
 
 

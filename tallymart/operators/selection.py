@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallymart.functions.exprs import percent, rounded
+
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """The first ``k`` rows; each task keeps k rows and only those are merged. ``order`` must be total."""
@@ -15,6 +17,13 @@ def with_row_of(df: DataFrame, one: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, one.scalar())
 
 
+def with_share(df: DataFrame, name: str, part: Column, whole: DataFrame, digits: int | None = None) -> DataFrame:
+    """Adds ``part`` as a percentage of the single value of ``whole``, rounded to ``digits`` if given."""
+    share = percent(part, F.col("_whole"))
+    share = share if digits is None else rounded(share, digits)
+    return with_row_of(df, whole, "_whole").withColumn(name, share).drop("_whole")
+
+
 def trim_edges(df: DataFrame, key: str, only_if_more_than: int = 0) -> DataFrame:
     """Drop the rows of the smallest and largest ``key`` (the first and last month of a series).
 

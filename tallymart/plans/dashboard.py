@@ -8,7 +8,7 @@ from tallymart.functions.exprs import (
     cents, exact_micros, mean_days, money, percent, ratio, rounded, weekday_number, wide,
 )
 from tallymart.operators.joins import lookup_join
-from tallymart.operators.selection import top_k, trim_edges, with_row_of
+from tallymart.operators.selection import top_k, trim_edges, with_row_of, with_share
 from tallymart.plans.reports import customer_totals, total
 from tallymart.plans.sales import (
     category_sales, delivered_orders, distinct_products_and_sellers, items_per_order, order_sales, order_states,
@@ -112,8 +112,8 @@ def payment_distribution(star) -> DataFrame:
 
 def payment_share(star) -> DataFrame:
     by_type = payment_distribution(star)
-    all_value = by_type.agg(F.sum(wide(cents(F.col("value"))))).scalar()
-    return by_type.select("type", "value", rounded(percent(F.col("value"), money(all_value)), 1).alias("share_pct"))
+    all_value = by_type.agg(money(F.sum(wide(cents(F.col("value"))))))
+    return with_share(by_type.drop("count"), "share_pct", F.col("value"), all_value, 1)
 
 
 def review_distribution(star) -> DataFrame:
@@ -125,8 +125,7 @@ def review_distribution(star) -> DataFrame:
 
 def review_share(star) -> DataFrame:
     by_score = review_distribution(star)
-    n = by_score.agg(F.sum("count")).scalar()
-    return by_score.select("score", "count", rounded(percent(F.col("count"), n), 1).alias("share_pct"))
+    return with_share(by_score, "share_pct", F.col("count"), by_score.agg(F.sum("count")), 1)
 
 
 def delivery_metrics(star) -> DataFrame:

@@ -14,7 +14,7 @@ from tallymart.operators.distributions import box_summary, histogram, outlier_fe
 from tallymart.operators.moments import correlation_matrix
 from tallymart.operators.quantiles import exact_quantiles
 from tallymart.operators.running import running_total
-from tallymart.operators.selection import top_k, trim_edges
+from tallymart.operators.selection import top_k, trim_edges, with_row_of, with_share
 from tallymart.plans.reports import customer_totals, freight_per_customer, total
 from tallymart.plans.sales import category_sales, delivered_orders, order_sales, per_customer, scores_per_order
 
@@ -41,13 +41,12 @@ def category_revenue(star, k: int = 15) -> DataFrame:
 def payment_mix(star) -> DataFrame:
     value = F.sum(wide(cents(F.col("payment_value"))))
     typed = star.payments.where("payment_type IS NOT NULL")
-    everything = typed.agg(value).scalar()
-    return (
+    kinds = (
         typed.groupBy(F.col("payment_type").alias("type"))
         .agg(money(value).alias("total_value"), F.count("payment_value").alias("count"))
-        .withColumn("value_pct", percent(F.col("total_value"), money(everything)))
-        .orderBy(F.desc("total_value"), "type")
     )
+    return with_share(kinds, "value_pct", F.col("total_value"), typed.agg(money(value))).orderBy(
+        F.desc("total_value"), "type")
 
 
 def delivered_reviews(star) -> DataFrame:
@@ -270,8 +269,8 @@ def category_scores(star, k: int = 15, min_count: int = 100) -> DataFrame:
         .select("category", ratio(F.col("scores"), F.col("count")).alias("avg_score"), "count", "revenue")
     )
     best = top_k(means, k, F.desc("avg_score"), F.asc("category"))
-    mean = best.agg(ratio(from_fixed_point(F.sum(fixed_point(F.col("avg_score")))), F.count("*"))).scalar()
-    return best.withColumn("mean_of_means", rounded(mean, 6)).orderBy("avg_score", F.desc("category"))
+    mean = ratio(from_fixed_point(F.sum(fixed_point(F.col("avg_score")))), F.count("*"))
+    return with_row_of(best, best.agg(rounded(mean, 6)), "mean_of_means").orderBy("avg_score", F.desc("category"))
 
 
 def freight(star, k: int = 15) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallymart.functions.exprs import cents, money, percent, rounded, wide
-from tallymart.operators.selection import top_k
+from tallymart.operators.selection import top_k, with_row_of, with_share
 from tallymart.plans import reports
 from tallymart.plans.dashboard import category_performance, regional_data
 from tallymart.plans.sales import store_order_sales
@@ -15,10 +15,9 @@ from tallymart.plans.segments import RfmConfig, customer_segmentation
 def segment_revenue_share(star, rfm: RfmConfig = RfmConfig(), recovery: float = 0.10) -> DataFrame:
     """Each segment's share of revenue, and what winning back part of it would bring."""
     segments = customer_segmentation(star, rfm)
-    everything = segments.agg(F.sum(wide(cents(F.col("total_revenue"))))).scalar()
-    return segments.select(
-        "segment", "total_revenue",
-        rounded(percent(F.col("total_revenue"), money(everything)), 1).alias("revenue_share_pct"),
+    everything = segments.agg(money(F.sum(wide(cents(F.col("total_revenue"))))))
+    return with_share(segments, "revenue_share_pct", F.col("total_revenue"), everything, 1).select(
+        "segment", "total_revenue", "revenue_share_pct",
         rounded(F.col("total_revenue") * recovery, 2).alias("recovery_value"),
     )
 
@@ -29,9 +28,9 @@ def top_n_concentration(star, categories: int = 5, states: int = 3) -> DataFrame
 
     def held(df: DataFrame, by: str, n: int, key: str) -> DataFrame:
         largest = top_k(df, n, F.desc("revenue"), F.asc(key))
-        return largest.agg(F.sum(wide(cents(F.col("revenue")))).alias("held")).select(
-            F.lit(by).alias("dimension"), F.lit(n).alias("top_n"),
-            rounded(percent(money(F.col("held")), money(everything)), 1).alias("revenue_share_pct"))
+        total = largest.agg(money(F.sum(wide(cents(F.col("revenue"))))).alias("held"))
+        return with_share(total, "revenue_share_pct", F.col("held"), everything, 1).select(
+            F.lit(by).alias("dimension"), F.lit(n).alias("top_n"), "revenue_share_pct")
 
     return held(category_performance(star), "category", categories, "category").unionByName(
         held(regional_data(star), "state", states, "state"))
@@ -39,12 +38,11 @@ def top_n_concentration(star, categories: int = 5, states: int = 3) -> DataFrame
 
 def positive_review_rate(star) -> DataFrame:
     """Reviews of delivered orders with 4 or 5 stars as a percentage of all reviews."""
-    n_reviews = star.reviews.agg(F.count("*")).scalar()
+    n_reviews = star.reviews.agg(F.count("*").alias("all_reviews"))
     scores = reports.review_analysis(star)
     positive = F.coalesce(F.sum(F.when(F.col("review_score") >= 4, F.col("review_count"))), F.lit(0))
-    return scores.agg(positive.alias("positive_reviews")).select(
-        "positive_reviews", n_reviews.alias("all_reviews"),
-        rounded(percent(F.col("positive_reviews"), n_reviews), 1).alias("positive_pct"))
+    return with_row_of(scores.agg(positive.alias("positive_reviews")), n_reviews, "all_reviews").withColumn(
+        "positive_pct", rounded(percent(F.col("positive_reviews"), F.col("all_reviews")), 1))
 
 
 def findings_digest(star, rfm: RfmConfig = RfmConfig()) -> DataFrame:

@@ -8,7 +8,7 @@ from tallymart.functions.exprs import (
     cents, exact_micros, fixed_point, from_fixed_point, mean_days, money, percent, ratio, rounded, weekday_number, wide,
 )
 from tallymart.operators.joins import lookup_join
-from tallymart.operators.selection import top_k, with_row_of
+from tallymart.operators.selection import top_k, with_row_of, with_share
 from tallymart.plans.sales import (
     category_sales, delivered_orders, distinct_products_and_sellers, order_sales, per_customer, repeated,
     with_review_copies,
@@ -20,9 +20,9 @@ def total(name: str):
     return F.sum(wide(F.col(name)))
 
 
-def all_items_revenue(star):
-    """Revenue in cents of all items, delivered or not, as a scalar subquery."""
-    return star.order_items.agg(F.sum(wide(cents(F.col("price"))))).scalar()
+def all_items_revenue(star) -> DataFrame:
+    """One row: the revenue of all items, delivered or not."""
+    return star.order_items.agg(money(F.sum(wide(cents(F.col("price"))))))
 
 
 def overview(star) -> DataFrame:
@@ -93,29 +93,24 @@ def top_customers(star, k: int = 10, reviews: str = "fan_out") -> DataFrame:
 
 def category_performance(star, k: int = 20) -> DataFrame:
     """Categories by delivered revenue; the share is of the revenue of all items, delivered or not."""
-    all_revenue = all_items_revenue(star)
-    return top_k(
+    categories = (
         category_sales(star, delivered_orders(star).select("order_id"))
         .groupBy("category")
         .agg(
             F.count("*").alias("order_count"),
             F.sum("item_numbers").alias("items_sold"),
-            total("revenue").alias("revenue"),
+            money(total("revenue")).alias("total_revenue"),
             rounded(ratio(money(total("revenue")), F.sum("n_items")), 2).alias("avg_price"),
         )
-        .select(
-            "category", "order_count", "items_sold", money(F.col("revenue")).alias("total_revenue"), "avg_price",
-            rounded(percent(money(F.col("revenue")), money(all_revenue)), 2).alias("revenue_share_pct"),
-        ),
-        k, F.desc("total_revenue"), F.asc("category"),
     )
+    shares = with_share(categories, "revenue_share_pct", F.col("total_revenue"), all_items_revenue(star), 2)
+    return top_k(shares, k, F.desc("total_revenue"), F.asc("category"))
 
 
 def payment_distribution(star) -> DataFrame:
     """All payments by type."""
     paid = wide(cents(F.col("payment_value")))
-    n_payments = star.payments.agg(F.count("*")).scalar()
-    return (
+    kinds = (
         star.payments.groupBy("payment_type")
         .agg(
             F.count("*").alias("transaction_count"),
@@ -123,9 +118,10 @@ def payment_distribution(star) -> DataFrame:
             rounded(ratio(money(F.sum(paid)), F.count("payment_value")), 2).alias("avg_value"),
             rounded(ratio(F.sum("payment_installments"), F.count("payment_installments")), 1).alias("avg_installments"),
         )
-        .withColumn("pct_of_transactions", rounded(percent(F.col("transaction_count"), n_payments), 2))
-        .orderBy(F.desc("total_value"), "payment_type")
     )
+    n_payments = star.payments.agg(F.count("*"))
+    return with_share(kinds, "pct_of_transactions", F.col("transaction_count"), n_payments, 2).orderBy(
+        F.desc("total_value"), "payment_type")
 
 
 def delivery_by_state(star) -> DataFrame:
@@ -182,45 +178,42 @@ def seller_performance(star, k: int = 15, reviews: str = "fan_out") -> DataFrame
 
 def review_analysis(star) -> DataFrame:
     """Reviews of delivered orders by score; the percentage is of all reviews."""
-    n_reviews = star.reviews.agg(F.count("*")).scalar()
     scored = star.reviews.groupBy("order_id", "review_score").agg(
         F.count("*").alias("n"), F.sum("has_comment").alias("comments")
     )
     days, delays = F.col("delivery_days"), F.col("delivery_delay_days")
-    return (
+    scores = (
         scored.join(delivered_orders(star, "delivery_days", "delivery_delay_days"), "order_id")
         .groupBy("review_score")
         .agg(
             F.sum("n").alias("review_count"),
-            rounded(percent(F.sum("n"), F.max(n_reviews)), 1).alias("pct"),
             rounded(mean_days(F.sum(exact_micros(days) * F.col("n")), F.sum(F.when(days.isNotNull(), F.col("n")))), 1)
             .alias("avg_delivery_days"),
             rounded(mean_days(F.sum(exact_micros(delays) * F.col("n")), F.sum(F.when(delays.isNotNull(), F.col("n")))), 1)
             .alias("avg_delay_days"),
             F.sum("comments").alias("with_comments"),
         )
-        .orderBy("review_score")
     )
+    n_reviews = star.reviews.agg(F.count("*"))
+    return with_share(scores, "pct", F.col("review_count"), n_reviews, 1).select(
+        "review_score", "review_count", "pct", "avg_delivery_days", "avg_delay_days", "with_comments"
+    ).orderBy("review_score")
 
 
 def regional_performance(star) -> DataFrame:
     """States by delivered revenue; the share is of the revenue of all items."""
-    all_revenue = all_items_revenue(star)
-    return (
+    states = (
         customer_totals(star)
         .groupBy("customer_state")
         .agg(
             F.sum("orders").alias("order_count"),
             F.count_distinct("customer_unique_id").alias("unique_customers"),
-            total("revenue").alias("revenue"),
+            money(total("revenue")).alias("total_revenue"),
             rounded(ratio(money(total("revenue")), F.sum("items")), 2).alias("avg_order_value"),
         )
-        .select(
-            "customer_state", "order_count", "unique_customers", money(F.col("revenue")).alias("total_revenue"),
-            "avg_order_value", rounded(percent(money(F.col("revenue")), money(all_revenue)), 2).alias("revenue_share_pct"),
-        )
-        .orderBy(F.desc("total_revenue"), "customer_state")
     )
+    shares = with_share(states, "revenue_share_pct", F.col("total_revenue"), all_items_revenue(star), 2)
+    return shares.orderBy(F.desc("total_revenue"), "customer_state")
 
 
 def customer_totals(star) -> DataFrame:
@@ -258,13 +251,9 @@ def hourly_patterns(star) -> DataFrame:
 
 def status_breakdown(star) -> DataFrame:
     """All orders by status."""
-    n_orders = star.orders.agg(F.count("*")).scalar()
-    return (
-        star.orders.groupBy("order_status")
-        .agg(F.count("*").alias("order_count"))
-        .withColumn("pct", rounded(percent(F.col("order_count"), n_orders), 2))
-        .orderBy(F.desc("order_count"), "order_status")
-    )
+    statuses = star.orders.groupBy("order_status").agg(F.count("*").alias("order_count"))
+    shares = with_share(statuses, "pct", F.col("order_count"), star.orders.agg(F.count("*")), 2)
+    return shares.orderBy(F.desc("order_count"), "order_status")
 
 
 def freight_per_customer(star) -> DataFrame:

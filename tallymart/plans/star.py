@@ -75,15 +75,21 @@ class StoredStar:
     spark: SparkSession
     folder: str
     order_sales: DataFrame | None = None
+    _rows: dict[str, int] = field(default_factory=dict)
+
+    def _table(name: str):
+        return cached_property(lambda self: self.spark.read.parquet(f"{self.folder}/{name}"))
 
-    def __getattr__(self, name: str) -> DataFrame:
-        for table, (source, _) in STAR_TABLES.items():
-            if source == name:
-                return self.spark.read.parquet(f"{self.folder}/{table}")
-        raise AttributeError(name)
+    customers, orders, order_items = _table("dim_customers"), _table("dim_orders"), _table("fact_order_items")
+    payments, products, sellers = _table("fact_payments"), _table("dim_products"), _table("dim_sellers")
+    reviews, geolocation = _table("dim_reviews"), _table("ref_geolocation")
+    # Stored products have their gaps filled.
+    products_imputed = _table("dim_products")
 
     def rows(self, name: str) -> int:
-        return getattr(self, name).count()
+        if name not in self._rows:
+            self._rows[name] = getattr(self, name).count()
+        return self._rows[name]
 
 
 def star_table(star: Star, table: str) -> DataFrame:

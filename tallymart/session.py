@@ -17,6 +17,7 @@ def build_session(app_name: str = "tallymart", master: str | None = None, **sett
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -49,5 +50,7 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
 
 def checkpointed(df):
     """``df`` materialised in reliable storage, so that its partitioning and row placement stay fixed."""
-    shared_dir(df.sparkSession)
+    folder, context = shared_dir(df.sparkSession), df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint()

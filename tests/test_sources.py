@@ -40,8 +40,8 @@ def test_star_is_replaced_and_reports_run_on_it(spark, tmp_path):
     from tallymart.plans import reports
 
     star = tiny_star(spark, customers=[("c1", "u1", 1, "rio", "RJ")], orders=[order("a")], order_items=[item("a")])
-    for _ in range(2):
-        stored = write_star(star, str(tmp_path))
+    for partition_by in (None, {"dim_orders": ["order_year"]}):
+        stored = write_star(star, str(tmp_path), partition_by=partition_by)
     assert stored.orders.count() == 1
     assert set(stored.products.columns) < set(schemas.STAR_TABLES["dim_products"][1])  # columns on both sides
     assert rows(reports.overview(stored)) == rows(reports.overview(star))

@@ -51,8 +51,16 @@ def money(total_cents: Column) -> Column:
 
 
 def days_between(start: Column, end: Column) -> Column:
-    """Fractional days from ``start`` to ``end``."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(MICROS_PER_DAY)
+    """Fractional days from ``start`` to ``end``, both ``timestamp_ntz``.
+
+    The interval between them is taken apart, because ``timestamp_diff`` would go through the session's time
+    zone and lose or gain an hour where its clocks change.
+    """
+    gap = end - start
+    days, hours, minutes, seconds = (F.extract(F.lit(unit), gap) for unit in ("DAY", "HOUR", "MINUTE", "SECOND"))
+    whole = ((days * 24 + hours) * 60 + minutes).cast("bigint") * F.lit(60_000_000)
+    micros = whole + (seconds * F.lit(1_000_000)).cast("bigint")
+    return micros / F.lit(MICROS_PER_DAY)
 
 
 def exact_micros(days: Column) -> Column:

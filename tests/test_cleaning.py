@@ -31,6 +31,17 @@ def test_time_features_and_fractional_days(spark):
     assert abs(only(star.orders, "delivery_delay_days")[0][0] + 2 / 24) < 1e-12
 
 
+def test_days_do_not_depend_on_the_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")  # clocks change between the two days
+    try:
+        star = tiny_star(spark, orders=[
+            order("a", bought="1997-07-01 00:00:00", got="1997-12-01 00:00:00", due="1997-12-03 06:00:00.5")])
+        days, late = only(star.orders, "delivery_days", "delivery_delay_days")[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert days == 153.0 and abs(late + 2.25 + 0.5 / 86400) < 1e-12
+
+
 def test_payment_types(spark):
     star = tiny_star(spark, payments=[("o", 1, " Not_Defined ", 1, 1.0), ("o", 2, "BOLETO", 1, 1.0), ("o", 3, None, 1, 1.0)])
     assert [r[0] for r in only(star.payments, "payment_type")] == ["other", "boleto", None]

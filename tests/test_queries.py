@@ -1,10 +1,14 @@
-"""Every query against its SQL, on the smallest tables."""
+"""Every query against its SQL on the smallest tables, and what its plan must not contain."""
 
 import pytest
 
 import __spark_entry__ as spark_entry
 from tests.compare import differences, duck
 
+# Python workers and joins that compare every pair of rows.
+UNWANTED = [
+    "PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin",
+]
 QUERIES, SQL = spark_entry.queries(), spark_entry.oracle_sql()
 
 
@@ -24,5 +28,7 @@ def test_entry_has_rows(spark):
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(name, spark, con, sf_dir):
     df = QUERIES[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [word for word in UNWANTED if word in plan] == []
     assert len(set(df.columns)) == len(df.columns)
     assert differences(df, con, SQL[name]) == []

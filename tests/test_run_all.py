@@ -5,7 +5,7 @@ import json
 import pytest
 
 from oracles.base import statement
-from tallymart import pipeline
+from tallymart import run_all
 from tallymart.catalog import RFM
 from tallymart.schemas import RAW_SCHEMAS
 from tests.compare import differences, duck
@@ -19,7 +19,7 @@ def output(spark, sf_dir, tmp_path_factory):
     for name, schema in RAW_SCHEMAS.items():
         columns = ", ".join(schema.fieldNames())
         con.execute(f"COPY ({statement(f'SELECT {columns} FROM raw_{name}')}) TO '{data}/{name}.csv' (HEADER)")
-    pipeline.run(spark, str(data), str(out), RFM)
+    run_all.run(spark, str(data), str(out), RFM)
     return str(out)
 
 
@@ -43,7 +43,7 @@ def test_wide_datasets_equal_those_on_typed_tables(spark, sf_dir, output):
 def test_every_job_left_a_result(spark, output):
     import os
 
-    jobs = {"results": pipeline.named_queries(None), "exploratory": pipeline.exploratory_datasets(None)}
+    jobs = {"results": run_all.named_queries(None), "exploratory": run_all.exploratory_datasets(None)}
     for folder, names in jobs.items():
         assert sorted(os.listdir(f"{output}/{folder}")) == sorted(names)
     sections = {r["section"]: json.loads(r["json"]) for r in spark.read.json(f"{output}/dashboard").collect()}

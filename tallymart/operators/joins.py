@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame, functions as F, types as T
 # A lookup side is broadcast only when its counted rows are at most this many.
 BROADCAST_ROWS = 200_000
 
-# A key is split when it holds at least 1/HOT_KEYS of the rows, so there are at most HOT_KEYS of them.
+# A key is split when it holds at least 1/HOT_KEYS of the rows, so there are at most HOT_KEYS of them,
 HOT_KEYS = 1_000
+# and more rows than one task takes in its stride.
+HOT_ROWS = 100_000
 # A split key gets its share of this many slices.
 SLICES = 4_000
 
 
 def hot_keys(df: DataFrame, key: str, max_keys: int | None = None, slices: int | None = None) -> list[tuple]:
-    """``[(key value, number of slices)]`` for the keys that hold at least 1/max_keys of the rows.
+    """``[(key value, number of slices)]`` for the keys that hold at least 1/max_keys of the rows and HOT_ROWS.
 
     One pass over the key column with a mergeable heavy-hitter sketch; the driver gets at most
     ``max_keys`` values. The counts are estimates: they steer how rows spread, never the result.
@@ -29,7 +31,7 @@ def hot_keys(df: DataFrame, key: str, max_keys: int | None = None, slices: int |
     return [
         (row["item"], max(2, -(-row["count"] * slices // found["n"])))
         for row in found["top"] or []
-        if row["count"] * max_keys >= found["n"] and row["count"] > 1
+        if row["count"] * max_keys >= found["n"] and row["count"] >= HOT_ROWS
     ]
 
 

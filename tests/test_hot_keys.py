@@ -47,6 +47,7 @@ def hot_dir(sf_dir, tmp_path_factory):
 @pytest.fixture(autouse=True)
 def large(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_ROWS", 2)
     monkeypatch.setattr(joins, "HOT_KEYS", 20)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield

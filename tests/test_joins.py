@@ -1,9 +1,15 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallymart.operators import joins
 from tallymart.operators.joins import hot_keys, lookup_join, sliced_join
 
 
+@pytest.fixture(autouse=True)
+def few_rows_are_hot(monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 2)
+
+
 @pytest.fixture
 def skewed(spark):
     """Key 7 holds a third of 3000 rows; some keys are missing on the right, some are NULL."""
@@ -30,6 +36,11 @@ def test_hot_keys_finds_the_heavy_key(skewed):
     assert hot_keys(skewed.limit(0), "k") == []
 
 
+def test_a_key_with_few_rows_is_not_hot(skewed, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 1001)
+    assert hot_keys(skewed, "k", max_keys=20, slices=40) == []
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_sliced_join_equals_plain_join(skewed, lookup, how):
     hot = hot_keys(skewed, "k", max_keys=20, slices=40)

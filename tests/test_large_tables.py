@@ -16,6 +16,7 @@ NAMES = [
 @pytest.fixture(autouse=True)
 def large(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_ROWS", 2)
     monkeypatch.setattr(joins, "HOT_KEYS", 2000)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")

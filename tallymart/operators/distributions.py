@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallymart.operators.quantiles import exact_quantiles
+from tallymart.operators.quantiles import quantiles_of_counts, value_counts
 from tallymart.operators.selection import with_row_of
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -44,11 +44,11 @@ def box_summary(df: DataFrame, key: str, value: str, weight: str | None = None)
 
     ``key`` must have few distinct values.
     """
-    boxes = exact_quantiles(df, value, QUARTILES, [key], weight)
+    counts = value_counts(df, value, [key], weight)
+    boxes = quantiles_of_counts(counts, QUARTILES, [key])
     reach = FENCE * (F.col("q3") - F.col("q1"))
-    v = F.col(value)
-    fenced = df.where(v.isNotNull()).select(key, value).join(F.broadcast(boxes), key)
-    whiskers = fenced.groupBy(key).agg(
+    v = F.col("value")
+    whiskers = counts.drop("n").join(F.broadcast(boxes), key).groupBy(key).agg(
         F.min(F.when(v >= F.col("q1") - reach, v)).alias("low"),
         F.max(F.when(v <= F.col("q3") + reach, v)).alias("high"),
     )
@@ -60,11 +60,10 @@ def box_summary(df: DataFrame, key: str, value: str, weight: str | None = None)
     )
 
 
-def outlier_fence(df: DataFrame, value: str) -> DataFrame:
-    """One row: quartiles of the column, upper fence and how many values exceed it."""
-    q = exact_quantiles(df, value, {"q1": 0.25, "q3": 0.75})
+def outlier_fence(counts: DataFrame) -> DataFrame:
+    """One row from the rows of ``value_counts``: quartiles, upper fence and how many values exceed it."""
+    q = quantiles_of_counts(counts, {"q1": 0.25, "q3": 0.75})
     fence = q.select("q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr")).withColumn(
         "upper_bound", F.col("q3") + FENCE * F.col("iqr"))
-    limit = fence.select("upper_bound").scalar()
-    outliers = df.agg(F.count_if(F.col(value) > limit)).scalar()
-    return fence.withColumn("outlier_count", outliers)
+    beyond = with_row_of(counts, fence.select("upper_bound"), "_limit").where(F.col("value") > F.col("_limit"))
+    return with_row_of(fence, beyond.agg(F.coalesce(F.sum("n"), F.lit(0))), "outlier_count")

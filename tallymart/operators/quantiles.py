@@ -9,6 +9,18 @@ from tallymart.session import checkpointed
 BINS = 4096
 
 
+def value_counts(df: DataFrame, value: str, keys: list[str] | None = None, weight: str | None = None) -> DataFrame:
+    """How often each value occurs: the keys, ``value`` (double) and ``n``, checkpointed.
+
+    One pass over ``df``, counted before it is shuffled. Quantiles, whiskers, outliers and histograms
+    all follow from these rows. ``weight`` says how many times a row counts.
+    """
+    keys = list(keys or [])
+    times = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    named = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("value"), times.alias("n"))
+    return checkpointed(named.groupBy(*keys, "value").agg(F.sum("n").alias("n")))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -17,21 +29,24 @@ def exact_quantiles(
     weight: str | None = None,
     bins: int = BINS,
 ) -> DataFrame:
-    """Quantiles with linear interpolation, one row per group: the keys, one column per prob, and ``n``.
+    """Quantiles with linear interpolation, one row per group: the keys, one column per prob, and ``n``."""
+    return quantiles_of_counts(value_counts(df, value, keys, weight), probs, keys, bins)
 
-    ``keys`` must have few distinct values (a score, a column name). ``weight`` says how many times
-    a row counts. Steps: count each distinct value, once, into checkpointed rows; cut each group's
-    range into equal bins and find the bins that hold the wanted ranks from at most ``bins`` counts;
-    rank only the distinct values of those bins. No task ever holds a group: what it holds is one
-    bin's distinct values.
+
+def quantiles_of_counts(
+    counts: DataFrame, probs: dict[str, float], keys: list[str] | None = None, bins: int = BINS
+) -> DataFrame:
+    """Quantiles from the rows of ``value_counts``; ``keys`` must have few distinct values.
+
+    Each group's range is cut into equal bins; at most ``bins`` counts show which bins hold the wanted
+    ranks; only the distinct values of those bins are ranked. No task ever holds a group: what it holds
+    is one bin's distinct values.
     """
     keys = list(keys or [])
-    named = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"), (
-        F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")).alias("_w"))
-    if not keys:
-        named = named.withColumn("_all", F.lit(0))
     group = keys or ["_all"]
-    counts = checkpointed(named.groupBy(*group, "_v").agg(F.sum("_w").alias("_w")))
+    counts = counts.withColumnsRenamed({"value": "_v", "n": "_w"})
+    if not keys:
+        counts = counts.withColumn("_all", F.lit(0))
     ranges = counts.groupBy(*group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_w").alias("_n"))
 
     place = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * F.lit(float(bins))

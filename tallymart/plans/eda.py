@@ -12,7 +12,7 @@ from tallymart.functions.exprs import (
 )
 from tallymart.operators.distributions import box_summary, histogram, outlier_fence
 from tallymart.operators.moments import correlation_matrix
-from tallymart.operators.quantiles import exact_quantiles
+from tallymart.operators.quantiles import quantiles_of_counts, value_counts
 from tallymart.operators.running import running_total
 from tallymart.operators.selection import top_k, trim_edges, with_row_of, with_share
 from tallymart.plans.reports import customer_totals, freight_per_customer, total
@@ -152,9 +152,9 @@ def delivery_times(star) -> DataFrame:
 
 def delivery_histogram(star) -> DataFrame:
     """50 bins, with the median repeated on every row."""
-    times = delivery_times(star)
-    median = exact_quantiles(times, "delivery_days", {"median": 0.5}, weight="n").select("median").scalar()
-    return histogram(times, "delivery_days", weight="n").withColumn("median", median).orderBy("bin")
+    counts = value_counts(delivery_times(star), "delivery_days", weight="n")
+    median = quantiles_of_counts(counts, {"median": 0.5}).select("median")
+    return with_row_of(histogram(counts, "value", weight="n"), median, "median").orderBy("bin")
 
 
 def ontime_by_state(star, k: int = 10) -> DataFrame:
@@ -173,13 +173,15 @@ def ontime_by_state(star, k: int = 10) -> DataFrame:
 
 
 def price_outliers(star) -> DataFrame:
-    return outlier_fence(star.order_items, "price")
+    return outlier_fence(value_counts(star.order_items, "price"))
 
 
 def price_histogram(star) -> DataFrame:
     """Prices up to the upper fence."""
-    limit = price_outliers(star).select("upper_bound").scalar()
-    return histogram(star.order_items.select("price").where(F.col("price") <= limit), "price")
+    counts = value_counts(star.order_items, "price")
+    fence = outlier_fence(counts).select("upper_bound")
+    normal = with_row_of(counts, fence, "_limit").where(F.col("value") <= F.col("_limit"))
+    return histogram(normal, "value", weight="n")
 
 
 # A multiplicative hash: ids are reduced first so that the product fits a bigint.

@@ -37,7 +37,7 @@ def test_hot_keys_finds_the_heavy_key(skewed):
 
 
 def test_a_key_with_few_rows_is_not_hot(skewed, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_ROWS", 1001)
+    monkeypatch.setattr(joins, "HOT_ROWS", 1100)
     assert hot_keys(skewed, "k", max_keys=20, slices=40) == []
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallymart.operators.selection import with_row_of
 from tallymart.session import checkpointed
 
 BINS = 4096
@@ -43,14 +44,15 @@ def quantiles_of_counts(
     is one bin's distinct values.
     """
     keys = list(keys or [])
-    group = keys or ["_all"]
     counts = counts.withColumnsRenamed({"value": "_v", "n": "_w"})
-    if not keys:
-        counts = counts.withColumn("_all", F.lit(0))
-    ranges = counts.groupBy(*group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_w").alias("_n"))
+    ranges = counts.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_w").alias("_n"))
 
     place = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * F.lit(float(bins))
-    binned = counts.join(F.broadcast(ranges), group).withColumn(
+    if keys:
+        ranged = counts.join(F.broadcast(ranges), keys)
+    else:
+        ranged = with_row_of(counts, ranges.select(F.struct("*")), "_range").select("*", "_range.*").drop("_range")
+    binned = ranged.withColumn(
         "_bin", F.least(F.coalesce(F.floor(place), F.lit(0)), F.lit(bins - 1))
     )
 
@@ -66,20 +68,20 @@ def quantiles_of_counts(
     for p in probs.values():
         wanted = wanted | holds(p, False) | holds(p, True)
 
-    by_bin = Window.partitionBy(*group).orderBy("_bin")
+    by_bin = Window.partitionBy(*keys).orderBy("_bin")
     per_bin = (
-        binned.groupBy(*group, "_bin", "_n")
+        binned.groupBy(*keys, "_bin", "_n")
         .agg(F.sum("_w").alias("_w"))
         .withColumn("_before", F.sum("_w").over(by_bin.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_w"))
     )
-    hit = per_bin.where(wanted).select(*group, "_bin", F.col("_before").alias("_offset"))
+    hit = per_bin.where(wanted).select(*keys, "_bin", F.col("_before").alias("_offset"))
 
-    by_value = Window.partitionBy(*group, "_bin").orderBy("_v")
-    ranked = binned.join(F.broadcast(hit), [*group, "_bin"]).withColumn(
+    by_value = Window.partitionBy(*keys, "_bin").orderBy("_v")
+    ranked = binned.join(F.broadcast(hit), [*keys, "_bin"]).withColumn(
         "_before",
         F.col("_offset") + F.sum("_w").over(by_value.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_w"),
     )
-    ends = ranked.groupBy(*group, "_n").agg(
+    ends = ranked.groupBy(*keys, "_n").agg(
         *[F.max(F.when(holds(p, False), F.col("_v"))).alias(f"_{name}_lo") for name, p in probs.items()],
         *[F.max(F.when(holds(p, True), F.col("_v"))).alias(f"_{name}_hi") for name, p in probs.items()],
     )

@@ -3,13 +3,14 @@
 import pytest
 
 import __spark_entry__ as spark_entry
+from oracles.catalog import SQL
+from tallymart.catalog import QUERIES
 from tests.compare import differences, duck
 
 # Python workers and joins that compare every pair of rows.
 UNWANTED = [
     "PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin",
 ]
-QUERIES, SQL = spark_entry.queries(), spark_entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,8 @@ def con(sf_dir):
 
 def test_every_check_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
+    assert set(QUERIES) <= set(spark_entry.queries())
 
 
 def test_entry_has_rows(spark):

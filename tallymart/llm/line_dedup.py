@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymart.llm.common import utf8
-from tallymart.session import new_shared_path
+from tallymart.session import checkpointed, new_shared_path
 
 BLANKS = b" \t\n\v\f\r"
 KEY = ["h1", "h2"]
@@ -179,7 +179,8 @@ def deduplicated(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batche
 
 def _applied(docs: DataFrame, keep: list[str], min_chars: int, min_docs: int, batches: int) -> DataFrame:
     """``keep`` columns, kept, n_lines and n_dropped for docs with doc_id and text (bytes)."""
-    shared = shared_lines(docs.select("doc_id", "text"), min_chars, min_docs, batches).where("last IS NOT NULL")
+    # Written out, so that the join below shuffles both sides itself and a line of very many documents can be split.
+    shared = checkpointed(shared_lines(docs.select("doc_id", "text"), min_chars, min_docs, batches).where("last IS NOT NULL"))
     held = line_counts_by_doc(docs, min_chars)
     gone = (held.join(shared, KEY).where("doc_id IS NULL OR doc_id < last")
             .groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("_gone"))

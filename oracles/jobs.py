@@ -228,6 +228,7 @@ SQL = {
     "dq_failures": statement("SELECT * FROM report WHERE status = 'FAIL'", report=REPORT),
     "stage_reload": statement("SELECT * FROM dim_orders"),
     "csv_roundtrip": statement(STAR["dim_reviews"][0]),
+    "csv_by_name": statement("SELECT * FROM raw_order_items"),
     "table_counts": statement(
         " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in COUNTED)
         + " UNION ALL SELECT 'TOTAL', " + " + ".join(f"(SELECT COUNT(*) FROM {t})" for t in COUNTED)),

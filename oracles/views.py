@@ -60,9 +60,12 @@ def _histogram(values: str, bins: int = 50) -> dict[str, str]:
         "hist": f"""SELECT b.bin, lo + b.bin * ((hi - lo) / {bins}e0) AS bin_start,
                            lo + (b.bin + 1) * ((hi - lo) / {bins}e0) AS bin_end, COALESCE(h.count, 0) AS count
                     FROM (SELECT unnest(range({bins})) AS bin) AS b CROSS JOIN edges
-                    LEFT JOIN (SELECT CAST(least(floor((v - lo) / (hi - lo) * {bins}e0), {bins - 1}) AS BIGINT) AS bin,
-                                      COUNT(*) AS count
-                               FROM vals CROSS JOIN edges GROUP BY 1) AS h ON h.bin = b.bin""",
+                    LEFT JOIN (SELECT i AS bin, COUNT(*) AS count
+                               FROM vals JOIN (SELECT i, lo + i * ((hi - lo) / {bins}e0) AS begins,
+                                                      lo + (i + 1) * ((hi - lo) / {bins}e0) AS ends
+                                               FROM range({bins}) AS r(i) CROSS JOIN edges) AS e
+                                 ON v >= begins AND (v < ends OR i = {bins - 1})
+                               GROUP BY i) AS h ON h.bin = b.bin""",
     }
 
 
@@ -240,7 +243,8 @@ SQL = {
           ON t.order_day_of_week = w.day"""),
     "eda_hourly": statement("""
         SELECT order_hour, COUNT(DISTINCT d.order_id) AS orders
-        FROM dim_hourly_orders AS d JOIN fact_hourly_items AS i ON i.order_id = d.order_id GROUP BY order_hour"""),
+        FROM dim_hourly_orders AS d JOIN fact_hourly_items AS i ON i.order_id = d.order_id
+        WHERE order_status = 'delivered' GROUP BY order_hour"""),
     "histogram_delivery": statement(
         "SELECT hist.*, (SELECT median(v) FROM vals) AS median FROM hist",
         **_histogram("""SELECT delivery_days AS v FROM delivered_orders

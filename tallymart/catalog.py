@@ -208,6 +208,7 @@ QUERIES: dict[str, Query] = {
     "table_counts": on_star(publish.star_counts),
     "stage_reload": on_star(publish.stage_reload),
     "csv_roundtrip": on_star(publish.csv_roundtrip),
+    "csv_by_name": on_star(publish.csv_by_name),
     "sales_cube_json": on_star(publish.cube_json),
     **{f"star_load_{table}": on_star(publish.star_load, table) for table in STAR_TABLES},
 }

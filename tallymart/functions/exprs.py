@@ -20,11 +20,19 @@ def stripped(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
 
+# Doubles from here on do not fit a bigint: floor() would silently give the largest one.
+BIGINT_LIMIT = 9.2e18
+
+
 def rounded(col: Column, digits: int) -> Column:
-    """Round half away from zero on a double, by plain arithmetic so that every engine agrees on ties."""
+    """Round half away from zero on a double, by plain arithmetic so that every engine agrees on ties.
+
+    A double too large for that has no such digits and stays as it is.
+    """
     x = col.cast("double")
     scale = 10.0**digits
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    near = F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.when(F.abs(x) * F.lit(scale) < BIGINT_LIMIT, near).otherwise(x)
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -37,8 +45,10 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """An amount of money as whole cents: sums of it are exact whatever the order, and cheap."""
-    return F.floor(amount * F.lit(100.0) + F.lit(0.5))
+    """An amount of money as whole cents: sums of it are exact whatever the order, and cheap. An amount that does not fit is an error."""
+    scaled = amount * F.lit(100.0) + F.lit(0.5)
+    too_large = F.raise_error(F.concat(F.lit("amount out of range: "), amount.cast("string"))).cast("bigint")
+    return F.when(F.abs(scaled) < BIGINT_LIMIT, F.floor(scaled)).when(scaled.isNotNull(), too_large)
 
 
 def wide(whole: Column) -> Column:
@@ -76,8 +86,10 @@ FIXED_POINT = 1e12
 
 
 def fixed_point(col: Column) -> Column:
-    """A double as a whole number of 1e-12 units: sums of it are exact whatever the order."""
-    return F.floor(col * F.lit(FIXED_POINT) + F.lit(0.5)).cast("decimal(20,0)")
+    """A double as a whole number of 1e-12 units: sums of it are exact whatever the order. Beyond decimal(28) it is an error."""
+    scaled = col * F.lit(FIXED_POINT) + F.lit(0.5)
+    small, large = F.floor(scaled).cast("decimal(28,0)"), scaled.cast("decimal(28,0)")
+    return F.when(F.abs(scaled) < BIGINT_LIMIT, small).otherwise(large)
 
 
 def from_fixed_point(col: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallymart.operators.quantiles import quantiles_of_counts, value_counts
+from tallymart.operators.quantiles import joined_groups, quantiles_of_counts, value_counts
 from tallymart.operators.selection import with_row_of
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -24,12 +24,12 @@ def histogram(df: DataFrame, value: str, bins: int = 50, weight: str | None = No
     edges = values.agg(F.struct((low - pad).alias("low"), (high + pad).alias("high")))
 
     low, high = F.col("_edges.low"), F.col("_edges.high")
-    place = F.floor((F.col("v") - low) / (high - low) * F.lit(float(bins)))
-    counts = (
-        with_row_of(values, edges, "_edges")
-        .groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(F.sum("w").alias("count"))
-    )
     width = (high - low) / F.lit(float(bins))
+    guess = F.least(F.floor((F.col("v") - low) / (high - low) * F.lit(float(bins))), F.lit(bins - 1))
+    # The quotient may round past an edge: what counts is the comparison with the edges themselves.
+    place = (F.when(F.col("v") < low + guess * width, guess - 1)
+             .when((F.col("v") >= low + (guess + 1) * width) & (guess < bins - 1), guess + 1).otherwise(guess))
+    counts = with_row_of(values, edges, "_edges").groupBy(place.alias("bin")).agg(F.sum("w").alias("count"))
     numbered = df.sparkSession.range(bins).withColumnRenamed("id", "bin").join(counts, "bin", "left")
     return with_row_of(numbered, edges, "_edges").select(
         "bin",
@@ -40,20 +40,17 @@ def histogram(df: DataFrame, value: str, bins: int = 50, weight: str | None = No
 
 
 def box_summary(df: DataFrame, key: str, value: str, weight: str | None = None) -> DataFrame:
-    """Per group: quartiles, and whiskers at the furthest values within 1.5 interquartile ranges.
-
-    ``key`` must have few distinct values.
-    """
+    """Per group: quartiles, and whiskers at the furthest values within 1.5 interquartile ranges."""
     counts = value_counts(df, value, [key], weight)
     boxes = quantiles_of_counts(counts, QUARTILES, [key])
     reach = FENCE * (F.col("q3") - F.col("q1"))
     v = F.col("value")
-    whiskers = counts.drop("n").join(F.broadcast(boxes), key).groupBy(key).agg(
+    whiskers = joined_groups(counts.drop("n"), boxes, [key]).groupBy(key).agg(
         F.min(F.when(v >= F.col("q1") - reach, v)).alias("low"),
         F.max(F.when(v <= F.col("q3") + reach, v)).alias("high"),
     )
     # A whisker never ends inside the box.
-    return boxes.join(F.broadcast(whiskers), key).select(
+    return boxes.join(whiskers, key).select(
         key, F.col("n"), "q1", "median", "q3",
         F.least("low", "q1").alias("whisker_low"),
         F.greatest("high", "q3").alias("whisker_high"),

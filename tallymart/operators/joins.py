@@ -40,12 +40,14 @@ def sliced_join(left: DataFrame, right: DataFrame, key: str, how: str, spread_by
 
     ``right`` rows of a hot key are repeated once per slice: at most SLICES + HOT_KEYS copies
     in all when ``right`` has one row per key. The slice is a hash of ``spread_by``, so a
-    recomputed task puts its rows in the same place.
+    recomputed task puts its rows in the same place. Rows of ``left`` without a key are spread too.
     """
     spark = left.sparkSession
-    schema = T.StructType([left.schema[key], T.StructField("_slices", T.IntegerType())])
-    table = F.broadcast(spark.createDataFrame([(k, int(n)) for k, n in hot], schema))
-    slice_no = F.pmod(F.xxhash64(*spread_by), F.col("_slices")).cast("int")
+    schema = T.StructType([T.StructField(key, left.schema[key].dataType), T.StructField("_slices", T.IntegerType())])
+    table = F.broadcast(spark.createDataFrame([(k, int(n)) for k, n in hot if k is not None], schema))
+    # A missing key finds nothing, so its rows may go anywhere.
+    slices = F.when(F.col(key).isNull(), SLICES).otherwise(F.col("_slices"))
+    slice_no = F.pmod(F.xxhash64(*spread_by), slices).cast("int")
     a = left.join(table, key, "left").withColumn("_slice", F.coalesce(slice_no, F.lit(0))).drop("_slices")
     numbers = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
     b = right.join(table, key, "left").withColumn("_slice", F.explode(numbers)).drop("_slices")
@@ -75,6 +77,6 @@ def lookup_join(
     if right_rows <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
         return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left if keys_from is None else keys_from, key, max_keys)
-    if not hot:
+    if not hot and how != "left":
         return left.join(right, key, how)
     return sliced_join(left, right, key, how, spread_by or [c for c in left.columns if c != key], hot)

@@ -19,7 +19,7 @@ def correlation_matrix(sums: DataFrame, columns: list[str], digits: int = 6) ->
         *[f"{x}_{y} - {x} * {y} AS {x}_{y}" for x, y in pairs])
     rows = [
         f"struct('{a}' AS x, '{b}' AS y, try_divide({x}_{y}, sqrt({x}_{x} * {y}_{y})) AS r)"
-        for x, y in pairs for a, b in {(x, y), (y, x)}
+        for x, y in pairs for a, b in dict.fromkeys([(x, y), (y, x)])
     ]
     return spread.selectExpr(f"inline(array({', '.join(rows)}))").select(
         "x", "y", rounded(F.col("r"), digits).alias("correlation"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from tallymart.operators.joins import BROADCAST_ROWS
+from tallymart.operators.running import running_total
 from tallymart.operators.selection import with_row_of
 from tallymart.session import checkpointed
 
-BINS = 4096
-
 
 def value_counts(df: DataFrame, value: str, keys: list[str] | None = None, weight: str | None = None) -> DataFrame:
     """How often each value occurs: the keys, ``value`` (double) and ``n``, checkpointed.
@@ -28,33 +28,36 @@ def exact_quantiles(
     probs: dict[str, float],
     keys: list[str] | None = None,
     weight: str | None = None,
-    bins: int = BINS,
+    bins: int | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation, one row per group: the keys, one column per prob, and ``n``."""
     return quantiles_of_counts(value_counts(df, value, keys, weight), probs, keys, bins)
 
 
+def joined_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the columns of their group; groups are broadcast only if they are counted and few."""
+    few = groups.select(*keys).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(groups) if few else groups, keys)
+
+
 def quantiles_of_counts(
-    counts: DataFrame, probs: dict[str, float], keys: list[str] | None = None, bins: int = BINS
+    counts: DataFrame, probs: dict[str, float], keys: list[str] | None = None, bins: int | None = None
 ) -> DataFrame:
-    """Quantiles from the rows of ``value_counts``; ``keys`` must have few distinct values.
+    """Quantiles from the rows of ``value_counts``.
 
-    Each group's range is cut into equal bins; at most ``bins`` counts show which bins hold the wanted
-    ranks; only the distinct values of those bins are ranked. No task ever holds a group: what it holds
-    is one bin's distinct values.
+    The distinct values are range-partitioned by group and value, and a running total gives each its ranks, so
+    that a task holds a range of them however they are distributed: neither a large group nor a heavy tail meets in one place.
+    ``bins`` is the number of ranges; by default as many as a shuffle has partitions.
     """
     keys = list(keys or [])
-    counts = counts.withColumnsRenamed({"value": "_v", "n": "_w"})
-    ranges = counts.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_w").alias("_n"))
-
-    place = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * F.lit(float(bins))
+    ranked = running_total(counts, "n", *keys, "value", ranges=bins).select(
+        *keys, F.col("value").alias("_v"), F.col("n").alias("_w"), (F.col("running") - F.col("n")).alias("_place"))
+    groups = ranked.groupBy(*keys).agg(F.sum("_w").alias("_n"), F.min("_place").alias("_start"))
     if keys:
-        ranged = counts.join(F.broadcast(ranges), keys)
+        placed = joined_groups(ranked, groups, keys)
     else:
-        ranged = with_row_of(counts, ranges.select(F.struct("*")), "_range").select("*", "_range.*").drop("_range")
-    binned = ranged.withColumn(
-        "_bin", F.least(F.coalesce(F.floor(place), F.lit(0)), F.lit(bins - 1))
-    )
+        placed = with_row_of(ranked, groups.select(F.struct("*")), "_group").select("*", "_group.*").drop("_group")
+    placed = placed.withColumn("_before", F.col("_place") - F.col("_start"))
 
     def rank(p: float, up: bool):
         at = F.lit(p) * (F.col("_n") - 1)
@@ -64,24 +67,7 @@ def quantiles_of_counts(
         r = rank(p, up)
         return (F.col("_before") <= r) & (r < F.col("_before") + F.col("_w"))
 
-    wanted = F.lit(False)
-    for p in probs.values():
-        wanted = wanted | holds(p, False) | holds(p, True)
-
-    by_bin = Window.partitionBy(*keys).orderBy("_bin")
-    per_bin = (
-        binned.groupBy(*keys, "_bin", "_n")
-        .agg(F.sum("_w").alias("_w"))
-        .withColumn("_before", F.sum("_w").over(by_bin.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_w"))
-    )
-    hit = per_bin.where(wanted).select(*keys, "_bin", F.col("_before").alias("_offset"))
-
-    by_value = Window.partitionBy(*keys, "_bin").orderBy("_v")
-    ranked = binned.join(F.broadcast(hit), [*keys, "_bin"]).withColumn(
-        "_before",
-        F.col("_offset") + F.sum("_w").over(by_value.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_w"),
-    )
-    ends = ranked.groupBy(*keys, "_n").agg(
+    ends = placed.groupBy(*keys, "_n").agg(
         *[F.max(F.when(holds(p, False), F.col("_v"))).alias(f"_{name}_lo") for name, p in probs.items()],
         *[F.max(F.when(holds(p, True), F.col("_v"))).alias(f"_{name}_hi") for name, p in probs.items()],
     )

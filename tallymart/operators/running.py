@@ -8,7 +8,7 @@ from tallymart.functions.exprs import wide
 from tallymart.session import checkpointed
 
 
-def running_total(df: DataFrame, value: str, *order) -> DataFrame:
+def running_total(df: DataFrame, value: str, *order, ranges: int | None = None) -> DataFrame:
     """Adds ``running`` (sum of whole-number ``value`` up to the row), ``position`` (1-based) and the
     overall ``total`` and ``rows``, in the given total order.
 
@@ -16,7 +16,8 @@ def running_total(df: DataFrame, value: str, *order) -> DataFrame:
     order; the placement is checkpointed so that a lost task cannot move rows; each range is summed; the
     few range sums give each range its offset; and a window runs within each range.
     """
-    placed = checkpointed(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    dealt = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    placed = checkpointed(dealt.withColumn("_range", F.spark_partition_id()))
     up_to_here = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     # One row per range: as many as there are partitions.

@@ -80,22 +80,28 @@ CORRELATED = {
 }
 
 
+def centred(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` less their means: a correlation stays the same, but its sums no longer cancel where means are large."""
+    means = df.agg(*[F.avg(c) for c in columns]).first()
+    return df.withColumns({c: F.col(c).cast("double") - F.lit(float(m or 0.0)) for c, m in zip(columns, means)})
+
+
 def correlation(star) -> DataFrame:
     """Correlations over items joined with their orders' reviews, complete rows only, to six digits.
 
     The joined rows are not made. Per order, sums and sums of products of the items meet those of the
     reviews: a sum over all item-review pairs is the product of the two.
     """
-    items = star.order_items.dropna(subset=["price", "freight_value"]).groupBy("order_id").agg(
+    items = centred(star.order_items.dropna(subset=["price", "freight_value"]), "price", "freight_value").groupBy("order_id").agg(
         F.expr("double(count(*)) AS item_"),
         *[F.expr(f"sum({' * '.join(c)}) AS item_{'_'.join(c)}") for c in (
             ["price"], ["freight_value"], ["price", "price"], ["price", "freight_value"],
             ["freight_value", "freight_value"])])
-    reviews = star.reviews.dropna(subset=["review_score"]).groupBy("order_id").agg(
+    reviews = centred(star.reviews.dropna(subset=["review_score"]), "review_score").groupBy("order_id").agg(
         F.expr("double(count(*)) AS review_"),
         F.expr("double(sum(review_score)) AS review_review_score"),
         F.expr("double(sum(review_score * review_score)) AS review_review_score_review_score"))
-    orders = delivered_orders(star, "delivery_days", "delivery_delay_days").dropna()
+    orders = centred(delivered_orders(star, "delivery_days", "delivery_delay_days").dropna(), "delivery_days", "delivery_delay_days")
     joined = orders.join(items, "order_id").join(reviews, "order_id")
 
     def pair_sum(*names: str) -> str:
@@ -196,7 +202,7 @@ def price_freight_sample(star, n: int = 5000) -> DataFrame:
     order_id = F.col("order_id")
     if dict(star.order_items.dtypes)["order_id"] == "string":
         order_id = F.crc32(order_id)
-    place = (order_id * 8 + F.col("order_item_id")) % ID_RANGE * F.lit(SAMPLE_FACTOR) % F.lit(SAMPLE_RANGE)
+    place = (order_id % ID_RANGE * 8 + F.col("order_item_id")) % ID_RANGE * F.lit(SAMPLE_FACTOR) % F.lit(SAMPLE_RANGE)
     columns = ["order_id", "order_item_id", "price", "freight_value"]
     return top_k(star.order_items.select(*columns, place.alias("_place")), n, F.asc("_place"), *columns).drop("_place")
 

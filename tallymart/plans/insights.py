@@ -32,7 +32,7 @@ def top_n_concentration(star, categories: int = 5, states: int = 3) -> DataFrame
         return with_share(total, "revenue_share_pct", F.col("held"), everything, 1).select(
             F.lit(by).alias("dimension"), F.lit(n).alias("top_n"), "revenue_share_pct")
 
-    return held(category_performance(star), "category", categories, "category").unionByName(
+    return held(category_performance(star, categories), "category", categories, "category").unionByName(
         held(regional_data(star), "state", states, "state"))
 
 

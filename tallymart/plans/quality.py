@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallymart.functions.exprs import percent, rounded
+from tallymart.operators.selection import with_row_of
 from tallymart.schemas import EXPECTED, FOREIGN_KEYS, PRIMARY_KEYS
 
 # Fixed value: a whole number in text form.
@@ -158,9 +159,14 @@ def check_duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows that repeat an earlier row in every column; missing values count as equal."""
     parts = []
     for table, df in tables.items():
-        counts = df.groupBy(*df.columns).agg(F.count("*").alias("_n")).agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.count("*").alias("kinds"))
-        repeats = F.col("n") - F.col("kinds")
+        # Rows are told apart by a digest; only those whose digest occurs again are compared column by column.
+        missing = F.concat(*[F.col(f"`{c}`").isNull().cast("int").cast("string") for c in df.columns])
+        marked = df.withColumns({"_h1": F.xxhash64(F.lit(1), missing, *df.columns), "_h2": F.xxhash64(F.lit(2), missing, *reversed(df.columns))})
+        digests = marked.groupBy("_h1", "_h2").agg(F.count("*").alias("_n"))
+        again = marked.join(digests.where("_n > 1").select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
+        repeated = again.groupBy(*df.columns).agg(F.count("*").alias("_n")).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("repeats"))
+        counts = with_row_of(digests.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")), repeated, "repeats")
+        repeats = F.col("repeats")
         parts.append(counts.select(*report_row(
             table, "DUPLICATES", F.when(repeats == 0, "PASS").otherwise("WARN"),
             F.concat(repeats.cast("string"), F.lit(" duplicate rows out of "), with_commas(F.col("n"))))))

@@ -132,7 +132,7 @@ def distinct_products_and_sellers(star, items: DataFrame | None = None, orders:
     """
     items = (star.order_items if items is None else items).select("order_id", "product_id", "seller_id")
     kept = (delivered_orders(star) if orders is None else orders).select("order_id")
-    sold = lookup_join(items, kept, "order_id", "inner", ["product_id", "seller_id"], star.rows("orders"))
+    sold = lookup_join(items, kept, "order_id", "inner", ["product_id", "seller_id"], star.rows("orders"), star.order_items)
     return sold.agg(
         F.count_distinct("product_id").alias("unique_products"),
         F.count_distinct("seller_id").alias("active_sellers"),

@@ -12,7 +12,7 @@ from tallymart.plans.publish import save_results
 from tallymart.plans.segments import RfmConfig
 from tallymart.plans.star import Star, StoredStar, table_counts, write_star
 from tallymart.schemas import STAR_TABLES
-from tallymart.sources.files import load_tables, write_csv, write_json, write_parquet
+from tallymart.sources.files import load_tables, load_texts, write_csv, write_json, write_parquet
 
 log = logging.getLogger(__name__)
 
@@ -59,7 +59,7 @@ def exploratory_datasets(star) -> Jobs:
 def run(spark: SparkSession, data: str, output: str, rfm: RfmConfig = RfmConfig()) -> StoredStar:
     """Check, clean and store the tables of ``data``, then write every dataset under ``output``."""
     raw = load_tables(spark, data)
-    write_csv(quality.quality_report(raw), f"{output}/data_quality_report")
+    write_csv(quality.quality_report(load_texts(spark, data)), f"{output}/data_quality_report")
     star = write_star(Star(raw), f"{output}/star", partition_by={"dim_orders": ["order_year"]})
     counts = table_counts({t: getattr(star, source) for t, (source, _) in STAR_TABLES.items()})
     write_csv(counts, f"{output}/table_counts")

@@ -20,16 +20,31 @@ MISSING_TEXTS = [
 FREE_TEXT_TABLES = {"reviews"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
-    """A CSV file or folder with header; values that do not fit their type and missing texts are NULL."""
-    reader = spark.read.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-    df = reader.csv(path, schema=schema, header=True, multiLine=multi_line, escape='"')
-    texts = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A CSV file or folder as it is: the columns its header names, all as text; missing texts are NULL."""
+    try:
+        df = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"')
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], "_no_columns string").drop("_no_columns")
+    quoted = [f"`{c.replace('`', '``')}`" for c in df.columns]
+    return df.select(*[F.when(~F.col(q).isin(MISSING_TEXTS), F.col(q)).alias(c) for q, c in zip(quoted, df.columns)])
+
+
+def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns by name; a value that does not read as its type is NULL, and so is a column that is not there."""
     return df.select(*[
-        F.when(~F.col(c).isin(MISSING_TEXTS), F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns
+        (F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields
     ])
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """A CSV file or folder with header, its declared columns found by name; see ``typed``."""
+    return typed(read_text_csv(spark, path, multi_line), schema)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """One folder of CSV parts with header; quotes are doubled, so any text survives."""
     writer = df.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -37,12 +52,17 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def load_tables(spark: SparkSession, folder: str, schemas: dict[str, T.StructType] = RAW_SCHEMAS) -> dict[str, DataFrame]:
-    """The raw tables found as ``folder/<name>.csv``; a missing one is skipped with a warning."""
+    """The raw tables found as ``folder/<name>.csv``, typed; a missing one is skipped with a warning."""
+    return {name: typed(df, schemas[name]) for name, df in load_texts(spark, folder, schemas).items()}
+
+
+def load_texts(spark: SparkSession, folder: str, schemas: dict[str, T.StructType] = RAW_SCHEMAS) -> dict[str, DataFrame]:
+    """The same tables with all their columns as text: what the quality checks look at, so that nothing is lost before they see it."""
     tables = {}
-    for name, schema in schemas.items():
+    for name in schemas:
         path = f"{folder}/{name}.csv"
         try:
-            tables[name] = read_csv(spark, path, schema, name in FREE_TEXT_TABLES)
+            tables[name] = read_text_csv(spark, path, name in FREE_TEXT_TABLES)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -78,3 +78,21 @@ def test_lookup_join_takes_every_way(skewed, lookup):
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_a_key_are_spread(spark):
+    left = spark.range(20_000).selectExpr("CASE WHEN id % 10 = 0 THEN id % 7 END AS k", "id")
+    right = spark.range(7).selectExpr("id AS k", "id * 2 AS v")
+    for hot in ([], [(0, 4)]):
+        joined = sliced_join(left, right, "k", "left", ["id"], hot)
+        assert sorted(tuple(r) for r in joined.select("id", "v").where("v IS NOT NULL").collect()) == [
+            (i, i % 7 * 2) for i in range(0, 20_000, 10)]
+        assert joined.count() == 20_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in sliced_join(left, right, "k", "left", ["id"], []).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)

@@ -108,3 +108,29 @@ def test_first_match_is_ordered(spark):
 def test_stripped_takes_tabs_and_line_breaks(spark):
     df = spark.createDataFrame([("\t a b \r\n ",)], "t string")
     assert rows(df.select(stripped(F.col("t")))) == [("a b",)]
+
+
+def test_histogram_edges_as_in_numpy(spark):
+    for values in ([0, .14, .29, .56, .58, 1], (RNG.integers(0, 10_000, size=1000) / 100).tolist()):
+        got = histogram(frame(spark, values), "v").orderBy("bin").collect()
+        assert [r["count"] for r in got] == np.histogram(values, bins=50)[0].tolist()
+
+
+def test_quantiles_of_a_heavy_tail(spark):
+    values = [float(v) for v in range(4000)] + [1e12]
+    got = exact_quantiles(frame(spark, values), "v", {"q1": 0.25, "m": 0.5, "q3": 0.75}).first()
+    assert (got["q1"], got["m"], got["q3"]) == tuple(np.quantile(values, [.25, .5, .75]))
+    from tallymart.operators.running import running_total
+    counts = value_counts(frame(spark, values), "v")
+    sizes = running_total(counts, "n", "value").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) <= 2 * len(values) / len(sizes)
+
+
+def test_large_amounts_are_neither_cut_nor_lost(spark):
+    from tallymart.functions.exprs import cents, fixed_point, from_fixed_point, rounded
+
+    df = spark.createDataFrame([(1.5e7,), (1e9,), (-2.5,)], "v double")
+    assert df.agg(from_fixed_point(F.sum(fixed_point(F.col("v"))))).first()[0] == 1.5e7 + 1e9 - 2.5
+    assert df.select(rounded(F.lit(1e19), 2)).first()[0] == 1e19
+    with pytest.raises(Exception, match="out of range"):
+        df.select(cents(F.lit(1e18))).collect()

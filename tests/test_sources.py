@@ -58,3 +58,20 @@ def test_failed_jobs_do_not_stop_the_others(spark, tmp_path):
     results = save_results({"bad": broken, "good": lambda: spark.range(2)}, str(tmp_path))
     assert results["bad"] is None and results["good"].count() == 2
     assert spark.read.csv(f"{tmp_path}/good", header=True).count() == 2
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    """Another order, one more column, one missing, and texts and NaN where numbers belong."""
+    from tallymart.plans.quality import quality_report
+    from tallymart.sources.files import load_texts
+
+    (tmp_path / "order_items.csv").write_text(
+        "price,remark,order_id,order_item_id,product_id,seller_id,freight_value\n"
+        "10.5,x,o1,1,p1,s1,1.0\nabc,y,o2,1,p2,s2,2.0\nNaN,z,o3,1,p3,s3,3.0\n")
+    got = load_tables(spark, str(tmp_path))["order_items"].orderBy("order_id")
+    assert [(r["order_id"], r["order_item_id"], r["price"], r["freight_value"], r["shipping_limit_date"]) for r in got.collect()] == [
+        ("o1", 1, 10.5, 1.0, None), ("o2", 1, None, 2.0, None), ("o3", 1, None, 3.0, None)]
+    found = {(r["check"], r["status"]): r["detail"] for r in quality_report(load_texts(spark, str(tmp_path))).where(
+        "table = 'order_items'").collect()}
+    assert found["EXTRA_COLS", "INFO"] == "{'remark'}" and found["MISSING_COLS", "FAIL"] == "{'shipping_limit_date'}"
+    assert found["DTYPE_price", "WARN"] == "Expected float64, got object" and found["NULLS_price", "INFO"].startswith("1 nulls")

@@ -9,10 +9,15 @@ How the tries are spread: two fingerprints with at most b differing bits agree o
 of bits. The fingerprint is rotated so that each block in turn comes first, and that block is traversed
 without any error, so the tries below it are independent cells. A cell with too many fingerprints is
 cut into its pairs of child nodes a few bits further down, with the same pruning, until all are small.
+
+``one_of_each`` and ``near_copies`` look for a given share of equal shingles instead of a few bits. Copies with 0.8 of their five-word shingles in
+common differ in about 15 % of the bits, for which 64 bits are too few; they have fingerprints of 256 bits, and tries over random choices of these.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -29,14 +34,33 @@ CELL_ROWS = 4_096
 CUT_BITS = 6
 # Node pairs that are expanded together.
 FRONTIER = 400_000
+# Rows behind each row that are compared before a trie is traversed, where that is asked for.
+NEXT_ROWS = 8
+# Long fingerprints for near copies: 64-bit words, and the rows of a cell that one task takes.
+PRINT_WORDS = 4
+PRINT_BITS = BITS * PRINT_WORDS
+PRINT_CELL_ROWS = 500_000
 
 
 def fingerprint(text: bytes, shingle_words: int = 3, seed: int = 42) -> int:
     """SimHash of a text: A-Z lower-cased, words between ASCII blanks, shingles with repeats, a bit is set
     if it is set in over half the hashes. Without words: zero."""
+    hashes = shingle_hashes(text, shingle_words, seed)
+    n = len(hashes)
+    if not n:
+        return 0
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, n, 65_536):
+        part = hashes[at:at + 65_536]
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
+
+
+def shingle_hashes(text: bytes, shingle_words: int, seed: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included; fewer words than a shingle has are one shingle, no words are none."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     n = max(1, len(words) - shingle_words + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
@@ -44,12 +68,7 @@ def fingerprint(text: bytes, shingle_words: int = 3, seed: int = 42) -> int:
     stops = (ends - 1).tolist()
     width = min(shingle_words, len(words)) - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[s:e], seed) for s, e in zip(starts[:n], stops[width:])), "<u8", n)
-    counts = np.zeros(BITS, np.int64)
-    for at in range(0, n, 65_536):
-        part = hashes[at:at + 65_536]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
+    return np.fromiter((digest(joined[s:e], seed) for s, e in zip(starts[:n], stops[width:])), "<u8", n)
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
@@ -101,15 +120,23 @@ def _cut(cells: DataFrame, max_bits: int) -> DataFrame:
 
 
 def join_sorted(key: np.ndarray, cell_start: np.ndarray, split: np.ndarray, depth: np.ndarray, errors: np.ndarray,
-                max_bits: int) -> np.ndarray:
+                max_bits: int, near=None) -> np.ndarray:
     """Smallest connected row for every row of cells that lie one after the other, each sorted by ``key``.
 
     Cell i has the rows cell_start[i]..cell_start[i+1]; its second node starts at split[i], or there
     is only one node, joined with itself, where split[i] is cell_start[i]. ``depth`` bits are consumed and
-    ``errors`` of them differ.
+    ``errors`` of them differ. ``near`` (rows, rows -> yes or no) has the last word on a pair if it is given, and node pairs whose rows
+    are all connected already are dropped; rows next to each other are tried first, so that a dense group costs little.
     """
     parent = np.arange(len(key))
     lo, hi = cell_start[:-1], cell_start[1:]
+    if near is not None:
+        cell = np.repeat(np.arange(len(lo)), hi - lo)
+        for step in range(1, NEXT_ROWS + 1):
+            x = np.flatnonzero(cell[step:] == cell[:-step])
+            x = x[parent[x] != parent[x + step]]
+            ok = near(x, x + step)
+            parent = unite(parent, x[ok], x[ok] + step)
     alone = split == lo
     first = np.stack([lo, np.where(alone, hi, split), split, hi, errors, depth])
     stack = [first[:, (first[1] > first[0]) & (first[3] > first[2])]]
@@ -119,21 +146,35 @@ def join_sorted(key: np.ndarray, cell_start: np.ndarray, split: np.ndarray, dept
             middle = pairs.shape[1] // 2
             stack += [pairs[:, :middle], pairs[:, middle:]]
             continue
+        if near is not None:
+            changes = np.r_[0, np.cumsum(parent[1:] != parent[:-1])]
+            whole = (changes[pairs[1] - 1] == changes[pairs[0]]) & (changes[pairs[3] - 1] == changes[pairs[2]])
+            pairs = pairs[:, ~(whole & (parent[pairs[0]] == parent[pairs[2]]))]
         a0, a1, b0, b1, err, bit = pairs
         same = a0 == b0
         single = (a1 - a0 == 1) & (b1 - b0 == 1)
         leaf = single & ~same
         if leaf.any():  # two single fingerprints: the rest of the way in one step
             x, y = a0[leaf], b0[leaf]
-            near = np.bitwise_count(key[x] ^ key[y]) <= max_bits
-            parent = unite(parent, x[near], y[near])
+            ok = np.bitwise_count(key[x] ^ key[y]) <= max_bits
+            if near is not None:
+                ok[ok] = near(x[ok], y[ok])
+            parent = unite(parent, x[ok], y[ok])
         done = leaf | (single & same)
         # Equal keys at the end of the trie: all rows of both nodes are connected.
         ended = ~done & (bit >= BITS)
         if ended.any():
             for p, q, r, s in zip(a0[ended], a1[ended], b0[ended], b1[ended]):
-                rows = np.r_[p:q, r:s]
-                parent = unite(parent, rows[1:], rows[:-1])
+                rows = np.unique(np.r_[p:q, r:s])
+                if near is None:
+                    parent = unite(parent, rows[1:], rows[:-1])
+                    continue
+                for step in range(1, len(rows)):
+                    x, y = rows[:-step], rows[step:]
+                    apart = parent[x] != parent[y]
+                    x, y = x[apart], y[apart]
+                    ok = near(x, y)
+                    parent = unite(parent, x[ok], y[ok])
         keep = ~(done | ended)
         if not keep.any():
             continue
@@ -251,11 +292,152 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2)
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
+def long_print(text: bytes, shingle_words: int = 5, seed: int = 42) -> bytes:
+    """SimHash with PRINT_BITS bits over the distinct shingles; zeros without words."""
+    hashes = np.unique(shingle_hashes(text, shingle_words, seed))
+    if not len(hashes):
+        return bytes(PRINT_BITS // 8)
+    counts = np.zeros(PRINT_BITS, np.int64)
+    for at in range(0, len(hashes), 16_384):
+        # Further words of a hash: sums with odd constants, mixed by multiplying and shifting.
+        h = hashes[at:at + 16_384, None] + np.arange(PRINT_WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        counts += np.unpackbits(np.ascontiguousarray(h).view(np.uint8).reshape(len(h), -1), axis=1).sum(0, dtype=np.uint32)
+    return np.packbits(counts * 2 > len(hashes)).tobytes()
+
+
+def bit_share(similarity: float) -> float:
+    """Part of the bits in which texts with this Jaccard similarity differ on average."""
+    return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+
+
+class Sampling:
+    """Tables of 64 randomly chosen bits: the first ``width`` name the cell, the others are traversed as a trie.
+
+    ``width`` grows with the number of fingerprints so that strangers rarely share a cell, and the number of tables so that a pair at
+    exactly the wanted similarity shares a cell in one of them with probability ``recall``; nearer pairs do with more.
+    """
+
+    def __init__(self, rows: int, similarity: float, recall: float = 0.97):
+        p = bit_share(similarity)
+        self.width = min(40, max(8, math.ceil(math.log2(max(rows, 1) + 1)) - 3))
+        self.tables = max(1, math.ceil(math.log(1 - recall) / math.log1p(-(1 - p) ** self.width)))
+        rest = BITS - self.width
+        self.trie_bits = math.ceil(rest * p + 3 * math.sqrt(rest * p * (1 - p)))
+        self.print_bits = round(PRINT_BITS * p + 2.33 * math.sqrt(PRINT_BITS * p * (1 - p)))
+        rng = np.random.default_rng(17)
+        self.chosen = np.stack([rng.permutation(PRINT_BITS)[:BITS] for _ in range(self.tables)])
+
+    def keys(self, prints: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """The bits that each row's table chooses, the first on top."""
+        bits = np.unpackbits(prints, axis=1)
+        return np.packbits(np.take_along_axis(bits, self.chosen[table], axis=1), axis=1).view(">u8").ravel().astype(np.uint64)
+
+
+def _matrix(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PRINT_BITS // 8)
+
+
+def print_links(prints: DataFrame, similarity: float = 0.8, cell_rows: int | None = None) -> DataFrame:
+    """Links ``a``, ``b`` that connect the distinct rows of ``prints`` (id, print) whose long fingerprints are as near as ``similarity`` asks for.
+
+    A cell emits a spanning forest only. A cell with more than ``cell_rows`` rows is dealt out as pairs of slices, so that none of its pairs is lost.
+    """
+    plan, cell_rows = Sampling(prints.count(), similarity), cell_rows or PRINT_CELL_ROWS
+
+    def entries(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 5_000):
+                part = batch.slice(lo, 5_000)
+                rows = _matrix(part.column(1))
+                for t in range(plan.tables):
+                    cell = plan.keys(rows, np.full(len(rows), t)) >> np.uint64(BITS - plan.width)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(rows), t, np.int32)), pa.array(cell.view(np.int64)), part.column(0), part.column(1)],
+                        ["t", "cell", "id", "print"])
+
+    cells = prints.select("id", "print").mapInArrow(entries, "t int, cell long, id long, print binary")
+    large = checkpointed(cells.groupBy("t", "cell").count().where(F.col("count") > cell_rows))
+    if large.isEmpty():
+        cells = cells.withColumn("pair", F.lit(0).cast("long"))
+    else:
+        slices = F.coalesce(F.ceil(F.col("count") / cell_rows), F.lit(1)).cast("long")
+        own = F.pmod(F.xxhash64("id"), F.col("slices"))
+        spread = cells.join(large, ["t", "cell"], "left").withColumn("slices", slices).withColumn("own", own)
+        spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+        pair = F.least("own", "other") * F.col("slices") + F.greatest("own", "other")
+        cells = spread.select("t", "cell", "id", "print", pair.alias("pair"))
+
+    def emit(table):
+        t, cell, pair, ids = (table.column(n).to_numpy() for n in ("t", "cell", "pair", "id"))
+        rows = _matrix(table.column("print"))
+        key = plan.keys(rows, t)
+        order = np.lexsort((key, pair, cell, t))
+        t, cell, pair, ids, key, words = (v[order] for v in (t, cell, pair, ids, key, rows.view(np.uint64)))
+        new = np.ones(len(key), bool)
+        new[1:] = (t[1:] != t[:-1]) | (cell[1:] != cell[:-1]) | (pair[1:] != pair[:-1])
+        starts = np.flatnonzero(new)
+
+        def near(x, y):
+            return np.bitwise_count(words[x] ^ words[y]).sum(1) <= plan.print_bits
+
+        n = len(starts)
+        parent = join_sorted(key, np.r_[starts, len(key)], starts, np.full(n, plan.width), np.zeros(n, np.int64), plan.trie_bits, near)
+        linked = np.flatnonzero(parent != np.arange(len(key)))
+        if len(linked):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[parent[linked]])], ["a", "b"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            held = now if held is None else pa.concat_tables([held, now])
+            # The last cell may go on in the next batch.
+            last = np.ones(held.num_rows, bool)
+            for name in ("t", "cell", "pair"):
+                column = held.column(name).to_numpy()
+                last &= column == column[-1]
+            begin = int(np.argmax(last))
+            if begin > 0 and held.num_rows >= 20_000:
+                yield from emit(held.slice(0, begin))
+                held = held.slice(begin)
+        if held is not None and held.num_rows:
+            yield from emit(held)
+
+    dealt = cells.repartition("t", "cell", "pair").sortWithinPartitions("t", "cell", "pair")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row per row of ``docs``: doc_id, component_id (smallest doc_id among the texts connected by near copies).
+
+    Near copies are texts whose long fingerprints differ in no more bits than those of texts with a Jaccard similarity of ``similarity`` over
+    distinct shingles do in 99 of 100 cases. Equal fingerprints are one class. Null and empty texts are equal to each other; a null
+    doc_id takes part but never names a component; rows that repeat a doc_id keep a row each; other columns are ignored.
+    """
+    def run(batches):
+        for batch in batches:
+            found = [long_print(t, shingle_words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "print"])
+
+    rows = checkpointed(docs.select(F.col("doc_id").cast("long"), utf8().alias("text")).mapInArrow(run, "doc_id long, print binary"))
+    classes = checkpointed(rows.groupBy("print").agg(F.min("doc_id").alias("least")).withColumn("id", F.xxhash64("print")))
+    found = components(print_links(classes, similarity))
+    named = checkpointed(classes.join(found, classes.id == found.node, "left").select(
+        "print", "least", F.coalesce("component", "id").alias("root")))
+    roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = named.join(roots, "root").select("print", "component_id")
+    return rows.join(named, "print").select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """The documents without those that have an earlier one (smaller doc_id) in their group; columns unchanged.
 
-    Of rows with the same doc_id all stay or go, of rows without a doc_id all stay.
+    ``groups`` has doc_id and component_id, by default those of ``near_copies``. Of rows with the same doc_id all stay or go, of rows
+    without a doc_id all stay.
     """
-    kept = near_duplicates(docs, shingle_words, max_bits).where("doc_id <> component_id").select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["_gone"], "left_anti")
+    groups = near_copies(docs) if groups is None else groups
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

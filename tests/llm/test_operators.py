@@ -65,10 +65,56 @@ def test_simhash_against_brute_force(spark, odd):
     least = {r: min((odd[i][0] for i in groups if groups[i] == r and odd[i][0] is not None), default=None) for r in set(groups.values())}
     want = Counter((odd[i][0], f"{prints[i]:016x}", least[groups[i]]) for i in range(len(odd)))
     assert Counter((r["doc_id"], r["fingerprint"], r["component_id"]) for r in got) == want
-    stays = [r["doc_id"] for r in simhash.one_of_each(documents(spark, odd)).select("doc_id").collect()]
+    docs = documents(spark, odd)
+    stays = [r["doc_id"] for r in simhash.one_of_each(docs, simhash.near_duplicates(docs)).select("doc_id").collect()]
     assert set(stays) - {None} == {c for _, _, c in want if c is not None}
 
 
+def five_words(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def changed(rng, words, n):
+    out = list(words)
+    for at in rng.choice(len(out), n, replace=False):
+        out[at] = f"new{rng.integers(10**6)}"
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("cell_rows", [7, 500_000])
+def test_near_copies_against_brute_force(spark, odd, cell_rows, monkeypatch):
+    """Every pair with 0.8 or more of its five-word shingles in common is in one group, and no group has strangers."""
+    monkeypatch.setattr(simhash, "PRINT_CELL_ROWS", cell_rows)
+    rng = np.random.default_rng(4)
+    own = [[f"w{rng.integers(5000)}" for _ in range(rng.integers(60, 400))] for _ in range(60)]
+    texts = [t for w in own for t in (" ".join(w), changed(rng, w, max(1, len(w) // 60)), changed(rng, w, len(w) // 5))]
+    texts += [" ".join(own[0][:40] + w) for w in own[1:10]]  # a shared passage alone makes no copy
+    rows = odd + [(1000 + i, t) for i, t in enumerate(texts)]
+    docs = documents(spark, rows)
+    got = simhash.near_copies(docs).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    group = {r["doc_id"]: r["component_id"] for r in got}
+    sets = [(i, five_words(t)) for i, t in rows if i is not None]
+    share = {(i, j): len(a & b) / len(a | b) for (i, a), (j, b) in itertools.combinations(sets, 2) if a & b}
+    near = [p for p, s in share.items() if s >= 0.8]
+    assert len(near) > 60 and sum(group[i] != group[j] for i, j in near) <= 0.03 * len(near)
+    assert all(group[i] == group[j] for (i, j), s in share.items() if s >= 0.95)
+    related = united([i for i, _ in sets], [p for p, s in share.items() if s >= 0.6])
+    assert all(related[i] == related[group[i]] for i, _ in sets)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} - {None} == {c for c in group.values() if c is not None}
+    assert simhash.near_copies(docs.limit(0)).count() == 0
+
+
+def test_a_large_group_of_near_copies_is_one_group(spark):
+    rng = np.random.default_rng(6)
+    base = [f"w{rng.integers(5000)}" for _ in range(300)]
+    rows = [(i, changed(rng, base, 2)) for i in range(3000)]
+    assert {r["component_id"] for r in simhash.near_copies(documents(spark, rows)).collect()} == {0}
+
+
 @pytest.mark.parametrize("cell_rows", [8, 4096])
 def test_trie_join_finds_all_links_also_when_cells_are_cut(spark, cell_rows):
     rng = np.random.default_rng(1)

@@ -100,7 +100,7 @@ def test_near_copies_against_brute_force(spark, odd, cell_rows, monkeypatch):
     near = [p for p, s in share.items() if s >= 0.8]
     assert len(near) > 60 and sum(group[i] != group[j] for i, j in near) <= 0.03 * len(near)
     assert all(group[i] == group[j] for (i, j), s in share.items() if s >= 0.95)
-    related = united([i for i, _ in sets], [p for p, s in share.items() if s >= 0.6])
+    related = united([i for i, _ in sets], near)
     assert all(related[i] == related[group[i]] for i, _ in sets)
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns

@@ -181,11 +181,14 @@ def _applied(docs: DataFrame, keep: list[str], min_chars: int, min_docs: int, ba
     """``keep`` columns, kept, n_lines and n_dropped for docs with doc_id and text (bytes)."""
     # Written out, so that the join below shuffles both sides itself and a line of very many documents can be split.
     shared = checkpointed(shared_lines(docs.select("doc_id", "text"), min_chars, min_docs, batches).where("last IS NOT NULL"))
+    # Rows without a doc_id are told apart by their text, so that they do not meet in one group.
+    docs = docs.withColumn("_row", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
     held = line_counts_by_doc(docs, min_chars)
     gone = (held.join(shared, KEY).where("doc_id IS NULL OR doc_id < last")
-            .groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("_gone"))
-            .select(F.col("doc_id").alias("_id"), "_gone"))
-    matched = docs.join(gone.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(*keep, "text", "_gone")
+            .groupBy("doc_id", "_row").agg(F.collect_set(F.struct(*KEY)).alias("_gone"))
+            .select(F.col("doc_id").alias("_id"), F.col("_row").alias("_of"), "_gone"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of"))
+    matched = docs.join(gone.hint("shuffle_hash"), same, "left").select(*keep, "text", "_gone")
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def run(rows):
@@ -209,15 +212,16 @@ def _applied(docs: DataFrame, keep: list[str], min_chars: int, min_docs: int, ba
 
 
 def line_counts_by_doc(docs: DataFrame, min_chars: int) -> DataFrame:
-    """h1, h2, doc_id for every line key of every row."""
+    """h1, h2, doc_id, _row for every line key of every row."""
     def run(batches):
         for batch in batches:
-            keys, ids = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            keys, at = [], []
+            for i, text in enumerate(batch.column(2).to_pylist()):
                 own = {line_key(line, min_chars) for line in text.split(b"\n")} - {None}
                 keys += own
-                ids += [doc_id] * len(own)
+                at += [i] * len(own)
             if keys:
-                yield pa.RecordBatch.from_arrays([*_halves(keys), pa.array(ids, pa.int64())], [*KEY, "doc_id"])
+                at = pa.array(at, pa.int32())
+                yield pa.RecordBatch.from_arrays([*_halves(keys), batch.column(0).take(at), batch.column(1).take(at)], [*KEY, "doc_id", "_row"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "h1 long, h2 long, doc_id long")
+    return docs.select("doc_id", "_row", "text").mapInArrow(run, "h1 long, h2 long, doc_id long, _row long")

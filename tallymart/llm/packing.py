@@ -16,9 +16,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallymart.llm.common import utf8
+from tallymart.operators.running import running_total
 from tallymart.session import new_shared_path
 
 # Weights are whole numbers, the largest this: shares are met to about one part in 2**15.
@@ -246,10 +247,10 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
         totals[r["queue"]] = int(r["n"])
     wanted = [shares.get(s, 0.0) for s in order] + [0.0] if shares else [float(t) for t in totals]
     plan = epochs(totals, wanted)
-    # Where a task's tokens of a source begin in the queue: a running sum over tasks, not documents.
-    earlier = Window.partitionBy("queue").orderBy("source", "task").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sums.withColumn("queue", number).select(
-        "task", "source", "queue", F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("long").alias("begin"))
+    # Where a task's tokens of a source begin in the queue: a running sum over tasks, not documents, in ranges, so that a queue is in no one task.
+    first = F.array(*[F.lit(sum(totals[:q])).cast("long") for q in range(len(totals))])
+    begins = running_total(sums.withColumn("queue", number), "n", "queue", "source", "task").select(
+        "task", "source", "queue", (F.col("running").cast("long") - F.col("n") - F.get(first, F.col("queue"))).alias("begin"))
     if begins.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         begins = F.broadcast(begins)
     placed = coded.join(begins, ["task", "source"]).select("doc_id", "source", "queue", (F.col("begin") + F.col("at")).alias("start"), "n", "ids")

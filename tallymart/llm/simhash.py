@@ -345,13 +345,13 @@ class Sampling:
     exactly the wanted similarity shares a cell in one of them with probability ``recall``; nearer pairs do with more.
     """
 
-    def __init__(self, rows: int, similarity: float, recall: float = 0.97):
+    def __init__(self, rows: int, similarity: float, recall: float = 0.98):
         p = bit_share(similarity)
         self.width = min(40, max(8, math.ceil(math.log2(max(rows, 1) + 1)) - 3))
         self.tables = max(1, math.ceil(math.log(1 - recall) / math.log1p(-(1 - p) ** self.width)))
         rest = BITS - self.width
         self.trie_bits = math.ceil(rest * p + 3 * math.sqrt(rest * p * (1 - p)))
-        self.print_bits = round(PRINT_BITS * p + 2.33 * math.sqrt(PRINT_BITS * p * (1 - p)))
+        self.print_bits = round(PRINT_BITS * p + 3 * math.sqrt(PRINT_BITS * p * (1 - p)))
         rng = np.random.default_rng(17)
         self.chosen = np.stack([rng.permutation(PRINT_BITS)[:BITS] for _ in range(self.tables)])
 

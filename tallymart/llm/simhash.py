@@ -10,14 +10,12 @@ of bits. The fingerprint is rotated so that each block in turn comes first, and
 without any error, so the tries below it are independent cells. A cell with too many fingerprints is
 cut into its pairs of child nodes a few bits further down, with the same pruning, until all are small.
 
-``one_of_each`` and ``near_copies`` look for a given share of equal shingles instead of a few bits. Copies with 0.8 of their five-word shingles in
-common differ in about 15 % of the bits, for which 64 bits are too few; they have fingerprints of 256 bits, and tries over random choices of these.
+``one_of_each`` and ``near_copies`` look for a given share of equal shingles instead of a few bits, which no number of bits tells for certain: they join
+texts on their rare shingles, and compare all shingles of the pairs found.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,14 +32,21 @@ CELL_ROWS = 4_096
 CUT_BITS = 6
 # Node pairs that are expanded together.
 FRONTIER = 400_000
-# Rows behind each row that are compared before a trie is traversed, where that is asked for.
-NEXT_ROWS = 8
-# Long fingerprints for near copies: 64-bit words, and the rows of a cell that one task takes.
-PRINT_WORDS = 4
-PRINT_BITS = BITS * PRINT_WORDS
-PRINT_CELL_ROWS = 500_000
-# Shingle hashes of a text that are kept to verify near copies; a text with fewer shingles keeps all.
-SKETCH = 512
+# Rows behind each row that are compared before all pairs of a cell.
+NEXT_ROWS = 2
+# Rows of a shingle that one task compares at once.
+PRINT_CELL_ROWS = 20_000
+# Parities of the shingle hashes of a text; a power of two.
+PARITY_BITS = 1_024
+# Texts whose shingles are counted, texts of these that make a shingle frequent, and frequent shingles that are held.
+SAMPLE_TEXTS = 20_000
+FREQUENT = 8
+FREQUENT_HELD = 200_000
+# Pairs of rows that are compared together, and proposed pairs that a task remembers.
+BLOCK_PAIRS = 1_000_000
+SEEN_PAIRS = 1_000_000
+# Ends of links that are broadcast.
+BROADCAST_ENDS = 200_000
 
 
 def fingerprint(text: bytes, shingle_words: int = 3, seed: int = 42) -> int:
@@ -122,23 +127,15 @@ def _cut(cells: DataFrame, max_bits: int) -> DataFrame:
 
 
 def join_sorted(key: np.ndarray, cell_start: np.ndarray, split: np.ndarray, depth: np.ndarray, errors: np.ndarray,
-                max_bits: int, near=None) -> np.ndarray:
+                max_bits: int) -> np.ndarray:
     """Smallest connected row for every row of cells that lie one after the other, each sorted by ``key``.
 
     Cell i has the rows cell_start[i]..cell_start[i+1]; its second node starts at split[i], or there
     is only one node, joined with itself, where split[i] is cell_start[i]. ``depth`` bits are consumed and
-    ``errors`` of them differ. ``near`` (rows, rows -> yes or no) has the last word on a pair if it is given, and node pairs whose rows
-    are all connected already are dropped; rows next to each other are tried first, so that a dense group costs little. It may keep
-    the pairs it has accepted.
+    ``errors`` of them differ.
     """
     parent = np.arange(len(key))
     lo, hi = cell_start[:-1], cell_start[1:]
-    if near is not None:
-        cell = np.repeat(np.arange(len(lo)), hi - lo)
-        for step in range(1, NEXT_ROWS + 1):
-            x = np.flatnonzero(cell[step:] == cell[:-step])
-            ok = near(x, x + step)
-            parent = unite(parent, x[ok], x[ok] + step)
     alone = split == lo
     first = np.stack([lo, np.where(alone, hi, split), split, hi, errors, depth])
     stack = [first[:, (first[1] > first[0]) & (first[3] > first[2])]]
@@ -148,10 +145,6 @@ def join_sorted(key: np.ndarray, cell_start: np.ndarray, split: np.ndarray, dept
             middle = pairs.shape[1] // 2
             stack += [pairs[:, :middle], pairs[:, middle:]]
             continue
-        if near is not None:
-            changes = np.r_[0, np.cumsum(parent[1:] != parent[:-1])]
-            whole = (changes[pairs[1] - 1] == changes[pairs[0]]) & (changes[pairs[3] - 1] == changes[pairs[2]])
-            pairs = pairs[:, ~(whole & (parent[pairs[0]] == parent[pairs[2]]))]
         a0, a1, b0, b1, err, bit = pairs
         same = a0 == b0
         single = (a1 - a0 == 1) & (b1 - b0 == 1)
@@ -159,8 +152,6 @@ def join_sorted(key: np.ndarray, cell_start: np.ndarray, split: np.ndarray, dept
         if leaf.any():  # two single fingerprints: the rest of the way in one step
             x, y = a0[leaf], b0[leaf]
             ok = np.bitwise_count(key[x] ^ key[y]) <= max_bits
-            if near is not None:
-                ok[ok] = near(x[ok], y[ok])
             parent = unite(parent, x[ok], y[ok])
         done = leaf | (single & same)
         # Equal keys at the end of the trie: all rows of both nodes are connected.
@@ -168,15 +159,7 @@ def join_sorted(key: np.ndarray, cell_start: np.ndarray, split: np.ndarray, dept
         if ended.any():
             for p, q, r, s in zip(a0[ended], a1[ended], b0[ended], b1[ended]):
                 rows = np.unique(np.r_[p:q, r:s])
-                if near is None:
-                    parent = unite(parent, rows[1:], rows[:-1])
-                    continue
-                for step in range(1, len(rows)):
-                    x, y = rows[:-step], rows[step:]
-                    apart = parent[x] != parent[y]
-                    x, y = x[apart], y[apart]
-                    ok = near(x, y)
-                    parent = unite(parent, x[ok], y[ok])
+                parent = unite(parent, rows[1:], rows[:-1])
         keep = ~(done | ended)
         if not keep.any():
             continue
@@ -294,130 +277,111 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2)
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def long_print(text: bytes, shingle_words: int = 5, seed: int = 42) -> tuple[bytes, bytes]:
-    """SimHash with PRINT_BITS bits over the distinct shingles (zeros without words), and the SKETCH smallest 32-bit hashes of them."""
-    hashes = np.unique(shingle_hashes(text, shingle_words, seed))
-    if not len(hashes):
-        return bytes(PRINT_BITS // 8), b""
-    counts = np.zeros(PRINT_BITS, np.int64)
-    for at in range(0, len(hashes), 16_384):
-        # Further words of a hash: sums with odd constants, mixed by multiplying and shifting.
-        h = hashes[at:at + 16_384, None] + np.arange(PRINT_WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(31)
-        counts += np.unpackbits(np.ascontiguousarray(h).view(np.uint8).reshape(len(h), -1), axis=1).sum(0, dtype=np.uint32)
-    return np.packbits(counts * 2 > len(hashes)).tobytes(), np.unique((hashes >> np.uint64(32)).astype("<u4"))[:SKETCH].tobytes()
-
+def distinct_shingles(text: bytes, shingle_words: int = 5, seed: int = 42) -> np.ndarray:
+    """The distinct shingle hashes of a text in ascending order."""
+    return np.unique(shingle_hashes(text, shingle_words, seed))
 
-def jaccard(a: bytes, b: bytes) -> float:
-    """Share of common shingles from two sketches: exact if both hold all their shingles, else from the SKETCH smallest of both texts."""
-    a, b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    either = np.union1d(a, b)
-    if max(len(a), len(b)) >= SKETCH:
-        either = either[:SKETCH]
-    return len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), either, assume_unique=True)) / max(1, len(either))
 
-
-def forest(n: int, x: np.ndarray, y: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Numbers of those links x-y that make a smallest spanning forest by ``d``: every part takes its shortest link out, until there is none."""
-    parent, order, chosen = np.arange(n), np.argsort(d, kind="stable"), []
-    while True:
-        order = order[parent[x[order]] != parent[y[order]]]
-        if not len(order):
-            return np.concatenate(chosen) if chosen else order
-        ends = np.stack([parent[x[order]], parent[y[order]]], axis=1).ravel()
-        first = np.unique(ends, return_index=True)[1]
-        take = order[np.unique(first // 2)]
-        chosen.append(take)
-        parent = unite(parent, x[take], y[take])
+def set_number(hashes: np.ndarray) -> int:
+    """A number for a set of shingles, as signed long: texts with equal sets have equal numbers."""
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), 42)).astype(np.int64))
 
 
-def bit_share(similarity: float) -> float:
-    """Part of the bits in which texts with this Jaccard similarity differ on average."""
-    return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
-
-
-class Sampling:
-    """Tables of 64 randomly chosen bits: the first ``width`` name the cell, the others are traversed as a trie.
-
-    ``width`` grows with the number of fingerprints so that strangers rarely share a cell, and the number of tables so that a pair at
-    exactly the wanted similarity shares a cell in one of them with probability ``recall``; nearer pairs do with more.
-    """
+def jaccard(a: bytes, b: bytes) -> float:
+    """Share of common shingles of two texts, from all their distinct hashes (ascending, 64 bits)."""
+    a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / max(1, len(a) + len(b) - common)
 
-    def __init__(self, rows: int, similarity: float, recall: float = 0.98):
-        p = bit_share(similarity)
-        self.width = min(40, max(8, math.ceil(math.log2(max(rows, 1) + 1)) - 3))
-        self.tables = max(1, math.ceil(math.log(1 - recall) / math.log1p(-(1 - p) ** self.width)))
-        rest = BITS - self.width
-        self.trie_bits = math.ceil(rest * p + 3 * math.sqrt(rest * p * (1 - p)))
-        self.print_bits = round(PRINT_BITS * p + 3 * math.sqrt(PRINT_BITS * p * (1 - p)))
-        rng = np.random.default_rng(17)
-        self.chosen = np.stack([rng.permutation(PRINT_BITS)[:BITS] for _ in range(self.tables)])
 
-    def keys(self, prints: np.ndarray, table: np.ndarray) -> np.ndarray:
-        """The bits that each row's table chooses, the first on top."""
-        bits = np.unpackbits(prints, axis=1)
-        return np.packbits(np.take_along_axis(bits, self.chosen[table], axis=1), axis=1).view(">u8").ravel().astype(np.uint64)
+def prefix_length(n, similarity: float):
+    """How many of a text's ``n`` shingles, the first in an order common to all texts, must hold one that any near copy has among its own first."""
+    return n - np.ceil(similarity * n - 1e-6).astype(np.int64) + 1
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PRINT_BITS // 8)
+def parities(hashes: np.ndarray) -> bytes:
+    """PARITY_BITS bits, each whether an odd number of hashes falls on it. Two texts differ in at least as many shingles as parities."""
+    return np.packbits(np.bincount((hashes & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1 == 1).tobytes()
 
 
-def print_links(prints: DataFrame, similarity: float = 0.8, cell_rows: int | None = None) -> DataFrame:
-    """Links ``a``, ``b``, ``d`` (numbers of two prints, differing bits) between the distinct rows of ``prints`` (print) that may be near copies.
+def frequent_shingles(texts: DataFrame, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (ascending) of shingles that many texts hold, and how many of the sampled texts hold each.
 
-    They connect what pairs connect whose prints differ in as few bits as ``similarity`` lets expect. A cell gives its smallest spanning forest only:
-    nearer pairs come first. A cell with more than ``cell_rows`` rows is dealt out as pairs of slices, so that none of its pairs is lost.
+    They only decide the order in which a text's shingles are looked at, frequent ones last, so neither the sample nor the limit on their number
+    changes what is found.
     """
-    plan, cell_rows = Sampling(prints.count(), similarity), cell_rows or PRINT_CELL_ROWS
-
-    def entries(batches):
+    def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 5_000):
-                part = batch.slice(lo, 5_000)
-                rows = _matrix(part.column(0))
-                for t in range(plan.tables):
-                    cell = plan.keys(rows, np.full(len(rows), t)) >> np.uint64(BITS - plan.width)
-                    cell |= np.uint64(t) << np.uint64(plan.width)
-                    yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), part.column(0)], ["cell", "print"])
-
-    cells = prints.select("print").mapInArrow(entries, "cell long, print binary")
-    large = checkpointed(cells.groupBy("cell").count().where(F.col("count") > cell_rows))
-    keys = ["cell"]
-    if not large.isEmpty():
-        keys = ["cell", "pair"]
-        slices = F.coalesce(F.ceil(F.col("count") / cell_rows), F.lit(1)).cast("long")
-        spread = cells.join(large, "cell", "left").withColumn("slices", slices).withColumn("own", F.pmod(F.xxhash64("print"), F.col("slices")))
-        spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-        pair = F.least("own", "other") * F.col("slices") + F.greatest("own", "other")
-        cells = spread.select("cell", pair.alias("pair"), "print")
+            held = [distinct_shingles(t, shingle_words) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], ["shingle"])
+
+    share = min(1.0, SAMPLE_TEXTS / max(1, texts.count()))
+    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else texts
+    counts = some.mapInArrow(run, "shingle long").groupBy("shingle").count().where(F.col("count") >= FREQUENT)
+    rows = counts.orderBy(F.desc("count"), "shingle").limit(FREQUENT_HELD).collect()
+    hashes, held = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], held[order]
+
+
+def _rarest_first(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The hashes by how many texts hold them, then by themselves."""
+    known, held = frequent
+    if not len(known) or not len(hashes):
+        return hashes
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    count = np.where(known[at] == hashes, held[at], 0)
+    return hashes[np.lexsort((hashes, count))] if count.any() else hashes
+
+
+def _candidates(rows, similarity: float, apart: np.ndarray, only_next: int = 0):
+    """Pairs of rows of one cell (n, place of the cell's shingle, parities; by n) that can be near copies, in blocks; ``only_next``: rows that near only."""
+    n, place, bits = rows
+    factor, after, last = similarity / (1 + similarity), n - place, len(n)
+    # Partners are not longer than this; a longer one has too few shingles in common.
+    stop = np.searchsorted(n, np.floor(n / similarity + 1e-6), side="right")
+    if only_next:
+        stop = np.minimum(stop, np.arange(last) + 1 + only_next)
+    lo = 0
+    while lo < last:
+        wide = np.cumsum(stop[lo:lo + BLOCK_PAIRS] - np.arange(lo, min(lo + BLOCK_PAIRS, last)) - 1)
+        hi = lo + max(1, int(np.searchsorted(wide, BLOCK_PAIRS, side="right")))
+        many = stop[lo:hi] - np.arange(lo, hi) - 1
+        x = np.repeat(np.arange(lo, hi), many)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many)
+        both = n[x] + n[y]
+        # If the cell's shingle is the first one in common, all others come after it in both.
+        ok = (apart[x] != apart[y]) & (np.minimum(after[x], after[y]) >= factor * both - 1e-6)
+        x, y, both = x[ok], y[ok], both[ok]
+        ok = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64) <= (1 - 2 * factor) * both + 1e-6
+        yield x[ok], y[ok]
+        lo = hi
+
+
+def _proposed(cells: DataFrame, similarity: float, only_next: int = 0) -> DataFrame:
+    """Distinct pairs ``a`` < ``b`` of rows of a cell (token, pair, id, n, place, bits, component) that can be near copies and are not yet connected."""
+    names = ["token", "pair"]
 
     def emit(table):
-        columns = [table.column(k).to_numpy() for k in keys]
-        rows = _matrix(table.column("print"))
-        key = plan.keys(rows, columns[0] >> plan.width)
-        order = np.lexsort((key, *columns[::-1]))
-        key, words, rows = key[order], rows.view(np.uint64)[order], rows[order]
-        new = np.ones(len(key), bool)
-        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
-        starts, found = np.flatnonzero(new), []
-
-        def near(x, y):
-            d = np.bitwise_count(words[x] ^ words[y]).sum(1)
-            ok = d <= plan.print_bits
-            found.append((x[ok], y[ok], d[ok]))
-            return ok
-
-        n = len(starts)
-        join_sorted(key, np.r_[starts, len(key)], starts, np.full(n, plan.width), np.zeros(n, np.int64), plan.trie_bits, near)
-        if found:
-            x, y, d = (np.concatenate(v) for v in zip(*found))
-            take = forest(len(key), x, y, d)
-            # The number of a print is that of Spark's xxhash64().
-            a, b = (pa.array(np.array([xxhash.xxh64_intdigest(rows[i].tobytes(), 42) for i in v[take]], np.uint64).view(np.int64)) for v in (x, y))
-            yield pa.RecordBatch.from_arrays([a, b, pa.array(d[take].astype(np.int32))], ["a", "b", "d"])
+        token, pair, number, n, place, component = (table.column(k).to_numpy() for k in ("token", "pair", "id", "n", "place", "component"))
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, PARITY_BITS // 64)
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (pair[1:] != pair[:-1])
+        starts = np.r_[np.flatnonzero(new), len(token)]
+        seen = set()
+        for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            if hi - lo < 2 or (component[lo:hi] == component[lo]).all():
+                continue
+            own = slice(lo, hi)
+            for x, y in _candidates((n[own], place[own], bits[own]), similarity, component[own], only_next):
+                a, b = np.minimum(number[own][x], number[own][y]), np.maximum(number[own][x], number[own][y])
+                # Copies share many shingles, so the same pairs come up in many cells of a task.
+                pairs = [p for p in zip(a.tolist(), b.tolist()) if p not in seen]
+                if len(seen) > SEEN_PAIRS:
+                    seen.clear()
+                seen.update(pairs)
+                if pairs:
+                    yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*pairs)], ["a", "b"])
 
     def run(batches):
         held = None
@@ -426,7 +390,7 @@ def print_links(prints: DataFrame, similarity: float = 0.8, cell_rows: int | Non
             held = now if held is None else pa.concat_tables([held, now])
             # The last cell may go on in the next batch.
             last = np.ones(held.num_rows, bool)
-            for k in keys:
+            for k in names:
                 column = held.column(k).to_numpy()
                 last &= column == column[-1]
             begin = int(np.argmax(last))
@@ -436,51 +400,86 @@ def print_links(prints: DataFrame, similarity: float = 0.8, cell_rows: int | Non
         if held is not None and held.num_rows:
             yield from emit(held)
 
-    dealt = cells.repartition(*keys).sortWithinPartitions(*keys)
-    found = dealt.mapInArrow(run, "a long, b long, d int")
-    return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("d").alias("d"))
+    dealt = cells.select("token", "pair", "id", "n", "place", "bits", "component").repartition(*names).sortWithinPartitions(*names, "n", "id")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
 
+def _sliced(shared: DataFrame, cell_rows: int) -> DataFrame:
+    """The rows of each shingle as cells; a shingle with more than ``cell_rows`` rows (``rows``) is dealt out as pairs of slices, so that no pair is lost."""
+    slices = F.ceil(F.col("rows") / cell_rows).cast("long")
+    spread = shared.withColumn("slices", slices).withColumn("own", F.pmod(F.xxhash64("id"), F.col("slices")))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    return spread.withColumn("pair", F.least("own", "other") * F.col("slices") + F.greatest("own", "other")).drop("slices", "own", "other", "rows")
 
-def verified(links: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """The links ``a``, ``b`` whose sketches (id, sketch) have at least this Jaccard similarity."""
+
+def verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links ``a``, ``b`` whose sets of shingles (id, hashes) have at least this Jaccard similarity."""
     def run(batches):
         for batch in batches:
-            near = [jaccard(x, y) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+            for lo in range(0, batch.num_rows, 1_000):
+                part = batch.slice(lo, 1_000)
+                near = [jaccard(x, y) >= similarity for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    one, two = (sketches.select(F.col("id").alias(e), F.col("sketch").alias(f"s{e}")) for e in "ab")
-    return links.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    one, two = (sets.select(F.col("id").alias(e), F.col("hashes").alias(f"h{e}")) for e in "ab")
+    return links.join(one, "a").join(two, "b").select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
 
 
 def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: doc_id, component_id (smallest doc_id among the texts connected by near copies).
 
-    Near copies are texts with a Jaccard similarity of at least ``similarity`` over distinct shingles; the trie join over long fingerprints proposes
-    them, and sketches of the shingles verify them (exactly up to SKETCH shingles, with a standard error under 0.02 beyond). Texts with equal
-    fingerprints are one class. Null and empty texts are equal to each other; a null doc_id takes part but never names a component; rows that
-    repeat a doc_id keep a row each; other columns are ignored.
+    Near copies are texts with a Jaccard similarity of at least ``similarity`` over distinct shingles; every such pair is found and every link is
+    verified by all shingles of both texts. Texts with equal sets of shingles are one class. Pairs are proposed by a prefix join: with the shingles
+    of every text in one common order, rare ones first, near copies share one of their first ``prefix_length``. Of the pairs that share one, those are
+    left out whose lengths, places of the shingle or parities show that too few others are in common, and those that verified links connect already.
+    Null and empty texts are equal to each other; a null doc_id takes part but never names a component; rows that repeat a doc_id keep a row each;
+    other columns are ignored.
     """
-    def run(batches):
+    texts = docs.select(F.col("doc_id").cast("long"), utf8().alias("text"))
+    frequent = frequent_shingles(texts.select("text"), shingle_words)
+
+    def prefixes(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1_000):
+                part = batch.slice(lo, 1_000)
+                held = [distinct_shingles(t, shingle_words) for t in part.column(1).to_pylist()]
+                first = [_rarest_first(h, frequent)[:int(prefix_length(np.int64(len(h)), similarity))].view(np.int64) for h in held]
+                starts = np.cumsum([0, *map(len, first)])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([set_number(h) for h in held], pa.int64()), pa.array([len(h) for h in held], pa.int64()),
+                     pa.array([parities(h) for h in held], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate(first), pa.int64()))],
+                    ["doc_id", "id", "n", "bits", "tokens"])
+
+    def sets(batches):
         for batch in batches:
-            found = [long_print(t, shingle_words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([f[i] for f in found], pa.binary()) for i in (0, 1))], ["doc_id", "print", "sketch"])
-
-    rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("text")).mapInArrow(run, "doc_id long, print binary, sketch binary")
-    rows = checkpointed(rows.withColumn("id", F.xxhash64("print")))
-    classes = checkpointed(rows.groupBy("id", "print").agg(F.min("doc_id").alias("least")))
-    links = checkpointed(print_links(classes, similarity))
-    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
-    sketches = checkpointed(rows.join(ends, "id", "left_semi").groupBy("id").agg(F.min("sketch").alias("sketch")))
-    # First the shortest link of every text; of the others only those between texts that this has not connected.
-    both = links.union(links.select("b", "a", "d"))
-    shortest = both.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    shortest = shortest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    near = checkpointed(verified(shortest, sketches, similarity))
-    part = components(near)
-    one, two = (part.select(F.col("node").alias(e), F.col("component").alias(f"p{e}")) for e in "ab")
-    rest = links.select("a", "b").join(shortest, ["a", "b"], "left_anti").join(one, "a", "left").join(two, "b", "left")
-    rest = rest.where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b")
-    found = components(near.union(verified(rest, sketches, similarity)))
+            for lo in range(0, batch.num_rows, 1_000):
+                held = [distinct_shingles(t, shingle_words) for t in batch.slice(lo, 1_000).column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([set_number(h) for h in held], pa.int64()), pa.array([h.tobytes() for h in held], pa.binary())],
+                                                 ["id", "hashes"])
+
+    def sets_of(links):
+        """All shingles of the texts at the ends of the links, from the texts again: few texts are near any other."""
+        ends = checkpointed(links.select(F.col("a").alias("id")).union(links.select("b")).distinct())
+        ends = F.broadcast(ends) if ends.limit(BROADCAST_ENDS + 1).count() <= BROADCAST_ENDS else ends
+        found = texts.select("text").mapInArrow(sets, "id long, hashes binary").join(ends, "id", "left_semi")
+        return checkpointed(found.groupBy("id").agg(F.min("hashes").alias("hashes")))
+
+    rows = checkpointed(texts.mapInArrow(prefixes, "doc_id long, id long, n long, bits binary, tokens array<long>"))
+    classes = checkpointed(rows.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("bits").alias("bits"),
+                                                  F.min("tokens").alias("tokens")))
+    tokens = classes.select("id", "n", F.posexplode("tokens").alias("place", "token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
+    shared = checkpointed(tokens.join(often, "token").select("token", "rows", "id", "n", F.col("place").cast("long").alias("place")))
+    shared = shared.join(classes.select("id", "bits"), "id")
+    # First the texts next to each other by length, which connects dense groups; then all pairs that this has not connected.
+    cells = checkpointed(_sliced(shared.withColumn("component", F.col("id")), PRINT_CELL_ROWS))
+    links = checkpointed(_proposed(cells, similarity, only_next=NEXT_ROWS))
+    near = checkpointed(verified(links, sets_of(links), similarity))
+    part = components(near).select(F.col("node").alias("id"), F.col("component").alias("named"))
+    cells = cells.join(part, "id", "left").withColumn("component", F.coalesce("named", "id")).drop("named")
+    rest = checkpointed(_proposed(cells, similarity).join(links, ["a", "b"], "left_anti"))
+    found = components(near.union(verified(rest, sets_of(rest), similarity)))
     named = checkpointed(classes.join(found, classes.id == found.node, "left").select(
         "id", "least", F.coalesce("component", "id").alias("root")))
     roots = named.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -108,6 +108,23 @@ def test_near_copies_against_brute_force(spark, odd, cell_rows, monkeypatch):
     assert simhash.near_copies(docs.limit(0)).count() == 0
 
 
+def test_a_rejected_pair_takes_no_near_copy_with_it(spark):
+    """Families of one template in which A-B is near and A-C and C-B are not, in many random arrangements: only the near pairs are joined."""
+    rng, rows, want = np.random.default_rng(8), [], {}
+    for k in range(60):
+        words = [f"w{rng.integers(10**9)}" for _ in range(304)]
+        family = [list(words) for _ in range(6)]
+        for j, own in enumerate(family):  # runs of changed words at the end: 30 + 30 of 300 changed shingles are 0.82, 35 + 35 are 0.79
+            size, at = (30, 10 * j) if j < 2 else (int(rng.integers(36, 60)), 10 * j)
+            own[304 - size:] = [f"y{k}.{j}.{i}.{at}" for i in range(size)]
+        rows += [(10 * k + j, " ".join(own)) for j, own in enumerate(family)]
+    sets = [(i, five_words(t)) for i, t in rows]
+    near = [(i, j) for (i, a), (j, b) in itertools.combinations(sets, 2) if i // 10 == j // 10 and len(a & b) / len(a | b) >= 0.8]
+    assert len(near) >= 60
+    want = united([i for i, _ in rows], near)
+    assert {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, rows)).collect()} == want
+
+
 def test_a_large_group_of_near_copies_is_one_group(spark):
     rng = np.random.default_rng(6)
     base = [f"w{rng.integers(5000)}" for _ in range(300)]

@@ -108,6 +108,12 @@ def test_near_copies_against_brute_force(spark, odd, cell_rows, monkeypatch):
     assert simhash.near_copies(docs.limit(0)).count() == 0
 
 
+def of_share(rng, n, common):
+    """Two texts with n + 4 words each that have exactly ``common`` of their n five-word shingles in common."""
+    words = [f"w{rng.integers(10**9)}" for _ in range(n + 4)]
+    return " ".join(words), " ".join(words[:common + 4] + [f"x{rng.integers(10**9)}" for _ in range(n - common)])
+
+
 def test_a_rejected_pair_takes_no_near_copy_with_it(spark):
     """Families of one template in which A-B is near and A-C and C-B are not, in many random arrangements: only the near pairs are joined."""
     rng, rows, want = np.random.default_rng(8), [], {}
@@ -125,6 +131,15 @@ def test_a_rejected_pair_takes_no_near_copy_with_it(spark):
     assert {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, rows)).collect()} == want
 
 
+def test_long_texts_are_compared_by_all_their_shingles(spark):
+    """Of 9,000 shingles 8,000 in common are 0.8 exactly, 7,999 are less; no sample can tell them apart."""
+    rng = np.random.default_rng(10)
+    texts = [of_share(rng, 9_000, 8_000 - k % 2) for k in range(24)]
+    rows = [(2 * k + i, t) for k, pair in enumerate(texts) for i, t in enumerate(pair)]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, rows)).collect()}
+    assert got == {2 * k + i: 2 * k + i * (k % 2) for k in range(24) for i in (0, 1)}
+
+
 def test_a_large_group_of_near_copies_is_one_group(spark):
     rng = np.random.default_rng(6)
     base = [f"w{rng.integers(5000)}" for _ in range(300)]

@@ -131,6 +131,29 @@ def test_a_rejected_pair_takes_no_near_copy_with_it(spark):
     assert {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, rows)).collect()} == want
 
 
+@pytest.mark.parametrize("others", [0, 3000])
+def test_every_pair_at_the_limit_is_found_beside_any_number_of_others(spark, others):
+    """Pairs at exactly 0.8 and just under it, in texts that mostly consist of passages that many texts hold, short and long ones."""
+    rng = np.random.default_rng(9)
+    passage = " ".join(f"p{i}" for i in range(24))
+    rows, want = [], {}
+    for k in range(200):
+        n, near = int(rng.integers(2, 60)) * 9, k % 2 == 0  # c of n in common: c / (2n - c) is 0.8 for c = 8n / 9
+        a, b = of_share(rng, n, n // 9 * 8 - (0 if near else 1))
+        rows += [(2 * k, a), (2 * k + 1, b)]
+        want |= {2 * k: 2 * k, 2 * k + 1: 2 * k + (not near)}
+    for k in range(100):  # 20 shingles of the passage, 4 across its end, then the text's own
+        a, b = of_share(rng, 3, 3 if k % 2 else 0)
+        rows += [(1000 + 2 * k, f"{passage} {a} end"), (1001 + 2 * k, f"{passage} {b} stop")]
+    rows += [(10_000 + i, " ".join(f"o{v}" for v in rng.integers(0, 10**6, 30))) for i in range(others)]
+    sets = [(i, five_words(t)) for i, t in rows if i < 10_000]
+    near = [(i, j) for (i, a), (j, b) in itertools.combinations(sets, 2) if len(a & b) >= 0.8 * len(a | b) - 1e-9]
+    assert sum(i < 1000 for i, _ in near) == 100
+    groups = united([i for i, _ in rows], near)
+    assert all(groups[i] == w for i, w in want.items())
+    assert {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(spark, rows)).collect()} == groups
+
+
 def test_long_texts_are_compared_by_all_their_shingles(spark):
     """Of 9,000 shingles 8,000 in common are 0.8 exactly, 7,999 are less; no sample can tell them apart."""
     rng = np.random.default_rng(10)

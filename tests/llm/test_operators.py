@@ -325,6 +325,24 @@ def test_license_notices(spark):
     assert got == Counter([(i, 1, name) for i, (name, _) in enumerate(notices) if name] + [(None, 1, "MIT"), (0, 0, "MIT")])
 
 
+def test_license_notices_over_several_lines(spark):
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {} Public License as published by\n"
+           "# the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.")
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Keep this."
+    mit = ('Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\n'
+           "in the Software without restriction, including")
+    texts = [
+        ("Licensed under the Apache License,\nVersion 2.0", {(0, "Apache-2.0")}), (gpl.format("General", 3), {(1, "GPL-3.0")}), (gpl.format("Lesser General", 2.1), {(1, "LGPL-2.1")}),
+        ("x\n// SPDX-License-Identifier: MIT", {(1, "MIT")}), ("# SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0 OR Zlib)", {(0, "GPL-2.0"), (0, "Zlib")}),
+        (f"MIT License\n\n{mit}", {(2, "MIT")}), (bsd, {(0, "BSD-2-Clause")}), (f"{bsd}\n\nNeither name may be used to endorse or\npromote products.\n\n{bsd}", {(0, "BSD-3-Clause"), (8, "BSD-2-Clause")}),
+        ("Licensed under the MIT License or the Apache License, Version 2.0.", {(0, "MIT"), (0, "Apache-2.0")}), ("Permission is denied.\nA licence\n\nVersion 2.0", set()),
+        ("Licensed under the Apache\n\nLicense, Version 2.0", set()), ("MIT holds the copyright.", set()),
+    ]
+    found = license_scan.scanned(documents(spark, [(i, t) for i, (t, _) in enumerate(texts)])).collect()
+    assert Counter((r["doc_id"], r["line"], r["license"]) for r in found) == Counter((i, *n) for i, (_, names) in enumerate(texts) for n in names)
+    assert {r["text"] for r in found if r["doc_id"] == 0} == {texts[0][0]}
+
+
 def test_blocks_follow_links_to_aliases(spark):
     link = '<html><link rel="canonical" href="{}"></html>'
     pages = [

@@ -6,6 +6,9 @@ anywhere, a queue's unserved credit is always under one token, and the number of
 follows from its weight alone: token j of a queue with weight w is due at time (2j+1)/w, and windows are filled in order of due time.
 So a task can take up the round at any window with the right deficits, and nothing runs through the
 driver but one total per queue. When a queue runs empty, a new epoch begins in which the others share its credit.
+
+Sources too many for a queue each share one queue by the same rule, in chunks: a chunk whose middle is token j of a source with n tokens is due at (2j+1)/n,
+so that each of them is served evenly to within a chunk.
 """
 
 from __future__ import annotations
@@ -24,8 +27,9 @@ from tallymart.session import new_shared_path
 
 # Weights are whole numbers, the largest this: shares are met to about one part in 2**15.
 FINEST = 2 ** 15
-# Sources with the most tokens that get a queue each; the others share one more.
+# Sources that get a queue each, those with the most tokens (sources with a given share always do); the others share one more, in chunks of at most so many tokens.
 QUEUES = 31
+CHUNK = 64
 # Rows of running sums, one per task and source, that are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 # Words kept with their ids in a Python worker.
@@ -223,8 +227,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
     """One row per piece: doc_id, source, start, length, doc_tokens, sequence_id, offset, ids (little-endian 32-bit).
 
     ``shares`` gives sources their wanted part of every window (sources not named are served when those are empty);
-    without it each source has its part of all tokens, so that all queues last to the end and all windows are alike. The ``queues``
-    largest sources have a queue each, all others share one. Only the last sequence may be short. A null text is empty (one
+    without it each source has its part of all tokens, so that all queues last to the end and all windows are alike. Sources with a given share and, up to
+    ``queues`` in all, the largest others have a queue each; the rest share one, in which each is served evenly to within CHUNK tokens. Only the last sequence may be short. A null text is empty (one
     piece with the end id), a null source an empty one; rows with the same or no doc_id are documents of their own; a document longer
     than a window is cut. Other columns are ignored. No rows give no pieces.
     """
@@ -233,12 +237,12 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
     path = new_shared_path(spark, "tokens")
     coded.write.option("compression", "zstd").parquet(path)
     coded = spark.read.parquet(path)
-    # One row per task and source: the driver sees one total for each of at most queues + 1 queues.
+    # One row per task and source: the driver sees one total for each queue, of which there are queues + 1, or one more than given shares.
     sums = coded.groupBy("task", "source").agg(F.sum("n").alias("n"))
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
-    named = sorted(shares or {})[:queues]
+    named = sorted(shares or {})
     largest = [r["source"] for r in by_source.where(~F.col("source").isin(named)).orderBy(F.desc("n"), "source")
-               .limit(queues - len(named)).collect()]
+               .limit(max(0, queues - len(named))).collect()]
     order = named + largest
     number = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in order]).cast("array<string>"), F.col("source")), F.lit(0)).cast("int")
     number = F.when(number > 0, number - 1).otherwise(len(order))
@@ -251,9 +255,27 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
     first = F.array(*[F.lit(sum(totals[:q])).cast("long") for q in range(len(totals))])
     begins = running_total(sums.withColumn("queue", number), "n", "queue", "source", "task").select(
         "task", "source", "queue", (F.col("running").cast("long") - F.col("n") - F.get(first, F.col("queue"))).alias("begin"))
+    rest = F.col("queue") == len(order)
+    if totals[-1]:
+        # In the shared queue from the source's first token on, with the source's tokens.
+        of_source = begins.where(rest).groupBy("source").agg(F.min("begin").alias("first")).join(by_source.withColumnRenamed("n", "all"), "source")
+        begins = begins.join(of_source, "source", "left").withColumn("begin", F.col("begin") - F.coalesce("first", F.lit(0))).drop("first")
+    else:
+        begins = begins.withColumn("all", F.lit(0).cast("long"))
     if begins.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         begins = F.broadcast(begins)
-    placed = coded.join(begins, ["task", "source"]).select("doc_id", "source", "queue", (F.col("begin") + F.col("at")).alias("start"), "n", "ids")
+    placed = coded.join(begins, ["task", "source"]).withColumn("start", F.col("begin") + F.col("at"))
+    columns = ["doc_id", "source", "queue", "start", "n", "ids", "base", "doc_tokens"]
+    whole = placed.withColumn("base", F.lit(0).cast("long")).withColumn("doc_tokens", F.col("n")).select(*columns, "all")
+    placed = whole.where(~rest).select(columns) if totals[-1] else whole.select(columns)
+    if totals[-1]:
+        width = F.expr("octet_length(ids) div doc_tokens")
+        chunks = whole.where(rest).withColumn("base", F.explode(F.expr(f"sequence(0L, (n - 1) div {CHUNK} * {CHUNK}, {CHUNK}L)")))
+        chunks = chunks.withColumn("n", F.least(F.lit(CHUNK).cast("long"), F.col("doc_tokens") - F.col("base"))).withColumn("start", F.col("start") + F.col("base"))
+        chunks = chunks.withColumn("ids", F.substring("ids", (F.col("base") * width + 1).cast("int"), (F.col("n") * width).cast("int")))
+        chunks = chunks.withColumn("due", (2 * F.col("start") + F.col("n")) / F.col("all"))
+        dealt = running_total(chunks, "n", "due", "source", "start")
+        placed = placed.union(dealt.withColumn("start", F.col("running").cast("long") - F.col("n")).select(columns))
 
     def run(batches):
         for batch in batches:
@@ -265,6 +287,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
 def _pieces(plan, batch, window):
     doc, source = batch.column(0), batch.column(1)
     queue, start, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
+    base, doc_tokens = (batch.column(i).to_numpy(zero_copy_only=False) for i in (6, 7))
     row, begin, length, number, offset = cut(plan, queue, start, n, window)
     ids = batch.column(5)
     for lo in range(0, len(row), 20_000):
@@ -277,7 +300,7 @@ def _pieces(plan, batch, window):
             out.append(wide[4 * b:4 * (b + k)])
         at = pa.array(row[part])
         yield pa.RecordBatch.from_arrays(
-            [doc.take(at), source.take(at), pa.array(begin[part]), pa.array(length[part]), pa.array(n[row[part]]),
+            [doc.take(at), source.take(at), pa.array(base[row[part]] + begin[part]), pa.array(length[part]), pa.array(doc_tokens[row[part]]),
              pa.array(number[part]), pa.array(offset[part]), pa.array(out, pa.binary())],
             ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 

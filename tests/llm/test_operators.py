@@ -253,6 +253,34 @@ def test_windows_hold_the_target_mixture():
     assert np.abs(served - np.array([[0.6], [0.3], [0.1]]) * at).max() < 2.5  # deficits stay under a token or two, wherever one starts
 
 
+def test_windows_hold_the_mixture_of_any_number_of_sources(spark):
+    """60 sources, and 40 with a given share: every stretch of windows has each source's part to within two chunks, and no token is lost."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = np.random.default_rng(11)
+    rows = [(60 * k + s, " ".join(rng.choice(WORDS, int(rng.integers(20, 40 + 10 * (s % 5))))), f"s{s:02}") for k in range(30) for s in range(60)]
+    rows.append((5000, " ".join(rng.choice(WORDS, 1500)), "s59"))
+    for shares in (None, {f"s{s:02}": 1.0 for s in range(40)}):
+        pieces = packing.pack(documents(spark, rows), path, window=1024, shares=shares).select(
+            "doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset").collect()
+        by_doc, held, totals = {}, Counter(), Counter()
+        for p in pieces:
+            by_doc.setdefault((p["doc_id"], p["doc_tokens"]), []).append((p["start"], p["length"]))
+            held[p["sequence_id"], p["source"]] += p["length"]
+            totals[p["source"]] += p["length"]
+        assert len(by_doc) == len(rows)
+        for (_, n), parts in by_doc.items():
+            parts.sort()
+            assert [a for a, _ in parts] == np.cumsum([0, *[k for _, k in parts]])[:-1].tolist() and sum(k for _, k in parts) == n
+        windows, part = max(w for w, _ in held), {s: n / sum(totals.values()) for s, n in totals.items()}
+        if shares:
+            windows, part = int(0.9 * 40 * min(totals[s] for s in shares) / 1024), {s: s in shares and 1 / 40 for s in totals}
+        for s in totals:
+            served = np.cumsum([held[w, s] for w in range(windows)])
+            assert np.abs(served - part[s] * 1024 * np.arange(1, windows + 1)).max() < 128
+
+
 def test_lattice_against_brute_force(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(40, 20))

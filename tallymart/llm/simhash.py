@@ -471,13 +471,16 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
     tokens = classes.select("id", "n", F.posexplode("tokens").alias("place", "token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
     shared = checkpointed(tokens.join(often, "token").select("token", "rows", "id", "n", F.col("place").cast("long").alias("place")))
-    shared = shared.join(classes.select("id", "bits"), "id")
+    bits = classes.select("id", "bits")
     # First the texts next to each other by length, which connects dense groups; then all pairs that this has not connected.
-    cells = checkpointed(_sliced(shared.withColumn("component", F.col("id")), PRINT_CELL_ROWS))
+    cells = _sliced(shared.withColumn("component", F.col("id")), PRINT_CELL_ROWS).join(bits, "id")
     links = checkpointed(_proposed(cells, similarity, only_next=NEXT_ROWS))
     near = checkpointed(verified(links, sets_of(links), similarity))
     part = components(near).select(F.col("node").alias("id"), F.col("component").alias("named"))
-    cells = cells.join(part, "id", "left").withColumn("component", F.coalesce("named", "id")).drop("named")
+    shared = shared.join(part, "id", "left").withColumn("component", F.coalesce("named", "id")).drop("named")
+    # Shingles whose texts are all connected have no more to tell.
+    apart = shared.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+    cells = _sliced(shared.join(apart, "token", "left_semi"), PRINT_CELL_ROWS).join(bits, "id")
     rest = checkpointed(_proposed(cells, similarity).join(links, ["a", "b"], "left_anti"))
     found = components(near.union(verified(rest, sets_of(rest), similarity)))
     named = checkpointed(classes.join(found, classes.id == found.node, "left").select(

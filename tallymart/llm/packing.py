@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallymart.llm.common import utf8
+from tallymart.llm.wordcodes import WordCoder, as_binary, batches_of_bytes, with_end, words
 from tallymart.operators.running import running_total
 from tallymart.session import new_shared_path
 
@@ -32,82 +32,6 @@ QUEUES = 31
 CHUNK = 64
 # Rows of running sums, one per task and source, that are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
-# Words kept with their ids in a Python worker.
-CACHE_WORDS = 1_000_000
-
-MARKS = b".,;:!?*&%$#|()"
-
-_tokenizers: dict = {}
-_words: dict = {}
-
-
-def encode(texts: list[bytes], tokenizer_path: str) -> list[bytes]:
-    """The ids of each text as little-endian 16-bit numbers (32-bit for a vocabulary over 65,536 ids).
-
-    The tokenizer drops blanks and never joins across ASCII ones, so the ids of a text are those of its words one after
-    the other; words already met are looked up.
-    """
-    from tokenizers import Tokenizer
-
-    if tokenizer_path not in _tokenizers:
-        _tokenizers[tokenizer_path] = Tokenizer.from_file(tokenizer_path)
-        _words[tokenizer_path] = {}
-    tokenizer, words = _tokenizers[tokenizer_path], _words[tokenizer_path]
-    kind = id_type(tokenizer.get_vocab_size())
-    # ASCII words are lower-cased first, as the tokenizer would, unless they may hold a special token.
-    split = [_folded(text) for text in texts]
-    new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in words]
-    if len(words) + len(new) > CACHE_WORDS:
-        words.clear()
-        new = list(dict.fromkeys(chain.from_iterable(split)))
-    # Letters and the marks after them are coded apart: "word," as "word" and ",".
-    halves = [(w, stem, w[len(stem):]) for w in new
-              if (stem := w.rstrip(MARKS)).isalpha() and len(stem) < len(w) and stem.islower()]
-    plain = set(new).difference(h[0] for h in halves)
-    plain.update(part for h in halves for part in h[1:] if part not in words)
-    plain = sorted(plain)
-    for lo in range(0, len(plain), 2_000):
-        _learn(plain[lo:lo + 2_000], words, tokenizer, kind)
-    words.update((w, words[stem] + words[tail]) for w, stem, tail in halves)
-    return [b"".join(map(words.__getitem__, s)) for s in split]
-
-
-def end_of(end_id: int, tokenizer_path: str) -> tuple[bytes, int]:
-    """The end id as ``encode`` would write it, and its number of bytes."""
-    kind = id_type(_tokenizers[tokenizer_path].get_vocab_size())
-    return np.array([end_id], kind).tobytes(), int(kind[-1])
-
-
-def _folded(text: bytes) -> list[bytes]:
-    if b"<|" in text:
-        return text.split()
-    if text.isascii():
-        return text.lower().split()
-    return [w.lower() if w.isascii() else w for w in text.split()]
-
-
-def _learn(new: list[bytes], words: dict, tokenizer, kind: str) -> None:
-    """Encodes new words in one call, with a NUL word between them whose single id shows where each ends."""
-    def ids(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, kind)
-
-    mark = ids("\0")
-    plain = [w for w in new if b"\0" not in w] if len(mark) == 1 else []
-    if plain:
-        coded = ids(" \0 ".join(w.decode("utf-8", "replace") for w in plain))
-        ends = np.flatnonzero(coded == mark[0])
-        raw, width = coded.tobytes(), coded.itemsize
-        starts = [0, *((ends + 1) * width).tolist()]
-        stops = [*(ends * width).tolist(), len(raw)]
-        words.update((w, raw[s:e]) for w, s, e in zip(plain, starts, stops))
-    for w in new:
-        if w not in words:
-            words[w] = ids(w.decode("utf-8", "replace")).tobytes()
-
-
-def id_type(vocabulary: int) -> str:
-    return "<u2" if vocabulary <= 65_536 else "<u4"
-
 
 @dataclass
 class Epoch:
@@ -309,20 +233,20 @@ def _tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """doc_id, source, n, ids, and where the document lies: task, and ``at``, tokens of its source before it in the task."""
     def run(batches):
         from pyspark import TaskContext
+        from tokenizers import Tokenizer
 
         task, before = TaskContext.get().partitionId(), {}
+        coder = WordCoder(Tokenizer.from_file(tokenizer_path), words)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1_000):
-                part = batch.slice(lo, 1_000)
-                coded = encode(part.column(2).to_pylist(), tokenizer_path)
-                end, width = end_of(end_id, tokenizer_path)
-                coded = [c + end for c in coded]
-                count, at = [len(c) // width for c in coded], []
-                for source, k in zip(part.column(1).to_pylist(), count):
+            for lo, k in batches_of_bytes(batch.column(2), 4_000_000):
+                part = batch.slice(lo, k)
+                coded, count = with_end(*coder.encode(part.column(2)), end_id)
+                at = []
+                for source, n in zip(part.column(1).to_pylist(), count.tolist()):
                     at.append(before.get(source, 0))
-                    before[source] = at[-1] + k
+                    before[source] = at[-1] + n
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(count, pa.int64()), pa.array(coded, pa.binary()),
+                    [part.column(0), part.column(1), pa.array(count, pa.int64()), as_binary(coded, count),
                      pa.array([task] * len(count), pa.int64()), pa.array(at, pa.int64())],
                     ["doc_id", "source", "n", "ids", "task", "at"])
 
@@ -332,7 +256,7 @@ def _tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
 def digest(pieces: DataFrame) -> DataFrame:
     """The pieces with a crc32 in place of their ids."""
-    return pieces.select("doc_id", "source", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
 
 
 def crc_of(ids) -> int:

@@ -27,6 +27,13 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with as many underscores before it as it takes to begin none of the columns."""
+    while any(c.lower().startswith(name) for c in columns):
+        name = "_" + name
+    return name
+
+
 def batches_of(rows, names, schema, size: int = 100_000):
     """Arrow batches from an iterator of tuples, ``size`` rows each."""
     import pyarrow as pa

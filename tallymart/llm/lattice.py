@@ -124,7 +124,7 @@ def _by_length(column) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(rows := np.flatnonzero(lengths == n), flat[begin[rows][:, None] + np.arange(n)]) for n in np.unique(lengths)]
 
 
-def _entries(cosine: float, with_vector: bool):
+def _entries(cosine: float):
     """Arrow function: a row per (vector, table, cell)."""
     def run(batches):
         for whole in batches:
@@ -139,12 +139,9 @@ def _entries(cosine: float, with_vector: bool):
                         r = pa.array(rows[r])
                         cell = pa.FixedSizeBinaryArray.from_buffers(
                             pa.binary(16), len(r), [None, pa.py_buffer(np.ascontiguousarray(cells.astype(np.int16)).tobytes())]).cast(pa.binary())
-                        columns = [batch.column(0).take(r), batch.column(1).take(r), pa.array(np.full(len(r), matrix.shape[1] * 1_000 + t)), cell]
-                        names = ["class_id", "label", "place", "cell"]
-                        if with_vector:
-                            columns += [batch.column(3).take(r), column.take(r)]
-                            names += ["n", "vector"]
-                        yield pa.RecordBatch.from_arrays(columns, names)
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(r), batch.column(1).take(r), pa.array(np.full(len(r), matrix.shape[1] * 1_000 + t)), cell],
+                            ["class_id", "label", "place", "cell"])
 
     return run
 
@@ -250,7 +247,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, cell_rows: int = CELL
 
     Two vectors are linked if their labels are equal and not null, their lengths are equal and their cosine is at least ``cosine``.
     Vectors that are null, empty, zero or hold null or non-finite components, and vectors without a label, are linked with
-    nothing: n_links 0, their own vec_id as component. Equal vectors are compared once and counted as often as they occur; rows that
+    nothing: n_links 0, their own vec_id as component. Labels may be of any type that has equality and a text form. Equal vectors are compared once and counted as often as they occur; rows that
     repeat a vec_id are vectors of their own; a null vec_id is counted as a link but names no component (kept is null there).
     Other columns are ignored.
     """
@@ -259,46 +256,33 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, cell_rows: int = CELL
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     good = F.col("label").isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists("vector", lambda x: x != 0)
     rows = rows.withColumn("good", F.coalesce(good, F.lit(False)))
-    keys, kind = ["label", "digest", "vector"], dict(rows.dtypes)["vector"]
+    keys = ["label", "digest", "vector"]
     valid = rows.where("good").withColumn("digest", F.xxhash64("vector"))
+    # Equal vectors of a label are a class; it is numbered, since a vec_id may name different vectors.
     classes = checkpointed(
-        valid.groupBy(*keys).agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n"))
-        # A class is named by its smallest vec_id; without one, by a negative number of its content.
-        .withColumn("class_id", F.coalesce("vec_id", F.lit(-2**62) + F.pmod(F.xxhash64("label", "digest"), F.lit(2**61))))
-        .withColumn("label", F.col("label").cast("long")))
-    bare = classes.select("class_id", "label", "vector")
-    counted = bare.mapInArrow(_entries(cosine, False), "class_id long, label long, place long, cell binary").groupBy(*CELL).count()
-    large = checkpointed(counted.where(F.col("count") > cell_rows))
-    entries = classes.select("class_id", "label", "vector", "n").mapInArrow(
-        _entries(cosine, True), f"class_id long, label long, place long, cell binary, n long, vector {kind}")
+        valid.groupBy(*keys).agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")).withColumn("class_id", F.monotonically_increasing_id()))
+    entries = classes.select("class_id", F.col("label").cast("string").alias("label"), "vector").mapInArrow(
+        _entries(cosine), "class_id long, label string, place long, cell binary")
+    # Vectors are only sent to cells where they have company.
+    shared = checkpointed(entries.groupBy(*CELL).count().where("count > 1"))
     # The rows of a large cell go to all pairs of slices that hold their slice.
-    if large.isEmpty():
-        dealt = entries.withColumn("pair", F.lit(-1).cast("long")).withColumn("side", F.lit(-1))
-    else:
-        slices = F.ceil(F.col("count") / cell_rows).cast("long")
-        marked = entries.join(large.withColumn("slices", slices).drop("count"), CELL, "left")
-        own = F.pmod(F.xxhash64("class_id"), F.col("slices"))
-        spread = marked.where("slices IS NOT NULL").withColumn("own", own).withColumn(
-            "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-        spread = spread.select(
-            "class_id", *CELL, "n", "vector",
-            (F.least("own", "other") * F.col("slices") + F.greatest("own", "other")).alias("pair"),
-            F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side"))
-        dealt = marked.where("slices IS NULL").select(
-            "class_id", *CELL, "n", "vector", F.lit(-1).cast("long").alias("pair"), F.lit(-1).alias("side")).union(spread)
+    slices = F.ceil(F.col("count") / cell_rows).cast("long")
+    spread = entries.join(shared.withColumn("slices", slices).drop("count"), CELL).withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("slices")))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    spread = spread.select(
+        "class_id", *CELL, (F.least("own", "other") * F.col("slices") + F.greatest("own", "other")).alias("pair"),
+        F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side"))
+    dealt = spread.join(classes.select("class_id", "n", "vector"), "class_id")
     dealt = dealt.repartition(*CELL, "pair").sortWithinPartitions(*CELL, "pair", "class_id")
     found = checkpointed(dealt.select("class_id", *CELL, "n", "vector", "pair", "side").mapInArrow(
         _verify(cosine), "class_id long, links long, with long"))
     linked = found.groupBy("class_id").agg(F.sum("links").alias("links"))
     named = components(found.select(F.col("class_id").alias("a"), F.col("with").alias("b")))
-    result = classes.select("class_id", "label", "digest", "vector", "n").join(linked, "class_id", "left").join(
-        named, F.col("class_id") == F.col("node"), "left")
+    result = classes.join(linked, "class_id", "left").join(named, F.col("class_id") == F.col("node"), "left")
     result = result.withColumn("root", F.coalesce("component", "class_id"))
-    # Classes without a vec_id are named by negative numbers: the smallest real one names the component.
-    least = result.groupBy("root").agg(F.min(F.when(F.col("class_id") >= -2**61, F.col("class_id"))).alias("component_id"))
+    least = result.groupBy("root").agg(F.min("vec_id").alias("component_id"))
     result = result.join(least, "root").select(
-        F.col("label").alias("l"), F.col("digest").alias("d"), F.col("vector").alias("v"),
-        (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"), "component_id")
-    joined = valid.join(result, (F.col("label").cast("long") == F.col("l")) & (F.col("digest") == F.col("d")) & (F.col("vector") == F.col("v")))
+        *keys, (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"), "component_id")
+    joined = valid.select("vec_id", *keys).join(result, keys)
     alone = rows.where("NOT good").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return joined.select("vec_id", "n_links", "component_id").union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from tallymart.llm.common import unused
 from tallymart.session import checkpointed
 
 MARGINS = ["source", "lang", "topic"]
@@ -104,13 +105,13 @@ def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, tempera
     """The documents that ``mixed`` keeps, columns unchanged; the decision is made on each row again, without joining texts."""
     rows = cells(docs)
     table, small = rake(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), targets, temperature)
-    table = checkpointed(table.withColumn("_p", F.round(F.col("factor") / F.max("factor").over(Window.partitionBy()), 9))
-                         .select(*[F.col(m).alias(f"_{m}") for m in MARGINS], "_p"))
+    own = unused("mix", docs.columns)
+    table = checkpointed(table.withColumn(f"{own}_p", F.round(F.col("factor") / F.max("factor").over(Window.partitionBy()), 9))
+                         .select(*[F.col(m).alias(f"{own}_{m}") for m in MARGINS], f"{own}_p"))
     n = tokens(F.col("text"))
-    keyed = docs.withColumns({
-        "_k_source": F.coalesce(F.col("source").cast("string"), F.lit("")), "_k_lang": F.coalesce(F.col("lang").cast("string"), F.lit("")),
-        "_k_topic": topic(F.col("text"), n)})
-    same = (F.col("_k_source") == F.col("_source")) & (F.col("_k_lang") == F.col("_lang")) & (F.col("_k_topic") == F.col("_topic"))
+    of_doc = {"source": F.coalesce(F.col("source").cast("string"), F.lit("")), "lang": F.coalesce(F.col("lang").cast("string"), F.lit("")), "topic": topic(F.col("text"), n)}
+    keyed = docs.withColumns({f"{own}_k_{m}": of_doc[m] for m in MARGINS})
+    same = [F.col(f"{own}_k_{m}") == F.col(f"{own}_{m}") for m in MARGINS]
     kept = keyed.join(F.broadcast(table) if small else table, same, "left").where(
-        uniform(F.col("doc_id")) < F.coalesce("_p", F.lit(1.0)))
+        uniform(F.col("doc_id")) < F.coalesce(f"{own}_p", F.lit(1.0)))
     return kept.select(*[docs[c] for c in docs.columns])

@@ -94,7 +94,7 @@ links AS (SELECT url, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '/
           WHEN starts_with(t, '/') THEN 'x://' || {_host('url')} || t
           ELSE 'x://' || {_host('url')} || regexp_replace({_path('url')}, '[^/]*$', '') || CASE WHEN {_path('url')} = '' THEN '/' ELSE '' END || t END AS target
           FROM raw WHERE t <> ''),
-edges AS (SELECT {_host('url')} || ' ' || {_path('url')} AS a, {_host('target')} || ' ' || {_path('target')} AS b FROM links),
+edges AS (SELECT {_host('url')} || ' ' || {_path('url')} AS a, {_host('target')} || ' ' || {_path('target')} AS b FROM links WHERE {_host('url')} <> '' AND {_host('target')} <> ''),
 both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 reach AS (SELECT a AS node, a AS seen FROM both_ways UNION SELECT r.node, e.b FROM reach AS r JOIN both_ways AS e ON e.a = r.seen),
 seen_rules AS (SELECT node, {_ruled('verdict')} AS v FROM

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallymart.llm.common import utf8
+from tallymart.llm.common import unused, utf8
 from tallymart.llm.components import components, unite
 from tallymart.session import checkpointed
 
@@ -37,14 +37,14 @@ NEXT_ROWS = 2
 # Rows of a shingle that one task compares at once.
 PRINT_CELL_ROWS = 20_000
 # Parities of the shingle hashes of a text; a power of two.
-PARITY_BITS = 1_024
+PARITY_BITS = 256
 # Texts whose shingles are counted, texts of these that make a shingle frequent, and frequent shingles that are held.
 SAMPLE_TEXTS = 20_000
 FREQUENT = 8
 FREQUENT_HELD = 200_000
 # Pairs of rows that are compared together, and proposed pairs that a task remembers.
-BLOCK_PAIRS = 1_000_000
-SEEN_PAIRS = 1_000_000
+BLOCK_PAIRS = 50_000
+SEEN_PAIRS = 100_000
 # Ends of links that are broadcast.
 BROADCAST_ENDS = 200_000
 
@@ -282,6 +282,14 @@ def distinct_shingles(text: bytes, shingle_words: int = 5, seed: int = 42) -> np
     return np.unique(shingle_hashes(text, shingle_words, seed))
 
 
+def print_of(hashes: np.ndarray) -> int:
+    """SimHash of a set of shingles, as signed long: a bit is set if it is set in over half of them."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 65_536):
+        counts += np.unpackbits(hashes[at:at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.int64)[0])
+
+
 def set_number(hashes: np.ndarray) -> int:
     """A number for a set of shingles, as signed long: texts with equal sets have equal numbers."""
     return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), 42)).astype(np.int64))
@@ -425,31 +433,51 @@ def verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return links.join(one, "a").join(two, "b").select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
 
 
+def print_pairs(classes: DataFrame, max_bits: int = 2) -> DataFrame:
+    """Pairs ``a``, ``b`` of classes (id, fp) that connect those whose fingerprints the trie join connects; no more pairs than classes."""
+    first = checkpointed(classes.groupBy("fp").agg(F.min("id").alias("first")))
+    equal = classes.join(first, "fp").where("id <> first").select("id", "first")
+    one, two = (first.select(F.col("fp").alias(e), F.col("first").alias(f"id_{e}")) for e in "ab")
+    linked = links(first.select("fp"), max_bits).join(one, "a").join(two, "b").select("id_a", "id_b")
+    pairs = equal.union(linked)
+    return pairs.select(F.least(*pairs.columns).alias("a"), F.greatest(*pairs.columns).alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: doc_id, component_id (smallest doc_id among the texts connected by near copies).
 
+    See ``near_groups``.
+    """
+    return near_groups(docs, shingle_words, similarity).select("doc_id", "component_id")
+
+
+def near_groups(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row per row of ``docs``: doc_id, h1, h2 (hashes of the text), root (number of its group), component_id (smallest doc_id of the group).
+
     Near copies are texts with a Jaccard similarity of at least ``similarity`` over distinct shingles; every such pair is found and every link is
-    verified by all shingles of both texts. Texts with equal sets of shingles are one class. Pairs are proposed by a prefix join: with the shingles
+    verified by all shingles of both texts. Texts with equal sets of shingles are one class. The trie join of their SimHashes proposes the first pairs,
+    which connect most copies cheaply. What it cannot see, pairs of 0.8 whose SimHashes lie far apart, is proposed by a prefix join: with the shingles
     of every text in one common order, rare ones first, near copies share one of their first ``prefix_length``. Of the pairs that share one, those are
     left out whose lengths, places of the shingle or parities show that too few others are in common, and those that verified links connect already.
     Null and empty texts are equal to each other; a null doc_id takes part but never names a component; rows that repeat a doc_id keep a row each;
     other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long"), utf8().alias("text"))
+    hashed = texts.select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
     frequent = frequent_shingles(texts.select("text"), shingle_words)
 
     def prefixes(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 1_000):
                 part = batch.slice(lo, 1_000)
-                held = [distinct_shingles(t, shingle_words) for t in part.column(1).to_pylist()]
+                held = [distinct_shingles(t, shingle_words) for t in part.column(3).to_pylist()]
                 first = [_rarest_first(h, frequent)[:int(prefix_length(np.int64(len(h)), similarity))].view(np.int64) for h in held]
                 starts = np.cumsum([0, *map(len, first)])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([set_number(h) for h in held], pa.int64()), pa.array([len(h) for h in held], pa.int64()),
+                    [*part.columns[:3], pa.array([set_number(h) for h in held], pa.int64()), pa.array([print_of(h) for h in held], pa.int64()), pa.array([len(h) for h in held], pa.int64()),
                      pa.array([parities(h) for h in held], pa.binary()),
                      pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate(first), pa.int64()))],
-                    ["doc_id", "id", "n", "bits", "tokens"])
+                    ["doc_id", "h1", "h2", "id", "fp", "n", "bits", "tokens"])
 
     def sets(batches):
         for batch in batches:
@@ -465,37 +493,55 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
         found = texts.select("text").mapInArrow(sets, "id long, hashes binary").join(ends, "id", "left_semi")
         return checkpointed(found.groupBy("id").agg(F.min("hashes").alias("hashes")))
 
-    rows = checkpointed(texts.mapInArrow(prefixes, "doc_id long, id long, n long, bits binary, tokens array<long>"))
-    classes = checkpointed(rows.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("bits").alias("bits"),
+    rows = checkpointed(hashed.mapInArrow(prefixes, "doc_id long, h1 long, h2 long, id long, fp long, n long, bits binary, tokens array<long>"))
+    classes = checkpointed(rows.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bits").alias("bits"),
                                                   F.min("tokens").alias("tokens")))
+    tried = checkpointed(print_pairs(classes.select("id", "fp")))
+    by_print = checkpointed(verified(tried, sets_of(tried), similarity))
     tokens = classes.select("id", "n", F.posexplode("tokens").alias("place", "token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
     shared = checkpointed(tokens.join(often, "token").select("token", "rows", "id", "n", F.col("place").cast("long").alias("place")))
     bits = classes.select("id", "bits")
+
+    def connected(near):
+        part = components(near).select(F.col("node").alias("id"), F.col("component").alias("named"))
+        return shared.join(part, "id", "left").withColumn("component", F.coalesce("named", "id")).drop("named")
+
     # First the texts next to each other by length, which connects dense groups; then all pairs that this has not connected.
-    cells = _sliced(shared.withColumn("component", F.col("id")), PRINT_CELL_ROWS).join(bits, "id")
-    links = checkpointed(_proposed(cells, similarity, only_next=NEXT_ROWS))
-    near = checkpointed(verified(links, sets_of(links), similarity))
-    part = components(near).select(F.col("node").alias("id"), F.col("component").alias("named"))
-    shared = shared.join(part, "id", "left").withColumn("component", F.coalesce("named", "id")).drop("named")
+    cells = _sliced(connected(by_print), PRINT_CELL_ROWS).join(bits, "id")
+    proposed = checkpointed(_proposed(cells, similarity, only_next=NEXT_ROWS).join(tried, ["a", "b"], "left_anti"))
+    near = checkpointed(by_print.union(verified(proposed, sets_of(proposed), similarity)))
+    shared = connected(near)
     # Shingles whose texts are all connected have no more to tell.
     apart = shared.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
     cells = _sliced(shared.join(apart, "token", "left_semi"), PRINT_CELL_ROWS).join(bits, "id")
-    rest = checkpointed(_proposed(cells, similarity).join(links, ["a", "b"], "left_anti"))
+    rest = checkpointed(_proposed(cells, similarity).join(proposed.union(tried), ["a", "b"], "left_anti"))
     found = components(near.union(verified(rest, sets_of(rest), similarity)))
     named = checkpointed(classes.join(found, classes.id == found.node, "left").select(
         "id", "least", F.coalesce("component", "id").alias("root")))
     roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(roots, "root").select("id", "component_id")
-    return rows.select("doc_id", "id").join(named, "id").select("doc_id", "component_id")
+    named = named.join(roots, "root").select("id", "root", "component_id")
+    return rows.select("doc_id", "h1", "h2", "id").join(named, "id").select("doc_id", "h1", "h2", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """The documents without those that have an earlier one (smaller doc_id) in their group; columns unchanged.
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each group of near copies; columns unchanged.
 
-    ``groups`` has doc_id and component_id, by default those of ``near_copies``. Of rows with the same doc_id all stay or go, of rows
-    without a doc_id all stay.
+    The one with the smallest doc_id stays (documents without a doc_id come last), then the one with the smallest hash of its text, and one of rows that
+    agree in both, whichever Spark meets first. Rows that share a doc_id but not their text are judged apart.
     """
-    groups = near_copies(docs) if groups is None else groups
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    groups = checkpointed(near_groups(docs))
+    key = ["doc_id", "h1", "h2"]
+    one = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), *key)).alias("one")).select("root", F.col("one.h1").alias("o1"), F.col("one.h2").alias("o2"), F.col("one.doc_id").alias("one"))
+    same = F.col("doc_id").eqNullSafe(F.col("one")) & (F.col("h1") == F.col("o1")) & (F.col("h2") == F.col("o2"))
+    rows = groups.join(one, "root").withColumn("stays", same)
+    lost = rows.where(~F.col("stays")).select(*key).distinct()
+    again = rows.where("stays").groupBy(*key).count().where("count > 1").select(*key)
+    text = F.coalesce(docs["text"], F.lit("")).cast("binary")
+    name = unused("key", docs.columns)
+    keyed = docs.withColumn(name, F.struct(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")))
+    lost, again = (keys.select(F.struct(*key).alias(f"{name}_")) for keys in (lost, again))
+    equal = F.col(name) == F.col(f"{name}_")
+    kept = keyed.join(lost, equal, "left_anti")
+    single = kept.join(again, equal, "left_anti").union(kept.join(again, equal, "left_semi").dropDuplicates([name]))
+    return single.drop(name)

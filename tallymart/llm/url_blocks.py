@@ -74,6 +74,8 @@ def judged_pages(pages: DataFrame, redirects: DataFrame | None = None, rules=RUL
     if redirects is not None:
         links = links.union(redirects.select("url", "target"))
     node = lambda c: F.struct(host(c).alias("host"), path(c).alias("path"))
+    # Urls without a host are no place: they neither link nor inherit.
+    links = links.where((host(F.col("url")) != "") & (host(F.col("target")) != ""))
     found = components(links.select(node(F.col("url")).alias("a"), node(F.col("target")).alias("b")))
     _, verdict = rule_of(F.col("node.host"), F.col("node.path"), rules)
     members = found.withColumn("ruled", verdict)

@@ -161,6 +161,16 @@ SQL = {
     "filtered_kpis": statement(f"""
         SELECT {KPI_COLUMNS} FROM {SOLD_TO} JOIN dim_products AS p ON p.product_id = s.product_id {REVIEWED}
         WHERE order_year = 1997 AND customer_state = 'NATION_3' AND product_category_name_english = 'BRAND#4'"""),
+    "cube_kpis": statement(KPIS),
+    "cube_filtered_kpis": statement(f"""
+        SELECT {KPI_COLUMNS} FROM {SOLD_TO} JOIN dim_products AS p ON p.product_id = s.product_id {REVIEWED}
+        WHERE order_year = 1997 AND customer_state = 'NATION_3' AND product_category_name_english = 'BRAND#4'"""),
+    "cube_distinct_by_year": statement(f"""
+        SELECT order_year AS year, COUNT(DISTINCT customer_unique_id) AS customers, COUNT(DISTINCT product_id) AS products,
+               COUNT(DISTINCT seller_id) AS sellers FROM {SOLD_TO} GROUP BY order_year"""),
+    "cube_distinct_by_state_category": statement(f"""
+        SELECT customer_state AS state, product_category_name_english AS category, COUNT(DISTINCT customer_unique_id) AS customers,
+               COUNT(DISTINCT s.product_id) AS products, COUNT(DISTINCT seller_id) AS sellers FROM {CUBE_FROM} GROUP BY ALL"""),
     "kpi_cards": statement("""
         SELECT total_revenue, CAST(CAST(total_revenue AS DECIMAL(28,2)) + CAST(total_freight AS DECIMAL(28,2)) AS DOUBLE)
                    AS total_gmv, total_orders, unique_products, active_sellers,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymart.functions.exprs import decimals_as_doubles
-from tallymart.plans import clean, cubes, dashboard, eda, insights, integrate, publish, quality, reports, segments
+from tallymart.plans import clean, cubes, dashboard, eda, insights, integrate, kpi_cube, publish, quality, reports, segments
 from tallymart.plans.sales import delivered_orders
 from tallymart.plans.segments import RfmConfig
 from tallymart.plans.star import Star
@@ -100,6 +100,11 @@ def clean_orders_text(star: Star) -> DataFrame:
     return clean.clean_orders(roles.orders_as_text(star.raw))
 
 
+def from_cube(job: Callable, *args, **kwargs) -> Query:
+    """A job on the KPI cube, which is built and stored first."""
+    return on_star(lambda star: job(kpi_cube.build(star), *args, **kwargs))
+
+
 QUERIES: dict[str, Query] = {
     "q1_overview": on_star(reports.overview),
     "q2_monthly_trends": on_star(reports.monthly_trends),
@@ -156,6 +161,10 @@ QUERIES: dict[str, Query] = {
     "kpis": on_star(dashboard.kpis),
     "kpis_per_order_reviews": on_star(dashboard.kpis, reviews="per_order"),
     "filtered_kpis": on_star(dashboard.kpis, **SELECTED),
+    "cube_kpis": from_cube(kpi_cube.kpis),
+    "cube_filtered_kpis": from_cube(kpi_cube.kpis, **SELECTED),
+    "cube_distinct_by_year": from_cube(kpi_cube.distinct_by, "year"),
+    "cube_distinct_by_state_category": from_cube(kpi_cube.distinct_by, "state", "category"),
     "kpi_cards": on_star(dashboard.kpi_cards),
     "monthly_trends": on_star(dashboard.monthly_trends),
     "monthly_trends_for_year": on_star(dashboard.monthly_trends_for_year, str(SELECTED["year"])),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallymart.operators.quantiles import joined_groups, quantiles_of_counts, value_counts
+from tallymart.operators.quantiles import exact_quantiles, joined_groups, weighted
 from tallymart.operators.selection import with_row_of
+from tallymart.session import checkpointed
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 FENCE = 1.5
@@ -40,12 +41,12 @@ def histogram(df: DataFrame, value: str, bins: int = 50, weight: str | None = No
 
 
 def box_summary(df: DataFrame, key: str, value: str, weight: str | None = None) -> DataFrame:
-    """Per group: quartiles, and whiskers at the furthest values within 1.5 interquartile ranges."""
-    counts = value_counts(df, value, [key], weight)
-    boxes = quantiles_of_counts(counts, QUARTILES, [key])
+    """Per group: quartiles, and whiskers at the furthest values within 1.5 interquartile ranges. ``df`` is read three times, so it should be stored if it is costly."""
+    rows = weighted(df, value, [key], weight)
+    boxes = checkpointed(exact_quantiles(rows, "value", QUARTILES, [key], "n"))
     reach = FENCE * (F.col("q3") - F.col("q1"))
     v = F.col("value")
-    whiskers = joined_groups(counts.drop("n"), boxes, [key]).groupBy(key).agg(
+    whiskers = joined_groups(rows.drop("n"), boxes, [key]).groupBy(key).agg(
         F.min(F.when(v >= F.col("q1") - reach, v)).alias("low"),
         F.max(F.when(v <= F.col("q3") + reach, v)).alias("high"),
     )
@@ -57,10 +58,11 @@ def box_summary(df: DataFrame, key: str, value: str, weight: str | None = None)
     )
 
 
-def outlier_fence(counts: DataFrame) -> DataFrame:
-    """One row from the rows of ``value_counts``: quartiles, upper fence and how many values exceed it."""
-    q = quantiles_of_counts(counts, {"q1": 0.25, "q3": 0.75})
+def outlier_fence(df: DataFrame, value: str = "value", weight: str | None = "n") -> DataFrame:
+    """One row: quartiles, upper fence and how many values exceed it."""
+    rows = weighted(df, value, None, weight)
+    q = exact_quantiles(rows, "value", {"q1": 0.25, "q3": 0.75}, None, "n")
     fence = q.select("q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr")).withColumn(
         "upper_bound", F.col("q3") + FENCE * F.col("iqr"))
-    beyond = with_row_of(counts, fence.select("upper_bound"), "_limit").where(F.col("value") > F.col("_limit"))
+    beyond = with_row_of(rows, fence.select("upper_bound"), "_limit").where(F.col("value") > F.col("_limit"))
     return with_row_of(fence, beyond.agg(F.coalesce(F.sum("n"), F.lit(0))), "outlier_count")

@@ -1,25 +1,55 @@
-"""Pearson correlation from sums."""
+"""Pearson correlation from means and co-moments."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 from tallymart.functions.exprs import rounded
+from tallymart.operators.selection import with_row_of
 
 
-def correlation_matrix(sums: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
-    """Long form (x, y, correlation) from one row of sums, to ``digits`` digits.
+def pairs_of(columns: list[str]) -> list[tuple[str, str]]:
+    return [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
 
-    ``sums`` has ``n``, ``s_<x>`` for each column and ``s_<x>_<y>`` for each pair with x not after y.
+
+def co_moments(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
+    """Per group: the keys, ``n``, the mean ``m_<x>`` of each column and the co-moment ``c_<x>_<y>`` of each pair, x not after y.
+
+    A co-moment is the sum of products of deviations from the means. Rows with a null in any column are left out.
+    """
+    rows = df.dropna(subset=columns).select(*(keys or []), *[F.col(c).cast("double").alias(c) for c in columns])
+    return rows.groupBy(*(keys or [])).agg(
+        F.count("*").cast("double").alias("n"), *[F.avg(c).alias(f"m_{c}") for c in columns],
+        *[(F.covar_pop(x, y) * F.count("*")).alias(f"c_{x}_{y}") for x, y in pairs_of(columns)])
+
+
+def merged(parts: DataFrame, columns: list[str]) -> DataFrame:
+    """One row of ``n``, means and co-moments of all parts together.
+
+    The parallel formula: a co-moment of the whole is the sum of the parts' own and of what their means deviate from the
+    common mean, weighted by n. No sum of squares is taken, so large means do not cancel. Co-moments that a part lacks are zero.
     """
-    pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
-    means = sums.selectExpr(
-        *[f"s_{x} / n AS {x}" for x in columns], *[f"s_{x}_{y} / n AS {x}_{y}" for x, y in pairs])
-    spread = means.selectExpr(
-        *[f"{x}_{y} - {x} * {y} AS {x}_{y}" for x, y in pairs])
+    means = parts.agg(F.struct(F.sum("n").alias("n"), *[(F.sum(F.col("n") * F.col(f"m_{c}")) / F.sum("n")).alias(f"m_{c}") for c in columns]))
+    off = {c: F.col(f"m_{c}") - F.col(f"_all.m_{c}") for c in columns}
+    own = [F.coalesce(f"c_{x}_{y}", F.lit(0.0)) if f"c_{x}_{y}" in parts.columns else F.lit(0.0) for x, y in pairs_of(columns)]
+    sums = with_row_of(parts, means, "_all").agg(
+        F.first("_all").alias("_all"),
+        *[F.sum(c + F.col("n") * off[x] * off[y]).alias(f"c_{x}_{y}") for c, (x, y) in zip(own, pairs_of(columns))])
+    return sums.select("_all.*", *[f"c_{x}_{y}" for x, y in pairs_of(columns)])
+
+
+def correlations(moments: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
+    """Long form (x, y, correlation) from one row of co-moments, to ``digits`` digits."""
     rows = [
-        f"struct('{a}' AS x, '{b}' AS y, try_divide({x}_{y}, sqrt({x}_{x} * {y}_{y})) AS r)"
-        for x, y in pairs for a, b in dict.fromkeys([(x, y), (y, x)])
+        f"struct('{a}' AS x, '{b}' AS y, try_divide(c_{x}_{y}, sqrt(c_{x}_{x}) * sqrt(c_{y}_{y})) AS r)"
+        for x, y in pairs_of(columns) for a, b in dict.fromkeys([(x, y), (y, x)])
     ]
-    return spread.selectExpr(f"inline(array({', '.join(rows)}))").select(
-        "x", "y", rounded(F.col("r"), digits).alias("correlation"))
+    return moments.selectExpr(f"inline(array({', '.join(rows)}))").select("x", "y", rounded(F.col("r"), digits).alias("correlation"))
+
+
+def correlation_matrix(sums: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
+    """Long form (x, y, correlation) from one row of plain sums, for where only those are known: they cancel if means are large.
+
+    ``sums`` has ``n``, ``s_<x>`` for each column and ``s_<x>_<y>`` for each pair with x not after y.
+    """
+    return correlations(sums.selectExpr(*[f"s_{x}_{y} - s_{x} * s_{y} / n AS c_{x}_{y}" for x, y in pairs_of(columns)]), columns, digits)

@@ -11,12 +11,13 @@ from tallymart.functions.exprs import (
     WEEKDAYS, cents, fixed_point, from_fixed_point, money, percent, ratio, rounded, weekday_number, wide,
 )
 from tallymart.operators.distributions import box_summary, histogram, outlier_fence
-from tallymart.operators.moments import correlation_matrix
-from tallymart.operators.quantiles import quantiles_of_counts, value_counts
+from tallymart.operators.moments import co_moments, correlations, merged
+from tallymart.operators.quantiles import exact_quantiles
 from tallymart.operators.running import running_total
 from tallymart.operators.selection import top_k, trim_edges, with_row_of, with_share
 from tallymart.plans.reports import customer_totals, freight_per_customer, total
 from tallymart.plans.sales import category_sales, delivered_orders, order_sales, per_customer, scores_per_order
+from tallymart.session import checkpointed
 
 
 def monthly(star) -> DataFrame:
@@ -62,6 +63,7 @@ def review_counts(star) -> DataFrame:
 def delivery_box_by_score(star) -> DataFrame:
     """Box summary of the delivery time for each score from 1 to 5."""
     stars = delivered_reviews(star).where(F.col("review_score").between(1, 5))
+    stars = checkpointed(stars.select("review_score", "delivery_days", "n"))
     return box_summary(stars, "review_score", "delivery_days", "n").orderBy("review_score")
 
 
@@ -73,46 +75,26 @@ def region_top15(star, k: int = 15) -> DataFrame:
     return top_k(states, k, F.desc("revenue"), F.asc("customer_state")).orderBy("revenue", F.desc("customer_state"))
 
 
-# The correlated columns, each with the side of the join it comes from.
-CORRELATED = {
-    "price": "item", "freight_value": "item", "delivery_days": "order", "delivery_delay_days": "order",
-    "review_score": "review",
-}
-
-
-def centred(df: DataFrame, *columns: str) -> DataFrame:
-    """``columns`` less their means: a correlation stays the same, but its sums no longer cancel where means are large."""
-    means = df.agg(*[F.avg(c) for c in columns]).first()
-    return df.withColumns({c: F.col(c).cast("double") - F.lit(float(m or 0.0)) for c, m in zip(columns, means)})
+CORRELATED = ["price", "freight_value", "delivery_days", "delivery_delay_days", "review_score"]
 
 
 def correlation(star) -> DataFrame:
     """Correlations over items joined with their orders' reviews, complete rows only, to six digits.
 
-    The joined rows are not made. Per order, sums and sums of products of the items meet those of the
-    reviews: a sum over all item-review pairs is the product of the two.
+    The joined rows are not made. Within an order all items meet all reviews, so the joined rows' means are those of the items and of
+    the reviews, their co-moments are those of either side as often as the other has rows, and items and reviews have none together. Orders are
+    merged by the parallel formula, in one job.
     """
-    items = centred(star.order_items.dropna(subset=["price", "freight_value"]), "price", "freight_value").groupBy("order_id").agg(
-        F.expr("double(count(*)) AS item_"),
-        *[F.expr(f"sum({' * '.join(c)}) AS item_{'_'.join(c)}") for c in (
-            ["price"], ["freight_value"], ["price", "price"], ["price", "freight_value"],
-            ["freight_value", "freight_value"])])
-    reviews = centred(star.reviews.dropna(subset=["review_score"]), "review_score").groupBy("order_id").agg(
-        F.expr("double(count(*)) AS review_"),
-        F.expr("double(sum(review_score)) AS review_review_score"),
-        F.expr("double(sum(review_score * review_score)) AS review_review_score_review_score"))
-    orders = centred(delivered_orders(star, "delivery_days", "delivery_delay_days").dropna(), "delivery_days", "delivery_delay_days")
+    items = co_moments(star.order_items, ["price", "freight_value"], ["order_id"])
+    reviews = co_moments(star.reviews, ["review_score"], ["order_id"]).withColumnRenamed("n", "n_reviews")
+    orders = delivered_orders(star, "delivery_days", "delivery_delay_days").dropna()
     joined = orders.join(items, "order_id").join(reviews, "order_id")
-
-    def pair_sum(*names: str) -> str:
-        """SQL for the sum, over all item-review pairs, of the product of the named columns."""
-        of = {side: [n for n in names if CORRELATED[n] == side] for side in ("item", "review", "order")}
-        factors = [f"item_{'_'.join(of['item'])}", f"review_{'_'.join(of['review'])}", *of["order"]]
-        return f"sum({' * '.join(factors)}) AS {'_'.join(['s', *names]) if names else 'n'}"
-
-    columns = list(CORRELATED)
-    wanted = [(), *[(x,) for x in columns], *[(x, y) for i, x in enumerate(columns) for y in columns[i:]]]
-    return correlation_matrix(joined.agg(*[F.expr(pair_sum(*names)) for names in wanted]), columns)
+    own = {c: F.col(c) * F.col("n_reviews") for c in ("c_price_price", "c_price_freight_value", "c_freight_value_freight_value")}
+    own["c_review_score_review_score"] = F.col("c_review_score_review_score") * F.col("n")
+    parts = joined.select(
+        (F.col("n") * F.col("n_reviews")).alias("n"), "m_price", "m_freight_value", "m_review_score",
+        *[F.col(c).cast("double").alias(f"m_{c}") for c in ("delivery_days", "delivery_delay_days")], *[v.alias(c) for c, v in own.items()])
+    return correlations(merged(parts, CORRELATED), CORRELATED)
 
 
 def person_totals(star) -> DataFrame:
@@ -158,9 +140,9 @@ def delivery_times(star) -> DataFrame:
 
 def delivery_histogram(star) -> DataFrame:
     """50 bins, with the median repeated on every row."""
-    counts = value_counts(delivery_times(star), "delivery_days", weight="n")
-    median = quantiles_of_counts(counts, {"median": 0.5}).select("median")
-    return with_row_of(histogram(counts, "value", weight="n"), median, "median").orderBy("bin")
+    times = checkpointed(delivery_times(star).select("delivery_days", "n"))
+    median = exact_quantiles(times, "delivery_days", {"median": 0.5}, weight="n").select("median")
+    return with_row_of(histogram(times, "delivery_days", weight="n"), median, "median").orderBy("bin")
 
 
 def ontime_by_state(star, k: int = 10) -> DataFrame:
@@ -179,15 +161,14 @@ def ontime_by_state(star, k: int = 10) -> DataFrame:
 
 
 def price_outliers(star) -> DataFrame:
-    return outlier_fence(value_counts(star.order_items, "price"))
+    return outlier_fence(star.order_items, "price", None)
 
 
 def price_histogram(star) -> DataFrame:
     """Prices up to the upper fence."""
-    counts = value_counts(star.order_items, "price")
-    fence = outlier_fence(counts).select("upper_bound")
-    normal = with_row_of(counts, fence, "_limit").where(F.col("value") <= F.col("_limit"))
-    return histogram(normal, "value", weight="n")
+    fence = outlier_fence(star.order_items, "price", None).select("upper_bound")
+    normal = with_row_of(star.order_items.select("price"), fence, "_limit").where(F.col("price") <= F.col("_limit"))
+    return histogram(normal, "price")
 
 
 # A multiplicative hash: ids are reduced first so that the product fits a bigint.

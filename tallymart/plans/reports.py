@@ -153,17 +153,15 @@ def seller_performance(star, k: int = 15, reviews: str = "fan_out") -> DataFrame
     """Sellers by delivered revenue."""
     sold = star.order_items.select("order_id", "seller_id", "product_id", cents(F.col("price")).alias("revenue"))
     orders = with_review_copies(delivered_orders(star).select("order_id"), star, reviews)
+    rows = lookup_join(sold, orders, "order_id", "inner", ["seller_id", "product_id"], star.rows("orders"))
+    # Per seller and order first, then per seller; the seller's products are counted from pairs in the same two steps.
+    totals = rows.groupBy("seller_id", "order_id").agg(
+        F.sum(repeated(F.col("revenue"), F.col("copies"))).alias("revenue"), F.sum("copies").alias("items"),
+        F.sum("score_sum").alias("scores"), F.sum("n_scores").alias("scored"))
+    totals = totals.groupBy("seller_id").agg(F.count("order_id").alias("orders_fulfilled"), *[F.sum(c).alias(c) for c in ("revenue", "items", "scores", "scored")])
+    products = rows.groupBy("seller_id", "product_id").agg(F.count("*").alias("n")).groupBy("seller_id").agg(F.count("product_id").alias("unique_products"))
     sellers = (
-        lookup_join(sold, orders, "order_id", "inner", ["seller_id", "product_id"], star.rows("orders"))
-        .groupBy("seller_id")
-        .agg(
-            F.count_distinct("order_id").alias("orders_fulfilled"),
-            F.sum(repeated(F.col("revenue"), F.col("copies"))).alias("revenue"),
-            F.sum("copies").alias("items"),
-            F.count_distinct("product_id").alias("unique_products"),
-            F.sum("score_sum").alias("scores"),
-            F.sum("n_scores").alias("scored"),
-        )
+        totals.join(products, "seller_id")
         .join(star.sellers.select("seller_id", "seller_city", "seller_state"), "seller_id")
         .select(
             "seller_id", "seller_city", "seller_state", "orders_fulfilled",

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from tallymart.functions.exprs import first_match, ratio, rounded, stripped
 from tallymart.operators.distributions import box_summary, histogram, outlier_fence
-from tallymart.operators.moments import correlation_matrix
-from tallymart.operators.quantiles import exact_quantiles, value_counts
+from tallymart.operators.moments import co_moments, correlation_matrix, correlations, merged
+from tallymart.operators.quantiles import approximate_quantiles, exact_quantiles, sketch, value_counts, weighted
 from tallymart.operators.running import running_total
 from tallymart.operators.selection import top_k, trim_edges
 from tests.tiny import rows
@@ -134,3 +134,60 @@ def test_large_amounts_are_neither_cut_nor_lost(spark):
     assert df.select(rounded(F.lit(1e19), 2)).first()[0] == 1e19
     with pytest.raises(Exception, match="out of range"):
         df.select(cents(F.lit(1e18))).collect()
+
+
+@pytest.mark.parametrize("values", [
+    [-5.5, -1e-300, -0.0, 0.0, 1e-300, 2.5, 1e300], list(RNG.normal(size=301)), [1.0 + k * 2.0 ** -52 for k in range(50)],
+    [float(v) for v in range(4000)] + [1e12], [7.25] * 500 + [1.0], list(np.round(RNG.lognormal(3, 4, size=3000), 2)),
+])
+def test_brackets_narrow_down_to_the_value(spark, values):
+    """Tiny steps, both signs, heavy tails and many ties: exact also when a bracket is halved many times."""
+    probs = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.77, "e": 1.0}
+    for bins in (2, None):
+        got = exact_quantiles(frame(spark, values), "v", probs, bins=bins).first()
+        np.testing.assert_allclose(got[:5], np.quantile(values, list(probs.values())), rtol=1e-15)
+
+
+def test_quantiles_of_infinite_values(spark):
+    got = exact_quantiles(frame(spark, [float("-inf"), 1.0, 2.0, float("inf"), float("inf")]), "v", {"low": 0.0, "m": 0.5, "q3": 0.75}).first()
+    assert (got["low"], got["m"]) == (float("-inf"), 2.0)
+
+
+def test_quantiles_by_group_against_numpy(spark):
+    data = [(str(RNG.integers(0, 5)), float(np.round(RNG.exponential(50), 2)), int(RNG.integers(1, 4))) for _ in range(2000)] + [(None, 1.0, 1), ("x", None, 1)]
+    df = spark.createDataFrame(data, "g string, v double, w bigint")
+    got = {r["g"]: (r["q"], r["m"], r["n"]) for r in exact_quantiles(df, "v", {"q": 0.25, "m": 0.5}, ["g"], "w").collect()}
+    near = {r["g"]: r["m"] for r in approximate_quantiles(df, "v", {"m": 0.5}, ["g"], "w").collect()}
+    assert set(got) == {d[0] for d in data} - {None, "x"}
+    for g, (q, m, n) in got.items():
+        own = np.repeat([d[1] for d in data if d[0] == g], [d[2] for d in data if d[0] == g])
+        assert n == len(own)
+        np.testing.assert_allclose((q, m), np.quantile(own, [0.25, 0.5]), rtol=1e-15)
+        assert near[g] == pytest.approx(m, rel=2e-3)
+
+
+def test_sketches_of_parts_add_up(spark):
+    values = list(RNG.lognormal(size=400))
+    whole = sketch(weighted(frame(spark, values), "v"))
+    parts = sketch(weighted(frame(spark, values[:100]), "v")).union(sketch(weighted(frame(spark, values[100:]), "v")))
+    again = parts.groupBy("bin").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_quantile_plans_neither_sort_nor_shuffle_values(spark):
+    df = frame(spark, list(RNG.normal(size=100)))
+    text = sketch(weighted(df, "v"))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in text and "hashpartitioning(_groupingexpression" in text and "hashpartitioning(value" not in text
+
+
+def test_co_moments_of_parts_with_large_means(spark):
+    """Mean 1e9 and spread 1, where sums of squares would cancel."""
+    x = 1e9 + RNG.normal(size=900)
+    y = 1e9 + 0.7 * (x - 1e9) + 0.7 * RNG.normal(size=900)
+    df = spark.createDataFrame([(k % 40, float(a), float(b)) for k, (a, b) in enumerate(zip(x, y))] + [(1, None, 2.0)], "k int, x double, y double")
+    want = np.corrcoef(x - 1e9, y - 1e9)[0, 1]
+    for parts in (co_moments(df, ["x", "y"], ["k"]), co_moments(df, ["x", "y"])):
+        got = {(r["x"], r["y"]): r["correlation"] for r in correlations(merged(parts, ["x", "y"]), ["x", "y"]).collect()}
+        assert got["x", "y"] == got["y", "x"] == pytest.approx(want, abs=2e-6) and got["x", "x"] == 1.0
+    constant = spark.createDataFrame([(3.0, 1.0), (3.0, 2.0)], "x double, y double")
+    assert {r["x"]: r["correlation"] for r in correlations(merged(co_moments(constant, ["x", "y"]), ["x", "y"]), ["x", "y"]).where("x = y").collect()} == {"x": None, "y": 1.0}

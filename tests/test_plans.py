@@ -14,7 +14,7 @@ def test_unused_columns_and_joins_are_pruned(spark, sf_dir):
 
 
 def test_distinct_customers_need_no_expansion(spark, sf_dir):
-    for name in ("q2_monthly_trends", "q3_yearly_summary", "q11_regional_performance"):
+    for name in ("q1_overview", "q2_monthly_trends", "q3_yearly_summary", "q9_seller_performance", "q11_regional_performance", "kpis", "filtered_kpis"):
         assert "Expand" not in plan(QUERIES[name](spark, sf_dir)), name
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallymart.operators.quantiles import exact_quantiles, joined_groups, weighted
 from tallymart.operators.selection import with_row_of
-from tallymart.session import checkpointed
+from tallymart.session import settled
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 FENCE = 1.5
@@ -43,7 +43,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, weight: str | None = No
 def box_summary(df: DataFrame, key: str, value: str, weight: str | None = None) -> DataFrame:
     """Per group: quartiles, and whiskers at the furthest values within 1.5 interquartile ranges. ``df`` is read three times, so it should be stored if it is costly."""
     rows = weighted(df, value, [key], weight)
-    boxes = checkpointed(exact_quantiles(rows, "value", QUARTILES, [key], "n"))
+    boxes = settled(exact_quantiles(rows, "value", QUARTILES, [key], "n"))
     reach = FENCE * (F.col("q3") - F.col("q1"))
     v = F.col("value")
     whiskers = joined_groups(rows.drop("n"), boxes, [key]).groupBy(key).agg(

@@ -23,19 +23,26 @@ def co_moments(df: DataFrame, columns: list[str], keys: list[str] | None = None)
         *[(F.covar_pop(x, y) * F.count("*")).alias(f"c_{x}_{y}") for x, y in pairs_of(columns)])
 
 
-def merged(parts: DataFrame, columns: list[str]) -> DataFrame:
+def merged(parts: DataFrame, columns: list[str], near: dict[str, DataFrame] | None = None) -> DataFrame:
     """One row of ``n``, means and co-moments of all parts together.
 
     The parallel formula: a co-moment of the whole is the sum of the parts' own and of what their means deviate from the
-    common mean, weighted by n. No sum of squares is taken, so large means do not cancel. Co-moments that a part lacks are zero.
+    common mean, weighted by n. Deviations are first taken from a value ``near`` each mean (one-row DataFrames; any value gives the same
+    result, one near the mean keeps all digits) and then moved to the mean, so that ``parts`` are read once. Without it the parts' own means are
+    taken, which reads them twice. Co-moments that a part lacks are zero.
     """
-    means = parts.agg(F.struct(F.sum("n").alias("n"), *[(F.sum(F.col("n") * F.col(f"m_{c}")) / F.sum("n")).alias(f"m_{c}") for c in columns]))
-    off = {c: F.col(f"m_{c}") - F.col(f"_all.m_{c}") for c in columns}
-    own = [F.coalesce(f"c_{x}_{y}", F.lit(0.0)) if f"c_{x}_{y}" in parts.columns else F.lit(0.0) for x, y in pairs_of(columns)]
-    sums = with_row_of(parts, means, "_all").agg(
-        F.first("_all").alias("_all"),
-        *[F.sum(c + F.col("n") * off[x] * off[y]).alias(f"c_{x}_{y}") for c, (x, y) in zip(own, pairs_of(columns))])
-    return sums.select("_all.*", *[f"c_{x}_{y}" for x, y in pairs_of(columns)])
+    near = near or {c: parts.agg(F.sum(F.col("n") * F.col(f"m_{c}")) / F.sum("n")) for c in columns}
+    for c in columns:
+        parts = with_row_of(parts, near[c], f"near_{c}")
+    off = {c: F.col(f"m_{c}") - F.coalesce(f"near_{c}", F.lit(0.0)) for c in columns}
+    own = {(x, y): F.coalesce(f"c_{x}_{y}", F.lit(0.0)) if f"c_{x}_{y}" in parts.columns else F.lit(0.0) for x, y in pairs_of(columns)}
+    sums = parts.agg(
+        F.sum("n").alias("n"), *[F.max(F.coalesce(f"near_{c}", F.lit(0.0))).alias(f"near_{c}") for c in columns],
+        *[(F.sum(F.col("n") * off[c]) / F.sum("n")).alias(f"off_{c}") for c in columns],
+        *[F.sum(own[x, y] + F.col("n") * off[x] * off[y]).alias(f"s_{x}_{y}") for x, y in pairs_of(columns)])
+    return sums.select(
+        "n", *[(F.col(f"near_{c}") + F.col(f"off_{c}")).alias(f"m_{c}") for c in columns],
+        *[(F.col(f"s_{x}_{y}") - F.col("n") * F.col(f"off_{x}") * F.col(f"off_{y}")).alias(f"c_{x}_{y}") for x, y in pairs_of(columns)])
 
 
 def correlations(moments: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:

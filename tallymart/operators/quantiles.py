@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallymart.operators.joins import BROADCAST_ROWS
 from tallymart.operators.selection import with_row_of
-from tallymart.session import checkpointed
+from tallymart.session import checkpointed, settled
 
 # Bins for a factor of e: a bin is 0.1 % wide.
 BINS = 1_000
@@ -120,9 +120,9 @@ def exact_quantiles(
     Rows without a value or a key are left out. ``df`` is read two times or a few more, so it should be stored if it is costly. ``bins``: parts of a bracket.
     """
     keys, rows = list(keys or []), weighted(df, value, keys, weight)
-    wanted = checkpointed(brackets(sketch(rows, keys), probs, keys))
+    wanted = settled(brackets(sketch(rows, keys), probs, keys))
     while not (open_ := wanted.where("low < high")).isEmpty():
-        wanted = checkpointed(wanted.where("NOT low < high").union(_refined(rows, open_, keys, bins or PARTS)))
+        wanted = settled(wanted.where("NOT low < high").union(_refined(rows, open_, keys, bins or PARTS)))
     return _interpolated(wanted, probs, keys, F.col("low"))
 
 

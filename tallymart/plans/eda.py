@@ -94,7 +94,9 @@ def correlation(star) -> DataFrame:
     parts = joined.select(
         (F.col("n") * F.col("n_reviews")).alias("n"), "m_price", "m_freight_value", "m_review_score",
         *[F.col(c).cast("double").alias(f"m_{c}") for c in ("delivery_days", "delivery_delay_days")], *[v.alias(c) for c, v in own.items()])
-    return correlations(merged(parts, CORRELATED), CORRELATED)
+    tables = {"price": star.order_items, "freight_value": star.order_items, "review_score": star.reviews}
+    near = {c: tables.get(c, star.orders).agg(F.avg(c)) for c in CORRELATED}
+    return correlations(merged(parts, CORRELATED, near), CORRELATED)
 
 
 def person_totals(star) -> DataFrame:

@@ -133,9 +133,9 @@ def distinct_products_and_sellers(star, items: DataFrame | None = None, orders:
     items = (star.order_items if items is None else items).select("order_id", "product_id", "seller_id")
     kept = (delivered_orders(star) if orders is None else orders).select("order_id")
     sold = lookup_join(items, kept, "order_id", "inner", ["product_id", "seller_id"], star.rows("orders"), star.order_items)
-    # Each pair of product and seller once, then each of either once: two small counts instead of every row twice.
-    pairs = sold.groupBy("product_id", "seller_id").agg(F.count("*").alias("n"))
-    named = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("product_id").cast("string").alias("id")),
-                              F.struct(F.lit(1).alias("kind"), F.col("seller_id").cast("string").alias("id"))))
-    once = pairs.select(named.alias("k")).select("k.*").where("id IS NOT NULL").distinct()
-    return once.agg(F.count_if(F.col("kind") == 0).alias("unique_products"), F.count_if(F.col("kind") == 1).alias("active_sellers"))
+    # Both kinds of id in one column: they are made distinct before the shuffle, and one plain count does for both.
+    kinds, columns = sold.schema, {"product_id": "unique_products", "seller_id": "active_sellers"}
+    same = kinds["product_id"].dataType == kinds["seller_id"].dataType
+    ids = F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), (F.col(c) if same else F.col(c).cast("string")).alias("id")) for c in columns]))
+    once = sold.select(ids.alias("k")).select("k.*").where("id IS NOT NULL").distinct()
+    return once.agg(*[F.count_if(F.col("kind") == c).alias(name) for c, name in columns.items()])

@@ -54,3 +54,9 @@ def checkpointed(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def settled(df, few: int = 10_000):
+    """``df`` as fixed rows: a result of at most ``few`` rows comes to the driver and back, a larger one is checkpointed."""
+    rows = df.limit(few + 1).collect()
+    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= few else checkpointed(df)

@@ -167,7 +167,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_i
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         tokenizer.encode_special_tokens = not special
-        coder, writer, n, total = WordCoder(tokenizer, led_words), None, 0, 0
+        coder, writer, n, total = WordCoder(tokenizer, led_words, kept=(tokenizer_path, special)), None, 0, 0
         for batch in batches:
             for lo, k in batches_of_bytes(batch.column(1), 4_000_000):
                 part = batch.slice(lo, k)

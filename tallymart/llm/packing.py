@@ -236,7 +236,7 @@ def _tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         from tokenizers import Tokenizer
 
         task, before = TaskContext.get().partitionId(), {}
-        coder = WordCoder(Tokenizer.from_file(tokenizer_path), words)
+        coder = WordCoder(Tokenizer.from_file(tokenizer_path), words, kept=(tokenizer_path,))
         for batch in batches:
             for lo, k in batches_of_bytes(batch.column(2), 4_000_000):
                 part = batch.slice(lo, k)

@@ -7,6 +7,7 @@ Python work is on units that are new to the task.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,25 @@ MARKS = ".,;:!?*&%$#|()"
 # Unicode's white space, as tokenizers' \s has it.
 SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 CUT = "\x1f"
-# A word of Latin letters, with the blank before it.
+# A word of Latin letters, with the blank before it; and those that no normalizer changes.
 WORD = re.compile("[ \n]?[A-Za-zÀ-ÖØ-öø-ɏ]+")
+PLAIN_WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+LOWER_WORD = re.compile("[a-zß-öø-ÿ]+")
+# Units that a Python worker keeps from task to task, about 40 MB; only those that come OFTEN in a batch.
+FREQUENT = 200_000
+OFTEN = 3
+
+_frequent: dict[tuple, dict[str, bytes]] = {}
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte-level tokenizers write a byte as one character: itself where it is visible, the others from U+0100 on in order."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+LETTERS = byte_letters()
 
 
 def words(texts: pa.Array) -> pa.ListArray:
@@ -51,14 +69,29 @@ def as_text(column: pa.Array) -> pa.Array:
 
 
 class WordCoder:
-    """Encodes texts for one task; ids of units are kept while they take no more than ``hold`` bytes, and forgotten with the task."""
+    """Encodes texts for one task; ids of units are kept while they take no more than ``hold`` bytes, and forgotten with the task.
 
-    def __init__(self, tokenizer, units=words, hold: int = 48_000_000):
+    ``kept`` names the tokenizer and its settings: coders of the same name in a worker share the ids of at most FREQUENT frequent units.
+    """
+
+    def __init__(self, tokenizer, units=words, hold: int = 32_000_000, kept: tuple | None = None):
         self.tokenizer, self.units, self.hold = tokenizer, units, hold
+        self.base = {} if kept is None else _frequent.setdefault((*kept, units.__name__), {})
+        # Words of letters go to the model itself, past the steps that find words, where these do nothing to them.
+        self.plain = (PLAIN_WORD if tokenizer.normalizer is None else LOWER_WORD) if self._is_byte_level() else None
         self.kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 65_536 else "<u4")
         self.known: dict[str, bytes] = {}
         self.held = 0
 
+    def _is_byte_level(self) -> bool:
+        if type(self.tokenizer.model).__name__ != "BPE":
+            return False
+        probes = ["a", "letter", "unbelievably", "année", "größte"] + ([] if self.tokenizer.normalizer else [" a", " Letters", " Ärzte"])
+        return all(self._by_model(p) == self.tokenizer.encode(p, add_special_tokens=False).ids for p in probes)
+
+    def _by_model(self, unit: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(unit.encode().decode("latin-1").translate(LETTERS))]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text; a null text has none."""
         texts = pc.fill_null(as_text(texts), "")
@@ -66,11 +99,15 @@ class WordCoder:
         apart = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         lists = self.units(pc.if_else(odd, "", texts))
         units = lists.flatten().dictionary_encode()
-        raw = self._ids(units.dictionary.to_pylist())
+        index = units.indices.to_numpy(zero_copy_only=False)
+        names = units.dictionary.to_pylist()
+        raw = self._ids(names)
+        if len(self.base) < FREQUENT:
+            for i in np.flatnonzero(np.bincount(index, minlength=len(names)) >= OFTEN)[:FREQUENT - len(self.base)].tolist():
+                self.base[names[i]] = raw[i]
         size = np.fromiter(map(len, raw), np.int64, len(raw)) // self.kind.itemsize
         start = np.cumsum(size) - size
         flat = np.frombuffer(b"".join(raw), self.kind)
-        index = units.indices.to_numpy(zero_copy_only=False)
         each = size[index]
         ends = np.cumsum(each)
         total = int(ends[-1]) if len(ends) else 0
@@ -90,8 +127,8 @@ class WordCoder:
     def _ids(self, units: list[str]) -> list[bytes]:
         if self.held > self.hold:
             self.known, self.held = {}, 0
-        known = self.known
-        new = [u for u in units if u not in known]
+        known, base = self.known, self.base
+        new = [u for u in units if u not in base and u not in known]
         # Letters and the marks after them are coded apart: "word," as "word" and ",".
         halves, letters, others = [], set(), set()
         for u in new:
@@ -110,16 +147,27 @@ class WordCoder:
             known[u] = known[stem] + known[tail]
         # An entry takes about 150 bytes beside its characters.
         self.held += sum(map(len, new)) + 150 * (learnt + len(halves))
-        return [known[u] for u in units]
+        return [base[u] if u in base else known[u] for u in units]
 
     def _learn(self, units: list[str]) -> int:
         for lo in range(0, len(units), 5_000):
             part = units[lo:lo + 5_000]
             for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[u] = np.array(e.ids, self.kind).tobytes()
+                self.known[u] = array("H" if self.kind.itemsize == 2 else "I", e.ids).tobytes()
         return len(units)
 
     def _learn_words(self, units: list[str]) -> int:
+        if self.plain is not None:
+            of, direct, kind, rest = self.tokenizer.model.tokenize, self.plain.fullmatch, "H" if self.kind.itemsize == 2 else "I", []
+            for u in units:
+                if direct(u):
+                    self.known[u] = array(kind, [t.id for t in of(u if u.isascii() and u[0] != " " else u.encode().decode("latin-1").translate(LETTERS))]).tobytes()
+                else:
+                    rest.append(u)
+            return len(units) - len(rest) + self._learn_joined(rest)
+        return self._learn_joined(units)
+
+    def _learn_joined(self, units: list[str]) -> int:
         """Words of letters only, all in one text with NUL between them, which is a token of its own there."""
         mark = self.tokenizer.encode("\0", add_special_tokens=False).ids
         if len(mark) != 1:

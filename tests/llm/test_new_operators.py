@@ -105,8 +105,7 @@ def test_units_give_the_tokenizers_ids(path, units, special):
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = not special
-    coder = wordcodes.WordCoder(tokenizer, units, hold=2_000)
-    for _ in range(3):
+    for coder in [wordcodes.WordCoder(tokenizer, units, hold=2_000)] * 3 + [wordcodes.WordCoder(tokenizer, units, kept=(path, special)) for _ in range(2)]:
         ids, length = coder.encode(pa.array(ODD, pa.string()).cast(pa.binary()))
         parts = np.split(ids, np.cumsum(length)[:-1])
         assert [p.tolist() for p in parts] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in ODD]

@@ -45,8 +45,9 @@ FREQUENT_HELD = 200_000
 # Pairs of rows that are compared together, and proposed pairs that a task remembers.
 BLOCK_PAIRS = 50_000
 SEEN_PAIRS = 100_000
-# Ends of links that are broadcast.
+# Ends of links that are broadcast, and links of one text that are settled in one task.
 BROADCAST_ENDS = 200_000
+HUB_LINKS = 1_000
 
 
 def fingerprint(text: bytes, shingle_words: int = 3, seed: int = 42) -> int:
@@ -295,9 +296,8 @@ def set_number(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), 42)).astype(np.int64))
 
 
-def jaccard(a: bytes, b: bytes) -> float:
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Share of common shingles of two texts, from all their distinct hashes (ascending, 64 bits)."""
-    a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
     common = len(np.intersect1d(a, b, assume_unique=True))
     return common / max(1, len(a) + len(b) - common)
 
@@ -420,17 +420,40 @@ def _sliced(shared: DataFrame, cell_rows: int) -> DataFrame:
     return spread.withColumn("pair", F.least("own", "other") * F.col("slices") + F.greatest("own", "other")).drop("slices", "own", "other", "rows")
 
 
-def verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The links ``a``, ``b`` whose sets of shingles (id, hashes) have at least this Jaccard similarity."""
+def verified(links: DataFrame, classes: DataFrame, texts: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """The links ``a``, ``b`` between classes (id, one: the key of a text of the class) that have at least this Jaccard similarity.
+
+    A link is settled where the end with more links is, its hub: there the other text is compared with the hub's as the rows come, so a text is sent once
+    for each of its links to a hub, and nothing but the hub's shingles is held. The links of a hub are dealt out by HUB_LINKS. ``texts`` has one row
+    per key (one, text); shingles are taken from the text again, which is half as large as their hashes.
+    """
+    degree = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").count()
+    dealt = links
+    for end in "ab":
+        dealt = dealt.join(degree.select(F.col("id").alias(end), F.col("count").alias(f"n_{end}")), end)
+    first = F.col("n_a") >= F.col("n_b")
+    dealt = dealt.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("id"),
+                         F.ceil(F.greatest("n_a", "n_b") / HUB_LINKS).alias("slices"))
+    dealt = dealt.select("hub", F.pmod(F.xxhash64("id"), F.col("slices")).alias("slice"), "id")
+    ends = dealt.union(dealt.select("hub", "slice", F.col("hub").alias("id")).distinct()).join(classes.select("id", "one"), "id")
+    ends = checkpointed(ends.select("one", "hub", "slice", "id"))
+    ends = F.broadcast(ends) if ends.limit(BROADCAST_ENDS + 1).count() <= BROADCAST_ENDS else ends
+
     def run(batches):
+        at, held = None, np.zeros(0, np.uint64)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1_000):
-                part = batch.slice(lo, 1_000)
-                near = [jaccard(x, y) >= similarity for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+            near, hubs, ids = [], batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for row, (hub, part, own) in enumerate(zip(hubs, batch.column(1).to_pylist(), ids)):
+                hashes = distinct_shingles(batch.column(3)[row].as_py(), shingle_words)
+                if own == hub:
+                    at, held = (hub, part), hashes
+                elif at != (hub, part):
+                    raise ValueError("a link without its hub")
+                near.append(own != hub and jaccard(held, hashes) >= similarity)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    one, two = (sets.select(F.col("id").alias(e), F.col("hashes").alias(f"h{e}")) for e in "ab")
-    return links.join(one, "a").join(two, "b").select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
+    placed = texts.join(ends, "one").select("hub", "slice", "id", "text").repartition("hub", "slice")
+    return placed.sortWithinPartitions("hub", "slice", F.col("id") != F.col("hub"), "id").mapInArrow(run, "a long, b long")
 
 
 def print_pairs(classes: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -479,25 +502,20 @@ def near_groups(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
                      pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate(first), pa.int64()))],
                     ["doc_id", "h1", "h2", "id", "fp", "n", "bits", "tokens"])
 
-    def sets(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 1_000):
-                held = [distinct_shingles(t, shingle_words) for t in batch.slice(lo, 1_000).column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array([set_number(h) for h in held], pa.int64()), pa.array([h.tobytes() for h in held], pa.binary())],
-                                                 ["id", "hashes"])
-
-    def sets_of(links):
-        """All shingles of the texts at the ends of the links, from the texts again: few texts are near any other."""
-        ends = checkpointed(links.select(F.col("a").alias("id")).union(links.select("b")).distinct())
-        ends = F.broadcast(ends) if ends.limit(BROADCAST_ENDS + 1).count() <= BROADCAST_ENDS else ends
-        found = texts.select("text").mapInArrow(sets, "id long, hashes binary").join(ends, "id", "left_semi")
-        return checkpointed(found.groupBy("id").agg(F.min("hashes").alias("hashes")))
-
     rows = checkpointed(hashed.mapInArrow(prefixes, "doc_id long, h1 long, h2 long, id long, fp long, n long, bits binary, tokens array<long>"))
-    classes = checkpointed(rows.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bits").alias("bits"),
+    key = F.struct("doc_id", "h1", "h2")
+    classes = checkpointed(rows.groupBy("id").agg(F.min("doc_id").alias("least"), F.min(key).alias("one"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bits").alias("bits"),
                                                   F.min("tokens").alias("tokens")))
     tried = checkpointed(print_pairs(classes.select("id", "fp")))
-    by_print = checkpointed(verified(tried, sets_of(tried), similarity))
+    # The same text under the same doc_id more than once, or without one: one row of these is enough.
+    again = rows.groupBy("doc_id", "h1", "h2").count().where("count > 1").limit(1).count() > 0
+    keyed = hashed.select(key.alias("one"), "text")
+    keyed = keyed.join(classes.select("one"), "one", "left_semi").groupBy("one").agg(F.min("text").alias("text")) if again else keyed
+
+    def near_of(links):
+        return verified(links, classes, keyed, shingle_words, similarity)
+
+    by_print = checkpointed(near_of(tried))
     tokens = classes.select("id", "n", F.posexplode("tokens").alias("place", "token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
     shared = checkpointed(tokens.join(often, "token").select("token", "rows", "id", "n", F.col("place").cast("long").alias("place")))
@@ -510,13 +528,13 @@ def near_groups(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
     # First the texts next to each other by length, which connects dense groups; then all pairs that this has not connected.
     cells = _sliced(connected(by_print), PRINT_CELL_ROWS).join(bits, "id")
     proposed = checkpointed(_proposed(cells, similarity, only_next=NEXT_ROWS).join(tried, ["a", "b"], "left_anti"))
-    near = checkpointed(by_print.union(verified(proposed, sets_of(proposed), similarity)))
+    near = checkpointed(by_print.union(near_of(proposed)))
     shared = connected(near)
     # Shingles whose texts are all connected have no more to tell.
     apart = shared.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
     cells = _sliced(shared.join(apart, "token", "left_semi"), PRINT_CELL_ROWS).join(bits, "id")
     rest = checkpointed(_proposed(cells, similarity).join(proposed.union(tried), ["a", "b"], "left_anti"))
-    found = components(near.union(verified(rest, sets_of(rest), similarity)))
+    found = components(near.union(near_of(rest)))
     named = checkpointed(classes.join(found, classes.id == found.node, "left").select(
         "id", "least", F.coalesce("component", "id").alias("root")))
     roots = named.groupBy("root").agg(F.min("least").alias("component_id"))

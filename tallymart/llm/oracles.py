@@ -105,6 +105,10 @@ SELECT page_id, host, path, rule, COALESCE(v, CASE WHEN a.node IS NOT NULL THEN
 FROM r LEFT JOIN aliases AS a ON a.node = host || ' ' || path"""
 
 
+# Sweeps that the statement makes; the operator stops by its own rule.
+RAKES = 30
+
+
 def _op2(temperature: float = 0.8) -> str:
     times = lambda s: f"((strlen(text) - strlen(replace(text, '{s}', ''))) / {len(s)})"
     marks = " + ".join(times(s) for s in ("***", "$$$", "%%%", "&&&", "###"))
@@ -120,7 +124,7 @@ def _op2(temperature: float = 0.8) -> str:
     steps.append(f"""x0 AS MATERIALIZED (SELECT cells.*, CAST(tokens AS DOUBLE) AS weight, {', '.join(f'share_{m}.s AS {m}_share' for m in mixing.MARGINS)}
         FROM cells {' '.join(f'JOIN share_{m} USING ({m})' for m in mixing.MARGINS)})""")
     n = 0
-    for _ in range(mixing.SWEEPS):
+    for _ in range(RAKES):
         for m in mixing.MARGINS:
             steps.append(f"""x{n + 1} AS MATERIALIZED (SELECT * REPLACE (weight * {m}_share / (SUM(weight) OVER (PARTITION BY {m}) / SUM(weight) OVER ()) AS weight) FROM x{n})""")
             n += 1

@@ -83,6 +83,9 @@ def changed(rng, words, n):
 def test_near_copies_against_brute_force(spark, odd, cell_rows, monkeypatch):
     """Every pair with 0.8 or more of its five-word shingles in common is in one group, and no group has strangers."""
     monkeypatch.setattr(simhash, "PRINT_CELL_ROWS", cell_rows)
+    if cell_rows == 7:
+        monkeypatch.setattr(simhash, "HUB_LINKS", 2)
+        monkeypatch.setattr(simhash, "BROADCAST_ENDS", 0)
     rng = np.random.default_rng(4)
     own = [[f"w{rng.integers(5000)}" for _ in range(rng.integers(60, 400))] for _ in range(60)]
     texts = [t for w in own for t in (" ".join(w), changed(rng, w, max(1, len(w) // 60)), changed(rng, w, len(w) // 5))]
@@ -435,6 +438,45 @@ def test_mixing_meets_the_margins(spark):
     assert kept.columns == documents(spark, rows).columns
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r["doc_id"] for r in out.where("kept").collect())
     assert mixing.mixed(documents(spark, [])).count() == 0
+    assert mixing.gaps(documents(spark, [])).count() == 0
+
+
+def test_mixing_tells_when_targets_cannot_be_met(spark):
+    """Each source has a language of its own, so both cannot have shares of their own; sources and languages that can are met."""
+    df = spark.createDataFrame([(i, "w " * 9, f"s{i % 3}", f"l{i % 3}") for i in range(90)], "doc_id long, text string, source string, lang string")
+    given = lambda name, shares: spark.createDataFrame([(f"{name}{i}", s) for i, s in enumerate(shares)], "value string, share double")
+    against = {"source": given("s", [.6, .3, .1]), "lang": given("l", [.2, .3, .5])}
+    with pytest.raises(ValueError, match="cannot be met"):
+        mixing.mixed(df, against, strict=True)
+    with pytest.raises(ValueError, match="cannot be met"):
+        mixing.sample(df, against, strict=True)
+    gap = {(r["margin"], r["value"]): (r["target"], r["share"], r["gap"]) for r in mixing.gaps(df, against).collect()}
+    assert gap["lang", "l0"] == pytest.approx((.2, .2, 0)) and gap["source", "s0"] == pytest.approx((.6, .2, -2 / 3))
+    assert mixing.mixed(df, against).count() == 90
+    along = {"source": given("s", [.6, .3, .1, .5]), "lang": given("l", [.6, .3, .1])}
+    assert all(abs(r["gap"]) < 1e-9 for r in mixing.gaps(df, along).collect())
+    assert mixing.mixed(df, along, strict=True).where("kept").count() == mixing.sample(df, along, strict=True).count()
+
+
+@pytest.mark.parametrize("small", [0, 50_000])
+def test_raking_against_numpy(spark, small, monkeypatch):
+    """The same cells raked by numpy, over few cells and as if there were many."""
+    monkeypatch.setattr(mixing, "SMALL_CELLS", small)
+    rng = np.random.default_rng(3)
+    rows = [(i, "w " * int(rng.integers(3, 400)), f"s{int(rng.integers(4)) ** 2}", f"l{rng.integers(3)}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    out = mixing.mixed(df, strict=True).collect()
+    cells = Counter()
+    for r in out:
+        cells[r["source"], r["lang"], r["topic"]] += r["tokens"]
+    keys, weight = list(cells), np.array(list(cells.values()), float)
+    tokens, index = weight.copy(), [np.unique([k[m] for k in keys], return_inverse=True)[1] for m in range(3)]
+    for _ in range(200):
+        for at in index:
+            want = np.bincount(at, tokens) ** 0.8
+            weight = weight * (want / want.sum() / np.bincount(at, weight))[at]
+    want = dict(zip(keys, weight / tokens / (weight / tokens).max()))
+    assert all(abs(r["probability"] - want[r["source"], r["lang"], r["topic"]]) < 1e-8 for r in out)
 
 
 def test_kept_text_hash(spark):

@@ -423,9 +423,9 @@ def _sliced(shared: DataFrame, cell_rows: int) -> DataFrame:
 def verified(links: DataFrame, classes: DataFrame, texts: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
     """The links ``a``, ``b`` between classes (id, one: the key of a text of the class) that have at least this Jaccard similarity.
 
-    A link is settled where the end with more links is, its hub: there the other text is compared with the hub's as the rows come, so a text is sent once
-    for each of its links to a hub, and nothing but the hub's shingles is held. The links of a hub are dealt out by HUB_LINKS. ``texts`` has one row
-    per key (one, text); shingles are taken from the text again, which is half as large as their hashes.
+    A link is settled where the end with more links is, its hub: there the other text's shingles are compared with the hub's as the rows come, so they are
+    sent once for each of its links to a hub, and nothing but the hub's are held. The links of a hub are dealt out by HUB_LINKS. ``texts`` has one row
+    per key (one, text); only texts with links are read in Python, once each.
     """
     degree = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").count()
     dealt = links
@@ -435,16 +435,23 @@ def verified(links: DataFrame, classes: DataFrame, texts: DataFrame, shingle_wor
     dealt = dealt.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("id"),
                          F.ceil(F.greatest("n_a", "n_b") / HUB_LINKS).alias("slices"))
     dealt = dealt.select("hub", F.pmod(F.xxhash64("id"), F.col("slices")).alias("slice"), "id")
-    ends = dealt.union(dealt.select("hub", "slice", F.col("hub").alias("id")).distinct()).join(classes.select("id", "one"), "id")
-    ends = checkpointed(ends.select("one", "hub", "slice", "id"))
-    ends = F.broadcast(ends) if ends.limit(BROADCAST_ENDS + 1).count() <= BROADCAST_ENDS else ends
+    ends = checkpointed(dealt.union(dealt.select("hub", "slice", F.col("hub").alias("id")).distinct()))
+    few = ends.limit(BROADCAST_ENDS + 1).count() <= BROADCAST_ENDS
+    keys = classes.select("id", "one").join(ends.select("id").distinct(), "id")
+
+    def sets(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1_000):
+                part = batch.slice(lo, 1_000)
+                held = [distinct_shingles(t, shingle_words).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(held, pa.binary())], ["id", "hashes"])
 
     def run(batches):
         at, held = None, np.zeros(0, np.uint64)
         for batch in batches:
             near, hubs, ids = [], batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for row, (hub, part, own) in enumerate(zip(hubs, batch.column(1).to_pylist(), ids)):
-                hashes = distinct_shingles(batch.column(3)[row].as_py(), shingle_words)
+                hashes = np.frombuffer(batch.column(3)[row].as_py(), "<u8")
                 if own == hub:
                     at, held = (hub, part), hashes
                 elif at != (hub, part):
@@ -452,7 +459,8 @@ def verified(links: DataFrame, classes: DataFrame, texts: DataFrame, shingle_wor
                 near.append(own != hub and jaccard(held, hashes) >= similarity)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    placed = texts.join(ends, "one").select("hub", "slice", "id", "text").repartition("hub", "slice")
+    found = texts.join(F.broadcast(keys) if few else keys, "one").select("id", "text").mapInArrow(sets, "id long, hashes binary")
+    placed = found.join(F.broadcast(ends) if few else ends, "id").select("hub", "slice", "id", "hashes").repartition("hub", "slice")
     return placed.sortWithinPartitions("hub", "slice", F.col("id") != F.col("hub"), "id").mapInArrow(run, "a long, b long")
 
 

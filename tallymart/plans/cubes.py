@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymart.functions.exprs import money, ratio, rounded
 from tallymart.plans.reports import total
@@ -19,8 +19,17 @@ def _cells(star, *order_columns: str) -> DataFrame:
     return category_sales(star, orders, "left")
 
 
-def state_category_cube(star) -> DataFrame:
-    """Month, state, category: revenue and orders. Rows are per full category, the name is cut afterwards."""
+def shown(width: int | None) -> Column:
+    """The category's name, or its first ``width`` characters."""
+    return F.col("category") if width is None else F.substring("category", 1, width)
+
+
+def state_category_cube(star, width: int | None = SHORT_CATEGORY) -> DataFrame:
+    """Month, state, category: revenue and orders.
+
+    Rows are per full category and the name is cut to ``width`` characters afterwards, so names that begin alike repeat; None leaves it whole,
+    and then (m, s, c) is unique but for the placeholder.
+    """
     return (
         _cells(star, "order_year_month")
         .groupBy("order_year_month", "customer_state", "category")
@@ -28,17 +37,17 @@ def state_category_cube(star) -> DataFrame:
         .select(
             F.coalesce("order_year_month", F.lit(OTHER)).alias("m"),
             F.coalesce("customer_state", F.lit(OTHER)).alias("s"),
-            F.coalesce(F.substring("category", 1, SHORT_CATEGORY), F.lit(OTHER)).alias("c"),
+            F.coalesce(shown(width), F.lit(OTHER)).alias("c"),
             money(F.col("revenue")).alias("r"),
             F.col("orders").alias("o"),
         )
     )
 
 
-def sales_cube(star) -> DataFrame:
+def sales_cube(star, width: int | None = LONG_CATEGORY) -> DataFrame:
     """Year, month, state, category, payment type: orders, revenue, mean score, customers.
 
-    An order's items repeat per payment of the type and per review, as in a plain join of the three.
+    An order's items repeat per payment of the type and per review, as in a plain join of the three. ``width`` as in ``state_category_cube``.
     """
     payments = star.payments.groupBy("order_id", "payment_type").agg(F.count("*").alias("n_payments"))
     cells = (
@@ -61,7 +70,7 @@ def sales_cube(star) -> DataFrame:
             F.col("order_year").alias("yr"),
             F.coalesce("order_year_month", F.lit(UNKNOWN)).alias("mo"),
             F.coalesce("customer_state", F.lit(UNKNOWN)).alias("st"),
-            F.coalesce(F.substring("category", 1, LONG_CATEGORY), F.lit(UNKNOWN)).alias("cat"),
+            F.coalesce(shown(width), F.lit(UNKNOWN)).alias("cat"),
             F.coalesce("payment_type", F.lit(UNKNOWN)).alias("pay"),
             "orders",
             money(F.col("revenue")).alias("rev"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,18 +17,22 @@ from tallymart.sources.files import FREE_TEXT_TABLES, read_csv, read_json, write
 log = logging.getLogger(__name__)
 
 
-def save_results(jobs: Mapping[str, Callable[[], DataFrame]], folder: str) -> dict[str, DataFrame | None]:
-    """Run named jobs and save each result as CSV; a job that fails is logged and gives None."""
-    results: dict[str, DataFrame | None] = {}
-    for name, job in jobs.items():
+def save_results(jobs: Mapping[str, Callable[[], DataFrame]], folder: str, at_once: int = 1) -> dict[str, DataFrame | None]:
+    """Run named jobs, ``at_once`` of them side by side, and save each result as CSV; a job that fails is logged and gives None.
+
+    Small jobs leave executors idle, which others can use meanwhile; results are in the order of ``jobs``.
+    """
+    def save(name: str) -> DataFrame | None:
         try:
-            result = job()
+            result = jobs[name]()
             write_csv(result, f"{folder}/{name}")
-            results[name] = result
+            return result
         except Exception:
             log.exception("job %s failed", name)
-            results[name] = None
-    return results
+            return None
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(jobs, pool.map(save, jobs)))
 
 
 def star_load(star, table: str) -> DataFrame:

@@ -72,6 +72,8 @@ def test_cut_category_names_may_repeat(spark):
         order_items=[item("a", 1, "p1"), item("a", 2, "p2"), item("a", 3, "gone")])
     assert sorted(r["c"] for r in cubes.state_category_cube(star).collect()) == ["Other", names[0][:15], names[0][:15]]
     assert sorted(r["cat"] for r in cubes.sales_cube(star).collect()) == ["Unknown", names[0][:20], names[0][:20]]
+    assert sorted(r["c"] for r in cubes.state_category_cube(star, width=None).collect()) == ["Other", *names]
+    assert sorted(r["cat"] for r in cubes.sales_cube(star, width=None).collect()) == ["Unknown", *names]
 
 
 def test_price_of_zero_has_no_freight_share(spark):

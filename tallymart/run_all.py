@@ -56,8 +56,8 @@ def exploratory_datasets(star) -> Jobs:
     return {name: (lambda job=getattr(eda, name): job(star)) for name in names}
 
 
-def run(spark: SparkSession, data: str, output: str, rfm: RfmConfig = RfmConfig()) -> StoredStar:
-    """Check, clean and store the tables of ``data``, then write every dataset under ``output``."""
+def run(spark: SparkSession, data: str, output: str, rfm: RfmConfig = RfmConfig(), at_once: int = 4) -> StoredStar:
+    """Check, clean and store the tables of ``data``, then write every dataset under ``output``, reports ``at_once`` at a time."""
     raw = load_tables(spark, data)
     write_csv(quality.quality_report(load_texts(spark, data)), f"{output}/data_quality_report")
     star = write_star(Star(raw), f"{output}/star", partition_by={"dim_orders": ["order_year"]})
@@ -65,8 +65,8 @@ def run(spark: SparkSession, data: str, output: str, rfm: RfmConfig = RfmConfig(
     write_csv(counts, f"{output}/table_counts")
     write_parquet(integrate.analytical_dataset(star), f"{output}/analytical_dataset")
     write_parquet(integrate.item_level_dataset(star), f"{output}/item_level_dataset")
-    save_results(named_queries(star, rfm), f"{output}/results")
-    save_results(exploratory_datasets(star), f"{output}/exploratory")
+    save_results(named_queries(star, rfm), f"{output}/results", at_once)
+    save_results(exploratory_datasets(star), f"{output}/exploratory", at_once)
     write_json(dashboard.dashboard_document(star, rfm), f"{output}/dashboard")
     write_json(cubes.state_category_cube(star), f"{output}/cubes/state_category")
     write_json(cubes.sales_cube(star), f"{output}/cubes/sales")

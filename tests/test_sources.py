@@ -60,6 +60,21 @@ def test_failed_jobs_do_not_stop_the_others(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/good", header=True).count() == 2
 
 
+def test_jobs_side_by_side(spark, tmp_path):
+    from threading import Barrier
+
+    both = Barrier(2, timeout=60)
+
+    def waits(n):
+        both.wait()
+        return spark.range(n)
+
+    jobs = {"two": lambda: waits(2), "bad": lambda: spark.table("absent"), "three": lambda: waits(3)}
+    results = save_results(jobs, str(tmp_path), at_once=3)
+    assert list(results) == list(jobs) and results["bad"] is None
+    assert [results[k].count() for k in ("two", "three")] == [2, 3]
+
+
 def test_columns_are_found_by_name(spark, tmp_path):
     """Another order, one more column, one missing, and texts and NaN where numbers belong."""
     from tallymart.plans.quality import quality_report

@@ -47,6 +47,8 @@ BLOCK_PAIRS = 50_000
 SEEN_PAIRS = 100_000
 # Ends of links that are broadcast, and links of one text that are settled in one task.
 BROADCAST_ENDS = 200_000
+# Keys of dropped documents that are broadcast; beyond this the documents are shuffled to them.
+BROADCAST_KEYS = 200_000
 HUB_LINKS = 1_000
 
 
@@ -561,13 +563,19 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     one = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), *key)).alias("one")).select("root", F.col("one.h1").alias("o1"), F.col("one.h2").alias("o2"), F.col("one.doc_id").alias("one"))
     same = F.col("doc_id").eqNullSafe(F.col("one")) & (F.col("h1") == F.col("o1")) & (F.col("h2") == F.col("o2"))
     rows = groups.join(one, "root").withColumn("stays", same)
-    lost = rows.where(~F.col("stays")).select(*key).distinct()
-    again = rows.where("stays").groupBy(*key).count().where("count > 1").select(*key)
+    lost = checkpointed(rows.where(~F.col("stays")).select(*key).distinct())
+    again = checkpointed(rows.where("stays").groupBy(*key).count().where("count > 1").select(*key))
     text = F.coalesce(docs["text"], F.lit("")).cast("binary")
     name = unused("key", docs.columns)
     keyed = docs.withColumn(name, F.struct(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")))
-    lost, again = (keys.select(F.struct(*key).alias(f"{name}_")) for keys in (lost, again))
-    equal = F.col(name) == F.col(f"{name}_")
-    kept = keyed.join(lost, equal, "left_anti")
-    single = kept.join(again, equal, "left_anti").union(kept.join(again, equal, "left_semi").dropDuplicates([name]))
+
+    def among(these, keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.select(F.struct(*key).alias(f"{name}_"))
+        few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+        return these.join(F.broadcast(keys) if few else keys, F.col(name) == F.col(f"{name}_"), how)
+
+    # Whole texts are shuffled only where the lost keys are too many to broadcast, or rows repeat.
+    single = among(keyed, lost, "left_anti")
+    if not again.isEmpty():
+        single = among(single, again, "left_anti").union(among(single, again, "left_semi").dropDuplicates([name]))
     return single.drop(name)

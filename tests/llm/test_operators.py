@@ -108,7 +108,9 @@ def test_near_copies_against_brute_force(spark, odd, cell_rows, monkeypatch):
     assert simhash.near_copies(docs.limit(0)).count() == 0
 
 
-def test_one_of_each_decides_by_row(spark):
+@pytest.mark.parametrize("bound", [simhash.BROADCAST_KEYS, 0])
+def test_one_of_each_decides_by_row(spark, monkeypatch, bound):
+    monkeypatch.setattr(simhash, "BROADCAST_KEYS", bound)
     a, b, c = (" ".join(f"{k}{i}" for i in range(50)) for k in "xyz")
     rows = [(3, a), (7, a), (7, b), (None, c), (None, c), (None, a), (9, "one"), (9, "one"), (9, "two"), (None, None), (4, ""), (5, None)]
     df = spark.createDataFrame([(*r, "k", 1) for r in rows], "doc_id long, text string, key_ string, root int")

@@ -388,6 +388,41 @@ def test_license_notices_over_several_lines(spark):
     assert {r["text"] for r in found if r["doc_id"] == 0} == {texts[0][0]}
 
 
+def test_license_titles_short_names_and_denials(spark):
+    texts = [
+        ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007", {(0, "GPL-3.0")}), ("Licensed under the GNU General Public License v3.0", {(0, "GPL-3.0")}),
+        ("It is GNU GPLv3 software", {(0, "GPL-3.0")}), ("Creative Commons Attribution 4.0 International", {(0, "CC-BY-4.0")}),
+        ("Creative Commons Attribution-ShareAlike 4.0 International", {(0, "CC-BY-SA-4.0")}), ("ISC License\n\nText.", {(0, "ISC")}),
+        ("We have an ISC License for that.", set()), ("Not licensed under the MIT License", set()), ("It isn't released under the MIT License.", set()),
+        ("No longer released under the MIT License but\nlicensed under CC BY 4.0.", {(1, "CC-BY-4.0")}), ("GNU Lesser General Public License version 3", {(0, "LGPL-3.0")}),
+    ]
+    found = license_scan.scanned(documents(spark, [(i, t) for i, (t, _) in enumerate(texts)])).collect()
+    assert Counter((r["doc_id"], r["line"], r["license"]) for r in found) == Counter((i, *n) for i, (_, names) in enumerate(texts) for n in names)
+
+
+def test_license_compression_proposes_every_notice():
+    """Notices anywhere in long blocks, at their ends too: as many as when every template is compared with the whole block."""
+    class Exhaustive(license_scan.Scanner):
+        def proposed(self, own):
+            return {(0, len(own)): list(range(len(self.words)))}
+
+    rng, known, slow = np.random.default_rng(4), license_scan.Scanner(), Exhaustive()
+    plain, total = ["the", "of", "licence", "work", "copyright", "version", "public", "general", "gnu", "x1"] + [f"v{i}ord" for i in range(60)], 0
+    for _ in range(120):
+        lines = []
+        for _ in range(int(rng.integers(1, 12))):
+            lines.append(" ".join(rng.choice(plain, int(rng.integers(1, 40)))))
+            if rng.random() < 0.5:
+                said = license_scan.TEMPLATES[int(rng.integers(len(license_scan.TEMPLATES)))][1].split()
+                cut = int(rng.integers(len(said)))
+                lines += [" ".join(part) for part in (said[:cut], said[cut:]) if part]
+        block = tuple(line.encode() for line in lines)
+        want = slow.found(block)
+        assert known.found(block) == want
+        total += len(want)
+    assert total > 200
+
+
 def test_blocks_follow_links_to_aliases(spark):
     link = '<html><link rel="canonical" href="{}"></html>'
     pages = [

@@ -38,10 +38,9 @@ NEXT_ROWS = 2
 PRINT_CELL_ROWS = 20_000
 # Parities of the shingle hashes of a text; a power of two.
 PARITY_BITS = 256
-# Texts whose shingles are counted, texts of these that make a shingle frequent, and frequent shingles that are held.
-SAMPLE_TEXTS = 20_000
-FREQUENT = 8
-FREQUENT_HELD = 200_000
+# Bits of a shingle's hash that name its counter, and how many counters are added up together.
+COUNTER_BITS = 19
+COUNTERS_ADDED = 4_096
 # Pairs of rows that are compared together, and proposed pairs that a task remembers.
 BLOCK_PAIRS = 50_000
 SEEN_PAIRS = 100_000
@@ -314,34 +313,42 @@ def parities(hashes: np.ndarray) -> bytes:
     return np.packbits(np.bincount((hashes & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1 == 1).tobytes()
 
 
-def frequent_shingles(texts: DataFrame, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (ascending) of shingles that many texts hold, and how many of the sampled texts hold each.
+def counter_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(BITS - COUNTER_BITS)).astype(np.int64)
 
-    They only decide the order in which a text's shingles are looked at, frequent ones last, so neither the sample nor the limit on their number
-    changes what is found.
+
+def shingle_counts(texts: DataFrame, shingle_words: int) -> np.ndarray:
+    """How many shingles of all texts fall on each counter; a text's shingle counts once, shingles with the same upper bits count together.
+
+    The counts decide the order in which a text's shingles are looked at, frequent ones last.
     """
-    def run(batches):
+    def count(batches):
+        counts = np.zeros(2 ** COUNTER_BITS, np.int64)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1_000):
+                held = [distinct_shingles(t, shingle_words) for t in batch.column(0).slice(lo, 1_000).to_pylist()]
+                counts += np.bincount(counter_of(np.concatenate(held)), minlength=len(counts))
+        if counts.any():
+            parts = counts.reshape(-1, COUNTERS_ADDED)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "counts"])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            held = [distinct_shingles(t, shingle_words) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], ["shingle"])
+            for part, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[part] = sums.get(part, 0) + np.frombuffer(raw.as_buffer(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["part", "counts"])
 
-    share = min(1.0, SAMPLE_TEXTS / max(1, texts.count()))
-    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else texts
-    counts = some.mapInArrow(run, "shingle long").groupBy("shingle").count().where(F.col("count") >= FREQUENT)
-    rows = counts.orderBy(F.desc("count"), "shingle").limit(FREQUENT_HELD).collect()
-    hashes, held = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
-    order = np.argsort(hashes)
-    return hashes[order], held[order]
+    kind = "part long, counts binary"
+    total = np.zeros((2 ** COUNTER_BITS // COUNTERS_ADDED, COUNTERS_ADDED), np.int64)
+    for part, raw in texts.mapInArrow(count, kind).repartition("part").mapInArrow(add, kind).collect():
+        total[part] = np.frombuffer(raw, np.int64)
+    return total.reshape(-1)
 
 
-def _rarest_first(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The hashes by how many texts hold them, then by themselves."""
-    known, held = frequent
-    if not len(known) or not len(hashes):
-        return hashes
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    count = np.where(known[at] == hashes, held[at], 0)
-    return hashes[np.lexsort((hashes, count))] if count.any() else hashes
+def _rarest_first(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The hashes by the counts of their counters, then by themselves."""
+    return hashes[np.lexsort((hashes, counts[counter_of(hashes)]))]
 
 
 def _candidates(rows, similarity: float, apart: np.ndarray, only_next: int = 0):
@@ -497,14 +504,14 @@ def near_groups(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
     """
     texts = docs.select(F.col("doc_id").cast("long"), utf8().alias("text"))
     hashed = texts.select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
-    frequent = frequent_shingles(texts.select("text"), shingle_words)
+    counts = shingle_counts(texts.select("text"), shingle_words)
 
     def prefixes(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 1_000):
                 part = batch.slice(lo, 1_000)
                 held = [distinct_shingles(t, shingle_words) for t in part.column(3).to_pylist()]
-                first = [_rarest_first(h, frequent)[:int(prefix_length(np.int64(len(h)), similarity))].view(np.int64) for h in held]
+                first = [_rarest_first(h, counts)[:int(prefix_length(np.int64(len(h)), similarity))].view(np.int64) for h in held]
                 starts = np.cumsum([0, *map(len, first)])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:3], pa.array([set_number(h) for h in held], pa.int64()), pa.array([print_of(h) for h in held], pa.int64()), pa.array([len(h) for h in held], pa.int64()),

@@ -108,6 +108,15 @@ def test_near_copies_against_brute_force(spark, odd, cell_rows, monkeypatch):
     assert simhash.near_copies(docs.limit(0)).count() == 0
 
 
+def test_shingles_of_all_texts_are_counted(spark, odd):
+    """More texts than a sample of 20,000 has; each shingle counts once a text, wherever the text lies."""
+    texts = [t for _, t in odd if t] + [f"a b c d e f{i % 9}" for i in range(21_000)]
+    want = Counter(c for t in texts for c in simhash.counter_of(simhash.distinct_shingles(t.encode(), 5)).tolist())
+    got = simhash.shingle_counts(spark.createDataFrame([(bytearray(t.encode()),) for t in texts], "text binary").repartition(5), 5)
+    assert {int(k): int(got[k]) for k in np.flatnonzero(got)} == want
+    assert not simhash.shingle_counts(spark.createDataFrame([], "text binary"), 5).any()
+
+
 @pytest.mark.parametrize("bound", [simhash.BROADCAST_KEYS, 0])
 def test_one_of_each_decides_by_row(spark, monkeypatch, bound):
     monkeypatch.setattr(simhash, "BROADCAST_KEYS", bound)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallymart.llm.common import unused, utf8
 from tallymart.llm.components import components, unite
-from tallymart.session import checkpointed
+from tallymart.session import checkpointed, shuffles_freed
 
 BITS = 64
 # Fingerprints that one task compares at once; larger cells are cut.
@@ -565,6 +565,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     The one with the smallest doc_id stays (documents without a doc_id come last), then the one with the smallest hash of its text, and one of rows that
     agree in both, whichever Spark meets first. Rows that share a doc_id but not their text are judged apart.
     """
+    with shuffles_freed(docs.sparkSession):
+        return _one_of_each(docs)
+
+
+def _one_of_each(docs: DataFrame) -> DataFrame:
     groups = checkpointed(near_groups(docs))
     key = ["doc_id", "h1", "h2"]
     one = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), *key)).alias("one")).select("root", F.col("one.h1").alias("o1"), F.col("one.h2").alias("o2"), F.col("one.doc_id").alias("one"))

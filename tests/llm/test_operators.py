@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -128,6 +129,18 @@ def test_one_of_each_decides_by_row(spark, monkeypatch, bound):
     assert Counter((r[0], r[1] or "") for r in kept.collect()) == Counter([(3, a), (7, b), (None, c), (9, "one"), (9, "two"), (4, "")])
 
 
+def test_one_of_each_leaves_no_shuffle_files(spark):
+    """Files that stay until the driver collects its garbage filled the disk: dozens of short queries with a file for each of hundreds of tasks."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {p for d in folders for p in Path(d).rglob("shuffle_*")}
+    df = documents(spark, [(k, " ".join(f"w{(k // 2) * 50 + i}" for i in range(50))) for k in range(40)])
+    before = files()
+    kept = simhash.one_of_each(df)
+    assert len(files() - before) <= 10
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 40, 2))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def of_share(rng, n, common):
     """Two texts with n + 4 words each that have exactly ``common`` of their n five-word shingles in common."""
     words = [f"w{rng.integers(10**9)}" for _ in range(n + 4)]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallymart.llm.common import utf8
-from tallymart.llm.wordcodes import WordCoder, batches_of_bytes, led_words, with_end
+from tallymart.llm.wordcodes import WordCoder, batches_of_bytes, led_words, loaded, with_end
 from tallymart.session import new_shared_path
 
 MAGIC = b"TMBP0001"
@@ -36,13 +36,15 @@ MANIFEST = "shard long, path string, docs long, ids long, bytes long"
 
 def to_planes(ids: np.ndarray) -> list[bytes]:
     """Plane k: bit k of each id, eight ids to a byte."""
-    bits = np.unpackbits(ids.view(np.uint8).reshape(len(ids), -1), axis=1, bitorder="little")
-    return [row.tobytes() for row in np.packbits(bits.T, axis=1, bitorder="little")]
+    columns = np.ascontiguousarray(ids.view(np.uint8).reshape(len(ids), -1).T)
+    return [np.packbits(column & np.uint8(1 << k), bitorder="little").tobytes() for column in columns for k in range(8)]
 
 
 def from_planes(planes: list[bytes], count: int, kind: str) -> np.ndarray:
-    bits = np.unpackbits(np.frombuffer(b"".join(planes), np.uint8).reshape(len(planes), -1), axis=1, count=count, bitorder="little")
-    return np.packbits(bits.T, axis=1, bitorder="little").reshape(-1).view(kind)
+    columns = np.zeros((len(planes) // 8, count), np.uint8)
+    for k, plane in enumerate(planes):
+        columns[k // 8] |= np.unpackbits(np.frombuffer(plane, np.uint8), count=count, bitorder="little") << np.uint8(k % 8)
+    return np.ascontiguousarray(columns.T).reshape(-1).view(kind)
 
 
 class PlaneWriter:
@@ -163,13 +165,10 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_i
 
     def run(batches):
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = not special
-        coder, writer, n, total = WordCoder(tokenizer, led_words, kept=(tokenizer_path, special)), None, 0, 0
+        coder, writer, n, total = WordCoder(loaded(tokenizer_path, special), led_words, kept=(tokenizer_path, special)), None, 0, 0
         for batch in batches:
-            for lo, k in batches_of_bytes(batch.column(1), 4_000_000):
+            for lo, k in batches_of_bytes(batch.column(1), 8_000_000):
                 part = batch.slice(lo, k)
                 if writer is None:
                     system, place = filesystem(folder)

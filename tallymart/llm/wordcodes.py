@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +18,12 @@ MARKS = ".,;:!?*&%$#|()"
 # Unicode's white space, as tokenizers' \s has it.
 SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 CUT = "\x1f"
-# A word of Latin letters, with the blank before it; and those that no normalizer changes.
-WORD = re.compile("[ \n]?[A-Za-zÀ-ÖØ-öø-ɏ]+")
-PLAIN_WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-LOWER_WORD = re.compile("[a-zß-öø-ÿ]+")
+# A word of Latin letters, with the blank before it, and the marks after it; and words that no normalizer changes.
+MARKED_WORD = f"^(?P<stem>[ \n]?[A-Za-zÀ-ÖØ-öø-ɏ]+)(?P<tail>[{re.escape(MARKS)}]*)$"
+PLAIN_WORD = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+LOWER_WORD = "^[a-zß-öø-ÿ]+$"
+ASCII_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+WIDE_SPACE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 # Units that a Python worker keeps from task to task, about 40 MB; only those that come OFTEN in a batch.
 FREQUENT = 200_000
 OFTEN = 3
@@ -28,6 +31,16 @@ OFTEN = 3
 _frequent: dict[tuple, dict[str, bytes]] = {}
 
 
+@lru_cache(maxsize=2)
+def loaded(path: str, special: bool = True):
+    """The tokenizer of a file, which a Python worker keeps; ``special``: whether the names of special tokens stand for these."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = not special
+    return tokenizer
+
+
 def byte_letters() -> dict[int, str]:
     """Byte-level tokenizers write a byte as one character: itself where it is visible, the others from U+0100 on in order."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -45,8 +58,23 @@ def words(texts: pa.Array) -> pa.ListArray:
 
 def led_words(texts: pa.Array) -> pa.ListArray:
     """Texts cut before each run of white space: for byte-level tokenizers, whose pieces never have a blank behind another character."""
-    marked = pc.replace_substring_regex(texts, f"([^{SPACE}])([{SPACE}])", rf"\1{CUT}\2")
-    return pc.split_pattern(marked, CUT)
+    if pc.any(pc.match_substring_regex(texts, WIDE_SPACE)).as_py():
+        marked = pc.replace_substring_regex(texts, f"([^{SPACE}])([{SPACE}])", rf"\1{CUT}\2")
+        return pc.split_pattern(marked, CUT)
+    # With ASCII blanks only, the cuts are found in the bytes, which stay where they are.
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    first, last = int(ends[0]), int(ends[-1])
+    space = ASCII_SPACE[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[first:last]]
+    cut = np.zeros(last - first, bool)
+    cut[1:] = space[1:] & ~space[:-1]
+    # An empty text is one empty unit, as split_pattern has it; a text begins a unit of its own.
+    begins = ends[:-1][ends[:-1] < ends[1:]] - first
+    cut[begins] = False
+    inside = np.flatnonzero(cut)
+    starts = np.sort(np.concatenate([inside, ends[:-1] - first]), kind="stable")
+    before = np.searchsorted(inside, ends - first) + np.arange(len(ends))
+    units = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer((np.r_[starts, last - first] + first).astype(np.int32)), texts.buffers()[2]])
+    return pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), units)
 
 
 def batches_of_bytes(column: pa.Array, most: int):
@@ -100,18 +128,8 @@ class WordCoder:
         lists = self.units(pc.if_else(odd, "", texts))
         units = lists.flatten().dictionary_encode()
         index = units.indices.to_numpy(zero_copy_only=False)
-        names = units.dictionary.to_pylist()
-        raw = self._ids(names)
-        if len(self.base) < FREQUENT:
-            for i in np.flatnonzero(np.bincount(index, minlength=len(names)) >= OFTEN)[:FREQUENT - len(self.base)].tolist():
-                self.base[names[i]] = raw[i]
-        size = np.fromiter(map(len, raw), np.int64, len(raw)) // self.kind.itemsize
-        start = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(raw), self.kind)
-        each = size[index]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(start[index] - (ends - each), each) + np.arange(total)]
+        flat, size = self._ids(units.dictionary, np.bincount(index, minlength=len(units.dictionary)))
+        ids, ends = gathered(flat, size, index)
         count = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
         text_end = np.r_[0, ends][np.cumsum(count)] if len(texts) else np.zeros(0, np.int64)
         length = np.diff(np.r_[0, text_end])
@@ -124,50 +142,59 @@ class WordCoder:
             ids = np.concatenate(parts)
         return ids, length
 
-    def _ids(self, units: list[str]) -> list[bytes]:
+    def _ids(self, units: pa.Array, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct units one after the other, and the number of ids of each; ``times``: how often each comes."""
+        # Letters and the marks after them are coded apart: "word," as "word" and ",".
+        parts = pc.extract_regex(units, MARKED_WORD)
+        stem, tail = (pc.if_else(parts.is_valid(), pc.struct_field(parts, k), other).dictionary_encode() for k, other in (("stem", units), ("tail", "")))
+        stem_at, tail_at = (v.indices.to_numpy(zero_copy_only=False).astype(np.int64) for v in (stem, tail))
+        letters = np.zeros(len(stem.dictionary), bool)
+        letters[stem_at] = parts.is_valid().to_numpy(zero_copy_only=False)
+        often = np.bincount(stem_at, times, len(stem.dictionary)) >= OFTEN
+        raw = self._raw(stem.dictionary, letters, often) + self._raw(tail.dictionary, np.zeros(len(tail.dictionary), bool), np.ones(len(tail.dictionary), bool))
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // self.kind.itemsize
+        both = np.stack([stem_at, len(stem.dictionary) + tail_at], axis=1).reshape(-1)
+        ids, ends = gathered(np.frombuffer(b"".join(raw), self.kind), size, both)
+        return ids, np.diff(np.r_[0, ends[1::2]])
+
+    def _raw(self, names: pa.Array, letters: np.ndarray, often: np.ndarray) -> list[bytes]:
+        """The ids of each name, as bytes; ``letters``: words of letters only, ``often``: those that the worker may keep."""
         if self.held > self.hold:
             self.known, self.held = {}, 0
-        known, base = self.known, self.base
-        new = [u for u in units if u not in base and u not in known]
-        # Letters and the marks after them are coded apart: "word," as "word" and ",".
-        halves, letters, others = [], set(), set()
-        for u in new:
-            stem = u.rstrip(MARKS)
-            if not WORD.fullmatch(stem):
-                others.add(u)
-                continue
-            letters.add(stem)
-            if len(stem) < len(u):
-                tail = u[len(stem):]
-                others.add(tail)
-                halves.append((u, stem, tail))
-        learnt = self._learn_words([u for u in letters if u not in known])
-        learnt += self._learn([u for u in others if u not in known])
-        for u, stem, tail in halves:
-            known[u] = known[stem] + known[tail]
+        known, base, units = self.known, self.base, names.to_pylist()
+        raw = [base.get(u) or known.get(u) for u in units]
+        new = np.array([r is None for r in raw], bool)
+        self._learn_words(names.filter(pa.array(new & letters)))
+        self._learn(names.filter(pa.array(new & ~letters)).to_pylist())
+        at = np.flatnonzero(new).tolist()
+        for i in at:
+            raw[i] = known[units[i]]
         # An entry takes about 150 bytes beside its characters.
-        self.held += sum(map(len, new)) + 150 * (learnt + len(halves))
-        return [base[u] if u in base else known[u] for u in units]
-
-    def _learn(self, units: list[str]) -> int:
+        self.held += sum(len(units[i]) for i in at) + 150 * len(at)
+        if len(base) < FREQUENT:
+            for i in np.flatnonzero(often).tolist():
+                if len(base) >= FREQUENT:
+                    break
+                base[units[i]] = raw[i]
+        return raw
+
+    def _learn(self, units: list[str]) -> None:
         for lo in range(0, len(units), 5_000):
             part = units[lo:lo + 5_000]
             for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self.known[u] = array("H" if self.kind.itemsize == 2 else "I", e.ids).tobytes()
-        return len(units)
-
-    def _learn_words(self, units: list[str]) -> int:
-        if self.plain is not None:
-            of, direct, kind, rest = self.tokenizer.model.tokenize, self.plain.fullmatch, "H" if self.kind.itemsize == 2 else "I", []
-            for u in units:
-                if direct(u):
-                    self.known[u] = array(kind, [t.id for t in of(u if u.isascii() and u[0] != " " else u.encode().decode("latin-1").translate(LETTERS))]).tobytes()
-                else:
-                    rest.append(u)
-            return len(units) - len(rest) + self._learn_joined(rest)
-        return self._learn_joined(units)
-
-    def _learn_joined(self, units: list[str]) -> int:
+
+    def _learn_words(self, words: pa.Array) -> None:
+        if self.plain is None or not len(words):
+            return self._learn_joined(words.to_pylist())
+        direct = pc.match_substring_regex(words, self.plain)
+        own, of, kind = words.filter(direct).to_pylist(), self.tokenizer.model.tokenize, "H" if self.kind.itemsize == 2 else "I"
+        # All at once as the model writes bytes; no word has a line break.
+        for u, letters in zip(own, "\n".join(own).encode().decode("latin-1").translate(LETTERS).split(LETTERS[10])):
+            self.known[u] = array(kind, [t.id for t in of(letters)]).tobytes()
+        self._learn_joined(words.filter(pc.invert(direct)).to_pylist())
+
+    def _learn_joined(self, units: list[str]) -> None:
         """Words of letters only, all in one text with NUL between them, which is a token of its own there."""
         mark = self.tokenizer.encode("\0", add_special_tokens=False).ids
         if len(mark) != 1:
@@ -179,7 +206,14 @@ class WordCoder:
             raw = ids.tobytes()
             for u, a, b in zip(part, [0, *(ends + self.kind.itemsize).tolist()], [*ends.tolist(), len(raw)]):
                 self.known[u] = raw[a:b]
-        return len(units)
+
+
+def gathered(flat: np.ndarray, size: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs that lie one after the other in ``flat``, with ``size`` values each, those at ``index``; and where each of these ends."""
+    each = size[index]
+    ends = np.cumsum(each)
+    start = np.cumsum(size) - size
+    return flat[np.repeat(start[index] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
 
 
 def with_end(ids: np.ndarray, length: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -113,6 +113,29 @@ def test_units_give_the_tokenizers_ids(path, units, special):
     assert coder.encode(pa.array([b"caf\xe9 x"], pa.binary()))[1].tolist() == [len(tokenizer.encode("caf� x", add_special_tokens=False).ids)]
 
 
+def test_words_are_cut_before_blanks_without_marking_them():
+    """The bytes of texts with ASCII blanks are cut where they lie; empty texts, blanks at both ends and other texts' ends make no difference."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    texts = ["a b", "", " a", "a ", " ", "", "\n\nx  y\t z", "é ñ\x0b", "z", "", "plain"]
+    for own in (texts, texts[2:5], [], [""], texts + ["wide\u2003blank\u00a0s b"]):
+        marked = pc.replace_substring_regex(pa.array(own, pa.string()), f"([^{wordcodes.SPACE}])([{wordcodes.SPACE}])", rf"\1{wordcodes.CUT}\2")
+        want = [t.split(wordcodes.CUT) for t in marked.to_pylist()]
+        assert wordcodes.led_words(pa.array(["x y", *own, "x"], pa.string()).slice(1, len(own))).to_pylist() == want
+
+
+def test_words_of_letters_come_to_the_model_in_one_piece(monkeypatch):
+    """Marks behind words are cut off for all words at once, and words that differ in them only are encoded once."""
+    import pyarrow as pa
+
+    coder = wordcodes.WordCoder(Tokenizer.from_file(BYTES), wordcodes.led_words)
+    learnt, learn = [], coder._learn_words
+    monkeypatch.setattr(coder, "_learn_words", lambda words: (learnt.extend(words.to_pylist()), learn(words)))
+    coder.encode(pa.array(["soonest, soonest. latest! soonest", "latest latest; (odd) latest"]))
+    assert sorted(learnt) == [" latest", " soonest", "latest", "soonest"]
+
+
 def test_bit_planes_round_trip(spark, tmp_path):
     tokenizer = Tokenizer.from_file(BYTES)
     docs = [(n * 7 % 31 - 3, t) for n, t in enumerate(ODD)] + [(None, "no id"), (5, "same id a"), (5, "same id b"), (5, "same id b")]

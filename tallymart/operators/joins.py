@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # A lookup side is broadcast only when its counted rows are at most this many.
 BROADCAST_ROWS = 200_000
+# One of short rows may have NARROW times as many where its size is measured and at most BROADCAST_BYTES.
+NARROW = 5
+BROADCAST_BYTES = 64 * 2**20
 
 # A key is split when it holds at least 1/HOT_KEYS of the rows, so there are at most HOT_KEYS of them,
 HOT_KEYS = 1_000
@@ -35,6 +38,18 @@ def hot_keys(df: DataFrame, key: str, max_keys: int | None = None, slices: int |
     ]
 
 
+def size_of(df: DataFrame) -> int:
+    """Bytes of a table of numbers, times and texts as rows in memory; one pass over its texts."""
+    texts = [F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = 8 * (len(df.columns) + len(texts) + 1)
+    return df.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(fixed).cast("bigint")))).first()[0] or 0
+
+
+def is_small(right: DataFrame, rows: int) -> bool:
+    """Whether a lookup side of ``rows`` rows may be broadcast; where their number alone does not tell, it is measured."""
+    return rows <= BROADCAST_ROWS or (rows <= NARROW * BROADCAST_ROWS and size_of(right) <= BROADCAST_BYTES)
+
+
 def sliced_join(left: DataFrame, right: DataFrame, key: str, how: str, spread_by: list[str], hot: list[tuple]) -> DataFrame:
     """Equi-join in which the rows of each hot key of ``left`` go to several slices.
 
@@ -68,7 +83,7 @@ def lookup_join(
     """Join ``left`` to ``right`` on ``key`` (``how`` inner or left).
 
     A counted-small ``right`` is broadcast. Otherwise both sides are shuffled, and keys that are hot
-    on the left are split over slices by ``spread_by`` (default: the other columns of ``left``).
+    on the left (or missing there in many rows) are split over slices by ``spread_by`` (default: the other columns of ``left``).
     ``right_rows`` is an upper bound for the rows of ``right`` where the caller already knows one.
     ``keys_from`` has the key column of ``left`` from before other joins, to look for hot keys in.
     """
@@ -77,6 +92,7 @@ def lookup_join(
     if right_rows <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
         return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left if keys_from is None else keys_from, key, max_keys)
-    if not hot and how != "left":
+    # Rows without a key count as a key here. A slice in the join key would shuffle ``right`` again where it is dealt out by its key already.
+    if not hot:
         return left.join(right, key, how)
     return sliced_join(left, right, key, how, spread_by or [c for c in left.columns if c != key], hot)

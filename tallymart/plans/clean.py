@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymart.functions.exprs import days_between, fixed_point, from_fixed_point, ratio, stripped
 from tallymart.operators.joins import lookup_join
@@ -14,6 +14,8 @@ from tallymart.schemas import ORDER_TIMESTAMPS, PRODUCT_MEASURES
 UNKNOWN_CATEGORY = "unknown"
 UNDEFINED_PAYMENT, OTHER_PAYMENT = "not_defined", "other"
 
+VOLUME_SIDES = ["product_length_cm", "product_height_cm", "product_width_cm"]
+
 
 def lowered(name: str):
     return F.lower(stripped(F.col(name)))
@@ -60,10 +62,14 @@ def clean_orders(df: DataFrame) -> DataFrame:
     )
 
 
+def item_value() -> Column:
+    return F.col("price") + F.col("freight_value")
+
+
 def clean_order_items(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "shipping_limit_date": as_timestamp("shipping_limit_date"),
-        "total_item_value": F.col("price") + F.col("freight_value"),
+        "total_item_value": item_value(),
     })
 
 
@@ -100,10 +106,9 @@ def translate_categories(df: DataFrame, translation: DataFrame) -> DataFrame:
 
 
 def add_volume(df: DataFrame) -> DataFrame:
-    sides = ["product_length_cm", "product_height_cm", "product_width_cm"]
-    if not set(sides) <= set(df.columns):
+    if not set(VOLUME_SIDES) <= set(df.columns):
         return df
-    length, height, width = (F.col(c) for c in sides)
+    length, height, width = (F.col(c) for c in VOLUME_SIDES)
     return df.withColumn("product_volume_cm3", length * height * width)
 
 

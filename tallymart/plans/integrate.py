@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallymart.functions.exprs import cents, money, ratio
+from tallymart.operators import joins
 from tallymart.operators.joins import lookup_join
+from tallymart.plans import clean
 
 # Columns that are 0, not NULL, for an order without items or payments.
 ZERO_FILLED = [
@@ -99,14 +101,28 @@ def analytical_dataset(star) -> DataFrame:
 
 
 def item_level_dataset(star) -> DataFrame:
-    """One row per item with its product, seller and order columns."""
-    orders = star.orders.select(*ITEM_ORDER_COLUMNS)
-    df = lookup_join(star.order_items, orders, "order_id", "left", ["order_item_id", "product_id", "seller_id"],
-                     star.rows("orders"))
-    df = lookup_join(df, star.products_imputed, "product_id", "left", ["order_id"], star.rows("products"),
-                     keys_from=star.order_items)
-    return lookup_join(df, star.sellers, "seller_id", "left", ["order_id", "product_id"], star.rows("sellers"),
-                       keys_from=star.order_items)
+    """One row per item with its product, seller and order columns.
+
+    Every shuffle carries the items with all they have gathered, and there is one for each side that is too large for a broadcast. So broadcast sides
+    and columns made of others come last, and before them the orders, which bring most bytes and lie by order id already.
+    """
+    items, products, sellers = star.order_items, star.products_imputed, star.sellers
+    columns = [*items.columns, *ITEM_ORDER_COLUMNS, *products.columns, *sellers.columns]
+    later = ["product_volume_cm3"] if set(clean.VOLUME_SIDES) <= set(products.columns) else []
+    sides = {
+        "sellers": (sellers, "seller_id", ["order_id", "product_id"]),
+        "products": (products.drop(*later), "product_id", ["order_id"]),
+        "orders": (star.orders.select(*ITEM_ORDER_COLUMNS), "order_id", ["order_item_id", "product_id", "seller_id"]),
+    }
+    small = {name: star.rows(name) <= joins.BROADCAST_ROWS for name in sides}
+    small["sellers"] = joins.is_small(sellers, star.rows("sellers"))
+    df = items.drop("total_item_value")
+    for name in sorted(sides, key=small.get):
+        side, key, spread_by = sides[name]
+        rows = star.rows(name)
+        df = lookup_join(df, side, key, "left", spread_by, rows, keys_from=items, broadcast_rows=rows if small[name] else None)
+    df = clean.add_volume(df.withColumn("total_item_value", clean.item_value()))
+    return df.select(*dict.fromkeys(["seller_id", "product_id", "order_id", *columns]))
 
 
 def join_completeness(star) -> DataFrame:

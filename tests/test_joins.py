@@ -96,3 +96,30 @@ def test_rows_without_a_key_are_spread(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_the_lookup_side_of_even_keys_is_not_shuffled_again(spark, skewed, lookup, monkeypatch):
+    """Without hot or many missing keys a left join is by the key alone, so a side that is dealt out by it stays where it is."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(joins, "HOT_ROWS", 2000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        summed = lookup.groupBy("k").agg(F.sum("v").alias("v"))
+        joined = lookup_join(skewed, summed, "k", "left")
+        assert "_slice" not in plan(joined) and plan(joined).count("Exchange hashpartitioning(k") == 2
+        assert same(joined, skewed.join(lookup, "k", "left"))
+        missing = skewed.withColumn("k", F.when(F.col("row") % 10 > 0, F.col("k")))
+        monkeypatch.setattr(joins, "HOT_ROWS", 300)
+        spread = lookup_join(missing, summed, "k", "left", ["row"])
+        assert "_slice" in plan(spread) and same(spread, missing.join(lookup, "k", "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_side_of_short_rows_may_have_more_of_them(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 100)
+    texts = spark.range(300).selectExpr("id AS k", "IF(id % 2 = 0, NULL, repeat('x', 100)) AS t")
+    assert joins.size_of(texts) == 300 * 32 + 150 * 100 and joins.size_of(texts.limit(0)) == 0
+    assert joins.is_small(texts, 300) and not joins.is_small(texts, 501)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 24_000)
+    assert not joins.is_small(texts, 300) and joins.is_small(texts, 100)

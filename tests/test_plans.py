@@ -31,3 +31,19 @@ def test_category_grain_needs_no_shuffle_of_its_own(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin [order_id" in text
     assert not [line for line in text.splitlines() if "Exchange hashpartitioning(category" in line and "order_id" in line]
+
+
+def test_items_are_shuffled_once_for_each_large_side(spark, sf_dir, monkeypatch):
+    """Orders and products are large, sellers are more than a broadcast may have rows but short: two shuffles of items, none of the joined orders."""
+    from tallymart.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 9)  # there are 10 sellers
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["item_level_dataset"](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [line.split("hashpartitioning(")[1] for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    by = [line.split("#")[0] for line in shuffles]
+    assert by.count("product_id") == 2 and by.count("order_id") == 1 and by.count("o_orderkey") == 1 and "seller_id" not in by
+    assert "_slice" not in text

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallymart.functions.exprs import cents, money, ratio
 from tallymart.operators import joins
 from tallymart.operators.joins import lookup_join
+from tallymart.operators.packed import decode, encode, measure, pack, unpack
 from tallymart.plans import clean
 
 # Columns that are 0, not NULL, for an order without items or payments.
@@ -104,23 +105,31 @@ def item_level_dataset(star) -> DataFrame:
     """One row per item with its product, seller and order columns.
 
     Every shuffle carries the items with all they have gathered, and there is one for each side that is too large for a broadcast. So broadcast sides
-    and columns made of others come last, and before them the orders, which bring most bytes and lie by order id already.
+    and columns made of others come last, before them the orders, which lie by order id already, and what is carried is packed.
     """
     items, products, sellers = star.order_items, star.products_imputed, star.sellers
     columns = [*items.columns, *ITEM_ORDER_COLUMNS, *products.columns, *sellers.columns]
     later = ["product_volume_cm3"] if set(clean.VOLUME_SIDES) <= set(products.columns) else []
     sides = {
-        "sellers": (sellers, "seller_id", ["order_id", "product_id"]),
-        "products": (products.drop(*later), "product_id", ["order_id"]),
-        "orders": (star.orders.select(*ITEM_ORDER_COLUMNS), "order_id", ["order_item_id", "product_id", "seller_id"]),
+        "sellers": (sellers, "seller_id"),
+        "products": (products.drop(*later), "product_id"),
+        "orders": (star.orders.select(*ITEM_ORDER_COLUMNS), "order_id"),
     }
     small = {name: star.rows(name) <= joins.BROADCAST_ROWS for name in sides}
     small["sellers"] = joins.is_small(sellers, star.rows("sellers"))
+    large = [name for name in sides if not small[name]]
     df = items.drop("total_item_value")
-    for name in sorted(sides, key=small.get):
-        side, key, spread_by = sides[name]
-        rows = star.rows(name)
-        df = lookup_join(df, side, key, "left", spread_by, rows, keys_from=items, broadcast_rows=rows if small[name] else None)
+    fields, coded = measure(df) if large else [], []
+    for name in large:
+        side, key = sides[name]
+        new = [f for f in fields if f.name != key and f not in coded]
+        df = decode(encode(df, new), [f for f in coded if f.name == key])
+        coded = [f for f in coded if f.name != key] + new
+        df = unpack(lookup_join(pack(df, coded), side, key, "left", None, star.rows(name), keys_from=items, broadcast_rows=0), coded)
+        fields += measure(side.drop(key)) if name != large[-1] else []
+    df = decode(df, coded)
+    for name in (n for n in sides if small[n]):
+        df = df.join(F.broadcast(sides[name][0]), sides[name][1], "left")
     df = clean.add_volume(df.withColumn("total_item_value", clean.item_value()))
     return df.select(*dict.fromkeys(["seller_id", "product_id", "order_id", *columns]))
 

@@ -47,3 +47,28 @@ def test_items_are_shuffled_once_for_each_large_side(spark, sf_dir, monkeypatch)
     by = [line.split("#")[0] for line in shuffles]
     assert by.count("product_id") == 2 and by.count("order_id") == 1 and by.count("o_orderkey") == 1 and "seller_id" not in by
     assert "_slice" not in text
+
+
+def test_items_are_the_same_when_they_are_packed(spark, monkeypatch):
+    """Every side is shuffled: items without an order, product or seller, keys that come twice, amounts that are no cents, numbers and times that are missing."""
+    from tallymart.operators import joins
+    from tallymart.plans.integrate import item_level_dataset
+    from tests.tiny import SCHEMAS, order, tiny_star
+
+    items = [
+        ("o1", 1, "p1", "s1", "2017-01-11 10:00:00", 10.0, 1.5), ("o1", 2, None, "s2", None, 0.005, None), ("o1", 2, None, "s2", None, 0.005, None),
+        ("o2", None, "p2", None, "1969-12-31 23:59:59.999999", None, 2.0), (None, 1, "p3", "s9", "2400-01-01 00:00:00", -3.25, 0.0), ("o9", -4, "p9", "s1", None, 1e15, 1.0),
+    ]
+    tables = {
+        "order_items": items, "orders": [order("o1"), order("o1", "c2", got=None), order("o2", bought=None)],
+        "products": [("p1", "toys", 1.0, 2.0, 3.0), ("p1", None, 5.0, None, 0.1), ("p2", "toys", None, 7.0, 8.0), (None, "x", 1.0, 1.0, 1.0)],
+        "sellers": [("s1", 7, "A", "sp"), ("s1", None, None, None), ("s2", 2**40, "B ", "rj")],
+    }
+    assert len(SCHEMAS["order_items"].split(",")) == len(items[0])
+    small = item_level_dataset(tiny_star(spark, **tables))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    for hot in (100_000, 1):
+        monkeypatch.setattr(joins, "HOT_ROWS", hot)
+        packed = item_level_dataset(tiny_star(spark, **tables))
+        assert "_word0" in plan(packed) and packed.dtypes == small.dtypes
+        assert sorted(map(repr, packed.collect())) == sorted(map(repr, small.collect()))
